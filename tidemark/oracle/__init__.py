@@ -9,6 +9,6 @@ and the invalid trend query (Q1) follows its comment.  Each string starts
 with the mapping of the test tables onto the model.
 """
 
-from tidemark.oracle.sql import ORACLE_SQL
+from tidemark.oracle.sql import ORACLE_SQL, model_sql
 
-__all__ = ["ORACLE_SQL"]
+__all__ = ["ORACLE_SQL", "model_sql"]

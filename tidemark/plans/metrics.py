@@ -129,15 +129,29 @@ def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """
     seg = t.customers.select("customer_id", "segment").distinct()
     s = t.subscriptions.join(seg, "customer_id")
-    starts = s.select("segment", F.trunc("start_date", "month").alias("month"), F.lit(1).alias("started"), F.lit(0).alias("ended"))
-    ends = s.where(F.col("end_date").isNotNull()).select(
-        "segment", F.trunc("end_date", "month").alias("month"), F.lit(0).alias("started"), F.lit(1).alias("ended")
-    )
-    ev = starts.unionByName(ends).groupBy("segment", "month").agg(
-        F.sum("started").cast("long").alias("started"), F.sum("ended").cast("long").alias("ended")
+    start_m = F.trunc("start_date", "month")
+    end_m = F.trunc("end_date", "month")
+
+    def event(month, opened, ended):
+        return F.struct(month.alias("month"), F.lit(opened).alias("opened"), F.lit(ended).alias("ended"))
+
+    ev = s.select(
+        "segment",
+        F.explode(
+            F.when(
+                F.col("end_date").isNull(), F.array(event(start_m, 1, 0))
+            ).otherwise(
+                # closed in the later of start and end month (an end before the
+                # start is never open); counted as churn in its end month
+                F.array(event(start_m, 1, 0), event(F.greatest(start_m, end_m), -1, 0), event(end_m, 0, 1))
+            )
+        ).alias("e"),
+    ).select("segment", "e.month", "e.opened", "e.ended")
+    ev = ev.groupBy("segment", "month").agg(
+        F.sum("opened").cast("long").alias("opened"), F.sum("ended").cast("long").alias("ended")
     )
     w = S.window("month", ["segment"]).rowsBetween(Window.unboundedPreceding, 0)
-    running = ev.withColumn("open_subscriptions", (F.sum("started").over(w) - F.sum("ended").over(w)).cast("long"))
+    running = ev.withColumn("open_subscriptions", F.sum("opened").over(w).cast("long"))
     return (
         running.where(F.col("ended") > 0)
         .select(
