@@ -77,12 +77,12 @@ def revenue_by_plan(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 # K4 -------------------------------------------------------------------------
-def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    active = M.revenue_by_month(t.payments, p).select(
-        F.col("month").alias("active_month"), F.col("paying_customers").alias("active_customers")
-    )
-    churned = M.churned_by_month(t.subscriptions).withColumnRenamed("month", "churn_month")
-    new = M.new_by_month(t.subscriptions).select(F.col("month").alias("new_month"))
+def churn_rate_of(monthly: DataFrame, churned: DataFrame, new: DataFrame) -> DataFrame:
+    """monthly: month, paying_customers; churned: month, churned_customers;
+    new: month, new_customers."""
+    active = monthly.select(F.col("month").alias("active_month"), F.col("paying_customers").alias("active_customers"))
+    churned = churned.withColumnRenamed("month", "churn_month")
+    new = new.select(F.col("month").alias("new_month"))
     j = S.month_align(active, churned, "active_month", "churn_month", "_key")
     j = j.join(new, j["_key"] == new["new_month"], "full_outer")
     a = F.coalesce(F.col("active_customers"), F.lit(0))
@@ -96,6 +96,12 @@ def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
     ).orderBy(_desc("month"))
 
 
+def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    return churn_rate_of(
+        M.revenue_by_month(t.payments, p), M.churned_by_month(t.subscriptions), M.new_by_month(t.subscriptions)
+    )
+
+
 # K5 -------------------------------------------------------------------------
 def churn_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Literal: the WHERE keeps ended subscriptions only, so the 'active'
@@ -195,8 +201,12 @@ def _conversion(g: DataFrame, key: str) -> DataFrame:
     )
 
 
+def conversion_rate_of(conv: DataFrame) -> DataFrame:
+    return _conversion(conv, "month").orderBy(_desc("month"))
+
+
 def conversion_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    return _conversion(M.conversions_by_month(t.customers, t.subscriptions), "month").orderBy(_desc("month"))
+    return conversion_rate_of(M.conversions_by_month(t.customers, t.subscriptions))
 
 
 def conversion_by_channel(t: Tables, p: Params = DEFAULT) -> DataFrame:
