@@ -44,6 +44,22 @@ def text_1dp(x) -> Column:
     return rounded(x, 1).cast("decimal(38,1)").cast("string")
 
 
+def cents(x) -> Column:
+    """Exact integer cents of a DECIMAL(p,2) amount with p <= 15.
+
+    |amount| < 1e13, so |cents| < 1e15 < 2**53: the DOUBLE product is within one ulp
+    of the integer and ``round`` recovers it exactly.  Summing cents as
+    BIGINT keeps aggregation buffers primitive (a DECIMAL(20,2) sum buffer
+    is a BigDecimal per group); ANSI mode raises on overflow.
+    """
+    return F.round(_c(x).cast("double") * F.lit(100.0)).cast("long")
+
+
+def from_cents(x) -> Column:
+    """BIGINT cents back to an exact DECIMAL(38,2) amount."""
+    return (_c(x).cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)")
+
+
 def as_money(x) -> Column:
     """Exact decimal money to the DOUBLE used in outputs."""
     return _c(x).cast("double")

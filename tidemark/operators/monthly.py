@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import month_start
+from tidemark.functions import cents, from_cents, month_start
 from tidemark.params import DEFAULT, Params
 
 
@@ -25,16 +25,26 @@ def paid_payments(payments: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def customer_months(payments: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """(customer_id, month) -> revenue, n_payments of successful payments.
+    """(customer_id, month) -> revenue_cents, n_payments of successful payments.
 
     The shared pre-aggregate: at most one row per customer and month,
     whatever the payment frequency, so joins on customer_id after it
-    neither fan out nor skew.
+    neither fan out nor skew.  Revenue is kept as exact BIGINT cents until
+    it is rolled up to months (:func:`tidemark.functions.from_cents`).
     """
     return (
         paid_payments(payments, p)
         .groupBy("customer_id", month_start("payment_date").alias("month"))
-        .agg(F.sum("amount").alias("revenue"), F.count(F.lit(1)).alias("n_payments"))
+        .agg(F.sum(cents("amount")).alias("revenue_cents"), F.count(F.lit(1)).alias("n_payments"))
+    )
+
+
+def customer_totals(payments: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """customer_id -> revenue_cents, n_payments over all successful payments."""
+    return (
+        paid_payments(payments, p)
+        .groupBy("customer_id")
+        .agg(F.sum(cents("amount")).alias("revenue_cents"), F.count(F.lit(1)).alias("n_payments"))
     )
 
 
@@ -52,7 +62,7 @@ def revenue_by_month(payments: DataFrame, p: Params = DEFAULT, dims: Sequence[st
 def rollup_customer_months(cm: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     keys = ["month", *dims]
     return cm.groupBy(*keys).agg(
-        F.sum("revenue").alias("revenue"),
+        from_cents(F.sum("revenue_cents")).alias("revenue"),
         # rows are unique per (customer, month [, dims]): count = COUNT(DISTINCT customer_id)
         F.count("customer_id").alias("paying_customers"),
         F.sum("n_payments").alias("total_payments"),
@@ -71,7 +81,7 @@ def revenue_by_customer_attr(payments: DataFrame, customers: DataFrame, attr: st
     attrs = customers.groupBy("customer_id", attr).agg(F.count(F.lit(1)).alias("n"))
     joined = cm.join(attrs, "customer_id")
     return joined.groupBy(attr, "month").agg(
-        F.sum(F.col("revenue") * F.col("n")).alias("revenue"),
+        from_cents(F.sum(F.col("revenue_cents") * F.col("n"))).alias("revenue"),
         # (customer, month, attr) is unique after the distinct attrs
         F.count("customer_id").alias("paying_customers"),
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_money, month_from_text, months_ahead, pct, ratio, rounded
+from tidemark.functions import as_money, from_cents, month_from_text, months_ahead, pct, ratio, rounded
 from tidemark.model import Tables
 from tidemark.operators import monthly as M
 from tidemark.operators import series as S
@@ -43,13 +43,13 @@ def revenue_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 # K2b ------------------------------------------------------------------------
 def revenue_by_segment_total(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    per_customer = M.paid_payments(t.payments, p).groupBy("customer_id").agg(F.sum("amount").alias("revenue"))
+    per_customer = M.customer_totals(t.payments, p)
     attrs = t.customers.groupBy("customer_id", "segment").agg(F.count(F.lit(1)).alias("n"))
     return (
         per_customer.join(attrs, "customer_id")
         .groupBy("segment")
         .agg(
-            as_money(F.sum(F.col("revenue") * F.col("n"))).alias("total_revenue"),
+            as_money(from_cents(F.sum(F.col("revenue_cents") * F.col("n")))).alias("total_revenue"),
             F.count("customer_id").alias("customers"),
         )
         .orderBy(F.col("segment").asc_nulls_last())
@@ -68,7 +68,7 @@ def revenue_by_plan(t: Tables, p: Params = DEFAULT) -> DataFrame:
         cm.join(plans, "customer_id")
         .groupBy("plan_type", "month")
         .agg(
-            F.sum(F.col("revenue") * F.col("n_subs")).alias("plan_revenue"),
+            from_cents(F.sum(F.col("revenue_cents") * F.col("n_subs"))).alias("plan_revenue"),
             F.count("customer_id").alias("customers"),
         )
         .select("plan_type", "month", as_money("plan_revenue").alias("plan_revenue"), "customers")
@@ -332,9 +332,7 @@ def cost_vs_revenue(t: Tables, p: Params = DEFAULT) -> DataFrame:
 def _customer_ltv(t: Tables, p: Params) -> DataFrame:
     """Per customer: total successful revenue and payment count (one pass
     over payments instead of the reference's two)."""
-    per_customer = M.paid_payments(t.payments, p).groupBy("customer_id").agg(
-        F.sum("amount").alias("ltv"), F.count(F.lit(1)).alias("n_payments")
-    )
+    per_customer = M.customer_totals(t.payments, p)
     return t.customers.select("customer_id", "segment").join(per_customer, "customer_id")
 
 
@@ -344,8 +342,8 @@ def ltv_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     j = _customer_ltv(t, p)
     g = j.groupBy("segment").agg(
         F.count_distinct("customer_id").alias("total_customers"),
-        F.sum("ltv").alias("total_revenue"),
-        F.sum(F.col("ltv") * F.col("n_payments")).alias("_weighted"),
+        from_cents(F.sum("revenue_cents")).alias("total_revenue"),
+        from_cents(F.sum(F.col("revenue_cents") * F.col("n_payments"))).alias("_weighted"),
         F.sum("n_payments").alias("_n"),
     )
     return g.select(
@@ -358,10 +356,10 @@ def ltv_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 def ltv_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Average LTV over customers (each paying customer once)."""
-    per_customer = M.paid_payments(t.payments, p).groupBy("customer_id").agg(F.sum("amount").alias("ltv"))
+    per_customer = M.customer_totals(t.payments, p)
     seg = t.customers.select("customer_id", "segment").distinct()
     g = per_customer.join(seg, "customer_id").groupBy("segment").agg(
-        F.count("customer_id").alias("total_customers"), F.sum("ltv").alias("total_revenue")
+        F.count("customer_id").alias("total_customers"), from_cents(F.sum("revenue_cents")).alias("total_revenue")
     )
     return g.select(
         "segment",

@@ -61,11 +61,11 @@ def start_ingest(
 
 
 def customer_months(spark: SparkSession, table_dir: str) -> DataFrame:
-    """(customer_id, month) -> revenue, n_payments over all ingested batches."""
+    """(customer_id, month) -> revenue_cents, n_payments over all ingested batches."""
     return (
         spark.read.parquet(table_dir)
         .groupBy("customer_id", "month")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("n_payments").alias("n_payments"))
+        .agg(F.sum("revenue_cents").alias("revenue_cents"), F.sum("n_payments").alias("n_payments"))
     )
 
 
