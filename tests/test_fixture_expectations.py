@@ -51,3 +51,13 @@ def test_table_shapes(spark, q):
     assert checks["Sample subscriptions (churned)"] == 751
     assert q["monthly_revenue"](spark, SF_ORACLE).count() == 80
     assert q["conversion_rate"](spark, SF_ORACLE).count() == 51
+
+
+def test_outputs_keep_reference_order(spark, q):
+    months = [r.month for r in q["monthly_revenue"](spark, SF_ORACLE).collect()]
+    assert months == sorted(months, reverse=True)
+    fc = [(r.data_type, r.period) for r in q["combined_forecast"](spark, SF_ORACLE).collect()]
+    assert [d for d, _ in fc] == ["Historical"] * 13 + ["Forecast"] * 6
+    assert [p for _, p in fc] == sorted(p for _, p in fc)
+    ch = [r.conversion_rate_pct for r in q["conversion_by_channel"](spark, SF_ORACLE).collect()]
+    assert ch == sorted(ch, reverse=True)

@@ -115,3 +115,15 @@ def month_spine(df: DataFrame, order: str = "month") -> DataFrame:
     """Continuous month starts from MIN to MAX of ``order`` (one per month)."""
     bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
     return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(order))
+
+
+def ordered(df: DataFrame, *cols) -> DataFrame:
+    """ORDER BY for a calendar-bounded result (one row per month, or per
+    month and a small dimension: hundreds of rows however large the facts).
+
+    A global ``orderBy`` range-partitions its input and first runs a
+    sampling job to find the bounds; for a bounded result one sorted
+    partition gives the same order without that job.  Never use it on
+    fact-sized data.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)

@@ -51,7 +51,7 @@ def revenue_anomalies_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.when(rev < lo, F.lit(P.OUTLIER_BELOW_FLAG)).when(rev > hi, F.lit(P.OUTLIER_ABOVE_FLAG)).alias(
             "statistical_anomaly"
         ),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def revenue_anomalies(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -79,7 +79,7 @@ def churn_spikes_of(churn: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.col("_prev").alias("prev_month_churn"),
         pct(F.col("churned_customers") - F.col("_prev"), "_prev").cast("double").alias("churn_increase_pct"),
         "anomaly_flag",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def churn_spikes(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -94,7 +94,7 @@ def churn_spikes_export_of(churn: DataFrame, p: Params = DEFAULT) -> DataFrame:
         "churned_customers",
         rounded("_avg", 0).cast("double").alias("avg_prev_6months"),
         "anomaly_flag",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def churn_spikes_export(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -117,7 +117,7 @@ def segment_churn_spikes(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "churned_customers",
         rounded("_avg", 0).cast("double").alias("avg_prev_6months"),
         status.alias("anomaly_status"),
-    ).orderBy(_desc("month"), _desc("churned_customers"))
+    ).transform(S.ordered, _desc("month"), _desc("churned_customers"))
 
 
 # A4 ---------------------------------------------------------------------------
@@ -140,7 +140,7 @@ def conversion_drops_of(conv: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.col("_prev").cast("double").alias("prev_month_rate"),
         F.round(rate - F.col("_prev"), 2).cast("double").alias("rate_change"),
         flag.alias("anomaly_flag"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def conversion_drops(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -190,7 +190,7 @@ def anomaly_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
         churn_flag.alias("churn_anomaly"),
         pct("converted_customers", "total_signups").cast("double").alias("conversion_rate"),
         conv_flag.alias("conversion_anomaly"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # A6 ---------------------------------------------------------------------------
@@ -238,7 +238,7 @@ def revenue_churn_insights(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "segment",
         churned.alias("segment_churn"),
         insight.alias("insight"),
-    ).orderBy(_desc("month"), _desc("segment_churn"))
+    ).transform(S.ordered, _desc("month"), _desc("segment_churn"))
 
 
 __all__ = [

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import month_start, months_ahead, pct
 from tidemark.model import Tables
 from tidemark.operators import monthly as M
+from tidemark.operators import series as S
 from tidemark.params import DEFAULT, Params
 
 
@@ -20,7 +21,7 @@ def conversion_by_country(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "total_signups",
         "converted_customers",
         pct("converted_customers", "total_signups").cast("double").alias("conversion_rate_pct"),
-    ).orderBy(F.col("conversion_rate_pct").desc_nulls_first(), F.col("country").asc_nulls_last())
+    ).transform(S.ordered, F.col("conversion_rate_pct").desc_nulls_first(), F.col("country").asc_nulls_last())
 
 
 # N2 ---------------------------------------------------------------------------
@@ -42,7 +43,7 @@ def retention_cohorts(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "cohort_size",
         "active_customers",
         pct("active_customers", "cohort_size").cast("double").alias("retention_pct"),
-    ).orderBy("cohort_month", "months_since_signup")
+    ).transform(S.ordered, "cohort_month", "months_since_signup")
 
 
 # N3 ---------------------------------------------------------------------------
@@ -67,4 +68,4 @@ def retention_month_over_month(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "customers_prev_month",
         r.alias("retained_customers"),
         pct(r, "customers_prev_month").cast("double").alias("retention_rate_pct"),
-    ).orderBy(F.col("month").desc_nulls_first())
+    ).transform(S.ordered, F.col("month").desc_nulls_first())

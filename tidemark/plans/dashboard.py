@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.model import Tables
 from tidemark.operators import monthly as M
+from tidemark.operators import series as S
 from tidemark.params import DEFAULT, Params
 from tidemark.plans import anomaly, forecast, metrics
 from tidemark.session import ensure_checkpoint_dir
@@ -51,7 +52,7 @@ def dashboard_frames(t: Tables, p: Params = DEFAULT) -> dict[str, DataFrame]:
     return {
         "monthly_revenue": monthly.select(
             "month", F.col("revenue").cast("double").alias("monthly_revenue"), "paying_customers"
-        ).orderBy(F.col("month").desc()),
+        ).transform(S.ordered, F.col("month").desc()),
         "revenue_by_segment": metrics.revenue_by_segment_total(t, p),
         "churn_rate": metrics.churn_rate_of(monthly, churned, new),
         "churn_spike_detection": anomaly.churn_spikes_export_of(churned, p),
@@ -61,7 +62,7 @@ def dashboard_frames(t: Tables, p: Params = DEFAULT) -> dict[str, DataFrame]:
             F.col("revenue").cast("double").alias("revenue"),
             F.col("_prev").cast("double").alias("previous_month_revenue"),
             "mom_growth_pct",
-        ).orderBy(F.col("month").desc()),
+        ).transform(S.ordered, F.col("month").desc()),
         "gross_margin": metrics.gross_margin_of(t.costs, monthly),
         "revenue_anomalies": anomaly.revenue_anomalies_of(monthly, p).select(
             "month", "revenue", "prev_month_revenue", "mom_change_pct", "anomaly_flag"

@@ -150,4 +150,4 @@ def month_spine(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "month",
         F.coalesce(F.col("revenue"), F.lit(0)).cast("double").alias("revenue"),
         F.coalesce(F.col("paying_customers"), F.lit(0)).alias("paying_customers"),
-    ).orderBy("month")
+    ).transform(S.ordered, "month")

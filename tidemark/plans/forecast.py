@@ -46,7 +46,7 @@ def revenue_moving_averages(t: Tables, p: Params = DEFAULT) -> DataFrame:
         _r("_ma_long").alias("revenue_6month_avg"),
         as_money("_prev").alias("prev_month"),
         as_money("_prev_year").alias("prev_year_same_month"),
-    ).orderBy(F.col("month").desc_nulls_first())
+    ).transform(S.ordered, F.col("month").desc_nulls_first())
 
 
 # F2 ---------------------------------------------------------------------------
@@ -88,7 +88,7 @@ def moving_average_forecast_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
         F.when(k == 0, F.lit(HISTORICAL)).otherwise(F.lit(FORECAST)).alias("period_type"),
         months_ahead("month", k).alias("period"),
         _r(F.when(k == 0, F.col("revenue").cast("double")).otherwise(forecast)).alias("value"),
-    ).orderBy(F.col("period_type").desc_nulls_first(), F.col("period").asc_nulls_last())
+    ).transform(S.ordered, F.col("period_type").desc_nulls_first(), F.col("period").asc_nulls_last())
 
 
 def moving_average_forecast(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -121,7 +121,7 @@ def seasonal_forecast_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
         months_ahead("month", F.col("months_ahead")).alias("forecast_month"),
         _r(value).alias("forecasted_revenue"),
         _r(g).alias("yoy_growth_rate"),
-    ).orderBy(F.col("forecast_month").asc_nulls_last())
+    ).transform(S.ordered, F.col("forecast_month").asc_nulls_last())
 
 
 def seasonal_forecast(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -158,9 +158,7 @@ def combined_forecast_of(m: DataFrame, p: Params = DEFAULT, corrected: bool = Fa
         _r(F.col("revenue")).alias("value"),
         F.lit(None).cast("string").alias("forecast_method"),
     )
-    return history.unionByName(forecast).orderBy(
-        F.col("data_type").desc_nulls_first(), F.col("period").asc_nulls_last()
-    )
+    return history.unionByName(forecast).transform(S.ordered, F.col("data_type").desc_nulls_first(), F.col("period").asc_nulls_last())
 
 
 def combined_forecast(t: Tables, p: Params = DEFAULT) -> DataFrame:

@@ -30,7 +30,7 @@ def monthly_revenue(t: Tables, p: Params = DEFAULT) -> DataFrame:
         as_money("revenue").alias("monthly_revenue"),
         "paying_customers",
         "total_payments",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # K2 -------------------------------------------------------------------------
@@ -38,7 +38,7 @@ def revenue_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     m = M.revenue_by_customer_attr(t.payments, t.customers, "segment", p)
     return m.select(
         "segment", "month", as_money("revenue").alias("segment_revenue"), F.col("paying_customers").alias("customers")
-    ).orderBy(_desc("month"), F.col("segment").asc_nulls_last())
+    ).transform(S.ordered, _desc("month"), F.col("segment").asc_nulls_last())
 
 
 # K2b ------------------------------------------------------------------------
@@ -52,7 +52,7 @@ def revenue_by_segment_total(t: Tables, p: Params = DEFAULT) -> DataFrame:
             as_money(from_cents(F.sum(F.col("revenue_cents") * F.col("n")))).alias("total_revenue"),
             F.count("customer_id").alias("customers"),
         )
-        .orderBy(F.col("segment").asc_nulls_last())
+        .transform(S.ordered, F.col("segment").asc_nulls_last())
     )
 
 
@@ -72,7 +72,7 @@ def revenue_by_plan(t: Tables, p: Params = DEFAULT) -> DataFrame:
             F.count("customer_id").alias("customers"),
         )
         .select("plan_type", "month", as_money("plan_revenue").alias("plan_revenue"), "customers")
-        .orderBy(_desc("month"), _desc("plan_revenue"))
+        .transform(S.ordered, _desc("month"), _desc("plan_revenue"))
     )
 
 
@@ -93,7 +93,7 @@ def churn_rate_of(monthly: DataFrame, churned: DataFrame, new: DataFrame) -> Dat
         a.alias("active_customers"),
         c.alias("churned_customers"),
         F.when(a > 0, pct(c, a + c)).otherwise(F.lit(0)).cast("double").alias("churn_rate_pct"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -122,7 +122,7 @@ def churn_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "churned_customers",
         "active_customers",
         pct("churned_customers", F.col("churned_customers") + F.col("active_customers")).cast("double").alias("churn_rate_pct"),
-    ).orderBy(_desc("month"), _desc("churn_rate_pct"))
+    ).transform(S.ordered, _desc("month"), _desc("churn_rate_pct"))
 
 
 def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -167,7 +167,7 @@ def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
             "open_subscriptions",
             pct("ended", F.col("ended") + F.col("open_subscriptions")).cast("double").alias("churn_rate_pct"),
         )
-        .orderBy(_desc("month"), _desc("churn_rate_pct"))
+        .transform(S.ordered, _desc("month"), _desc("churn_rate_pct"))
     )
 
 
@@ -188,7 +188,7 @@ def retention_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
         .otherwise(F.lit(0))
         .cast("double")
         .alias("retention_rate_pct"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # K7 / K8 ----------------------------------------------------------------------
@@ -202,7 +202,7 @@ def _conversion(g: DataFrame, key: str) -> DataFrame:
 
 
 def conversion_rate_of(conv: DataFrame) -> DataFrame:
-    return _conversion(conv, "month").orderBy(_desc("month"))
+    return _conversion(conv, "month").transform(S.ordered, _desc("month"))
 
 
 def conversion_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -211,7 +211,7 @@ def conversion_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 def conversion_by_channel(t: Tables, p: Params = DEFAULT) -> DataFrame:
     g = M.conversions_by(t.customers, t.subscriptions, "acquisition_channel")
-    return _conversion(g, "acquisition_channel").orderBy(_desc("conversion_rate_pct"))
+    return _conversion(g, "acquisition_channel").transform(S.ordered, _desc("conversion_rate_pct"))
 
 
 # K9 / K10 ---------------------------------------------------------------------
@@ -235,7 +235,7 @@ def mom_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
         as_money("_prev").alias("previous_month_revenue"),
         as_money("_change").alias("revenue_change"),
         "mom_growth_pct",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def customer_mom_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -247,7 +247,7 @@ def customer_mom_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
         F.col("_prev").alias("previous_month_customers"),
         F.col("_change").alias("customer_change"),
         "mom_growth_pct",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # K11 ----------------------------------------------------------------------------
@@ -272,7 +272,7 @@ def yoy_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
         as_money("_prev").alias("previous_year_revenue"),
         as_money("_change").alias("revenue_change"),
         "yoy_growth_pct",
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # K12 / K13 ------------------------------------------------------------------------
@@ -308,7 +308,7 @@ def gross_margin_of(costs: DataFrame, revenue: DataFrame) -> DataFrame:
         as_money("total_costs").alias("total_costs"),
         as_money("profit").alias("gross_profit"),
         pct("profit", "revenue").cast("double").alias("gross_margin_pct"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 def gross_margin(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -325,7 +325,7 @@ def cost_vs_revenue(t: Tables, p: Params = DEFAULT) -> DataFrame:
         as_money("support_cost").alias("support_cost"),
         as_money("total_costs").alias("total_costs"),
         as_money("profit").alias("net_profit"),
-    ).orderBy(_desc("month"))
+    ).transform(S.ordered, _desc("month"))
 
 
 # K14 ------------------------------------------------------------------------------
@@ -351,7 +351,7 @@ def ltv_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "total_customers",
         as_money("total_revenue").alias("total_revenue"),
         rounded(ratio("_weighted", "_n"), 2).cast("double").alias("avg_ltv"),
-    ).orderBy(_desc("avg_ltv"))
+    ).transform(S.ordered, _desc("avg_ltv"))
 
 
 def ltv_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -366,7 +366,7 @@ def ltv_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "total_customers",
         as_money("total_revenue").alias("total_revenue"),
         rounded(ratio("total_revenue", "total_customers"), 2).cast("double").alias("avg_ltv"),
-    ).orderBy(_desc("avg_ltv"))
+    ).transform(S.ordered, _desc("avg_ltv"))
 
 
 # K15 -------------------------------------------------------------------------------

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import monthly as M
+from tidemark.operators import series as S
 from tidemark.params import DEFAULT, Params
 from tidemark.schema import PAYMENTS
 from tidemark.session import ensure_checkpoint_dir
@@ -74,4 +75,4 @@ def monthly_revenue(spark: SparkSession, table_dir: str) -> DataFrame:
     m = M.rollup_customer_months(customer_months(spark, table_dir))
     return m.select(
         "month", F.col("revenue").cast("double").alias("monthly_revenue"), "paying_customers", "total_payments"
-    ).orderBy(F.col("month").desc())
+    ).transform(S.ordered, F.col("month").desc())
