@@ -59,6 +59,20 @@ def revenue_by_month(payments: DataFrame, p: Params = DEFAULT, dims: Sequence[st
     return rollup_customer_months(cm, dims)
 
 
+def revenue_only_by_month(payments: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """month -> revenue, for analyses that need no customer counts.
+
+    One shuffle of partial sums: each map task sends at most one row per
+    month, where :func:`revenue_by_month` must shuffle (customer, month)
+    pairs for its distinct count.
+    """
+    return (
+        paid_payments(payments, p)
+        .groupBy(month_start("payment_date").alias("month"))
+        .agg(from_cents(F.sum(cents("amount"))).alias("revenue"))
+    )
+
+
 def rollup_customer_months(cm: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     keys = ["month", *dims]
     return cm.groupBy(*keys).agg(

@@ -55,7 +55,7 @@ def revenue_anomalies_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def revenue_anomalies(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    return revenue_anomalies_of(M.revenue_by_month(t.payments, p), p)
+    return revenue_anomalies_of(M.revenue_only_by_month(t.payments, p), p)
 
 
 # A2 ---------------------------------------------------------------------------
@@ -151,7 +151,7 @@ def conversion_drops(t: Tables, p: Params = DEFAULT) -> DataFrame:
 def anomaly_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Revenue, churn and conversion flags side by side for the latest
     ``report_span_months`` + 1 months of any of the three series."""
-    ra = S.with_lag(M.revenue_by_month(t.payments, p).select("month", "revenue"), "revenue", "_prev")
+    ra = S.with_lag(M.revenue_only_by_month(t.payments, p), "revenue", "_prev")
     ra = ra.select(F.col("month").alias("ra_month"), "revenue", "_prev")
 
     ca = S.with_prior_totals(M.churned_by_month(t.subscriptions), "churned_customers", "_c_sum", "_c_n")
@@ -200,7 +200,7 @@ def revenue_churn_insights(t: Tables, p: Params = DEFAULT) -> DataFrame:
     the segment's churn is > ``insight_churn_factor`` x its earlier mean.
     The sentence says 'dropped' for rises too (Q10) and pads the month
     name to 9 characters (Q9)."""
-    rc = S.with_lag(M.revenue_by_month(t.payments, p).select("month", "revenue"), "revenue", "_prev")
+    rc = S.with_lag(M.revenue_only_by_month(t.payments, p), "revenue", "_prev")
     cbs = S.with_prior_totals(
         M.churned_by_segment_month(t.subscriptions, t.customers),
         "churned_customers",

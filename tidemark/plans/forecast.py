@@ -24,7 +24,7 @@ def _r(c) -> F.Column:
 
 
 def _revenue(t: Tables, p: Params) -> DataFrame:
-    return M.revenue_by_month(t.payments, p)
+    return M.revenue_only_by_month(t.payments, p)
 
 
 # F1 ---------------------------------------------------------------------------
@@ -37,7 +37,7 @@ def moving_averages_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 def revenue_moving_averages(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    s = moving_averages_of(_revenue(t, p), p)
+    s = moving_averages_of(M.revenue_by_month(t.payments, p), p)
     return s.select(
         "month",
         as_money("revenue").alias("revenue"),

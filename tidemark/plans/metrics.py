@@ -228,7 +228,7 @@ def mom_growth_of(m: DataFrame, value: str = "revenue") -> DataFrame:
 
 
 def mom_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    g = mom_growth_of(M.revenue_by_month(t.payments, p))
+    g = mom_growth_of(M.revenue_only_by_month(t.payments, p))
     return g.select(
         "month",
         as_money("revenue").alias("revenue"),
@@ -265,7 +265,7 @@ def yoy_growth_of(m: DataFrame) -> DataFrame:
 
 
 def yoy_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    g = yoy_growth_of(M.revenue_by_month(t.payments, p))
+    g = yoy_growth_of(M.revenue_only_by_month(t.payments, p))
     return g.select(
         "month",
         as_money("revenue").alias("current_revenue"),
@@ -312,11 +312,11 @@ def gross_margin_of(costs: DataFrame, revenue: DataFrame) -> DataFrame:
 
 
 def gross_margin(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    return gross_margin_of(t.costs, M.revenue_by_month(t.payments, p))
+    return gross_margin_of(t.costs, M.revenue_only_by_month(t.payments, p))
 
 
 def cost_vs_revenue(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    j = costs_with_revenue(t.costs, M.revenue_by_month(t.payments, p))
+    j = costs_with_revenue(t.costs, M.revenue_only_by_month(t.payments, p))
     return j.select(
         "month",
         as_money("revenue").alias("revenue"),
