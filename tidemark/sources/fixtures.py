@@ -32,7 +32,6 @@ FAILED_ORDER_STATUS = "F"
 HORIZON = "2001-08-01"  # last order date: end dates are capped here
 PLAN_ORDER = ("Basic", "Pro", "Enterprise")  # o_orderkey % 3 = 0, 1, 2
 COST_MONEY = "decimal(18,2)"
-COST_INPUT = "decimal(15,2)"
 
 
 # Declared schemas of the test tables (only the columns the mapping reads):
@@ -111,15 +110,26 @@ def customers(customer: DataFrame, nation: DataFrame, orders: DataFrame, subs: D
 
 
 def costs(lineitem: DataFrame) -> DataFrame:
-    price = F.col("l_extendedprice").cast(COST_INPUT)
-
-    def total(x):
-        return F.sum(x).cast(COST_MONEY)
-
+    """Monthly costs from lineitem: infra = sum(price x tax), marketing =
+    sum(price x discount), support = sum(quantity), as DECIMAL(18,2).
+
+    The inputs carry at most two decimals, so their exact values are
+    integer cents: products are then exact integers in 1e-4 units and the
+    sums exact BIGINTs (ANSI mode raises on overflow), equal to summing
+    ``CAST(x AS DECIMAL(15,2))`` products without a BigDecimal per row.
+    The final DECIMAL(18,2) rounds half up, as the oracle's cast does.
+    """
+    def units(c):
+        return F.round(F.col(c) * F.lit(100.0)).cast("long")
+
+    def total(x, scale: int):
+        return (F.sum(x).cast("decimal(38,0)") / F.lit(10**scale)).cast(COST_MONEY)
+
+    price = units("l_extendedprice")
     return lineitem.groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("month")).agg(
-        total(price * F.col("l_tax").cast(COST_INPUT)).alias("infra_cost"),
-        total(price * F.col("l_discount").cast(COST_INPUT)).alias("marketing_cost"),
-        total(F.col("l_quantity").cast(COST_INPUT)).alias("support_cost"),
+        total(price * units("l_tax"), 4).alias("infra_cost"),
+        total(price * units("l_discount"), 4).alias("marketing_cost"),
+        total(units("l_quantity"), 2).alias("support_cost"),
     )
 
 
