@@ -68,3 +68,14 @@ def test_dashboard_export(spark):
     assert monthly.count() == ANALYSES["monthly_revenue"](t).count()
     fc = spark.read.option("header", True).csv(paths["revenue_forecast"])
     assert fc.columns == ["data_type", "period", "value"] and fc.count() == 19
+
+
+def test_command_line_runs_on_csv_tables(spark):
+    from tidemark.__main__ import main
+
+    root, out = scratch(), scratch()
+    for name, df in model_tables(spark).items():
+        export_csv(df, os.path.join(root, f"{name}.csv"))
+    assert main(["--input", root, "--output", out, "--analyses", "monthly_revenue,churn_rate", "--out-format", "csv"]) == 0
+    got = spark.read.option("header", True).csv(os.path.join(out, "churn_rate"))
+    assert got.count() == ANALYSES["churn_rate"](fixtures.tables(spark, SF_SMALL)).count()
