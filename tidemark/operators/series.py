@@ -55,7 +55,7 @@ def with_trailing_stats(
     """Mean and sample stddev of the ``rows`` rows before the current one."""
     w = window(order, partition).rowsBetween(-rows, -1)
     v = F.col(value).cast("double")
-    return df.withColumn(avg_name, F.avg(v).over(w)).withColumn(sd_name, F.stddev_samp(v).over(w))
+    return df.withColumns({avg_name: F.avg(v).over(w), sd_name: F.stddev_samp(v).over(w)})
 
 
 def with_prior_totals(
@@ -68,7 +68,7 @@ def with_prior_totals(
     loop or cartesian product the correlated form plans.
     """
     w = window(order, partition).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(sum_name, F.sum(value).over(w)).withColumn(count_name, F.count(value).over(w))
+    return df.withColumns({sum_name: F.sum(value).over(w), count_name: F.count(value).over(w)})
 
 
 def with_prior_mean(df: DataFrame, value: Column, name: str, order: str = "month", partition: Sequence[str] = ()) -> DataFrame:

@@ -29,11 +29,16 @@ def _revenue(t: Tables, p: Params) -> DataFrame:
 
 # F1 ---------------------------------------------------------------------------
 def moving_averages_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    s = S.with_moving_avg(m, "revenue", p.short_window, "_ma_short")
-    s = S.with_moving_avg(s, "revenue", p.long_window, "_ma_long")
-    s = S.with_lag(s, "revenue", "_prev", 1)
-    s = S.with_lag(s, "revenue", "_prev_year", 12)
-    return s
+    w = S.window()
+    rev = F.col("revenue").cast("double")
+    return m.withColumns(
+        {
+            "_ma_short": F.avg(rev).over(w.rowsBetween(-(p.short_window - 1), 0)),
+            "_ma_long": F.avg(rev).over(w.rowsBetween(-(p.long_window - 1), 0)),
+            "_prev": F.lag("revenue", 1).over(w),
+            "_prev_year": F.lag("revenue", 12).over(w),
+        }
+    )
 
 
 def revenue_moving_averages(t: Tables, p: Params = DEFAULT) -> DataFrame:
