@@ -13,7 +13,9 @@ from tidemark.functions import pct
 from tidemark.plans import anomaly, forecast, metrics
 from tidemark.sources import read_csv
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(GOLDEN_DIR), reason="golden files missing")
+pytestmark = pytest.mark.skipif(
+    not (GOLDEN_DIR and os.path.isdir(GOLDEN_DIR)), reason="set TIDEMARK_GOLDEN_DIR to the exported outputs"
+)
 
 
 def golden(spark, name, fields, parse_month=True):
@@ -80,6 +82,7 @@ def test_combined_forecast_corrected(monthly):
     assert [r.value for r in got.collect()] == [609977.75, 627050.485, 644123.22, 661195.955, 678268.69, 695341.425]
 
 
+@pytest.mark.skipif(not (COSTS_CSV and os.path.exists(COSTS_CSV)), reason="set TIDEMARK_COSTS_CSV")
 def test_gross_margin(spark, monthly):
     costs = read_csv(spark, COSTS_CSV, "costs")
     exp = golden(spark, "gross_margin", [("month", T.StringType()), ("revenue", T.DoubleType()),
