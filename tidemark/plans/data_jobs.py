@@ -47,23 +47,21 @@ def table_row_counts(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 # L3 ---------------------------------------------------------------------------
 def load_checks(t: Tables, p: Params = DEFAULT) -> DataFrame:
+    """One conditional aggregate per table (one scan each), unpivoted to
+    (check_type, count) rows."""
+
     def n(cond):
-        return F.count(F.when(cond, F.lit(1)))
+        return F.count(F.when(cond, F.lit(1))).alias
 
-    cust = t.customers.agg(F.count(F.lit(1)).alias("c0"))
-    subs = t.subscriptions.agg(n(F.col("end_date").isNull()).alias("c1"), n(F.col("end_date").isNotNull()).alias("c2"))
+    cust = t.customers.agg(F.count(F.lit(1)).alias(LOAD_CHECK_LABELS[0]))
+    subs = t.subscriptions.agg(
+        n(F.col("end_date").isNull())(LOAD_CHECK_LABELS[1]), n(F.col("end_date").isNotNull())(LOAD_CHECK_LABELS[2])
+    )
     pays = t.payments.agg(
-        n(F.col("payment_status") == F.lit(p.paid_status)).alias("c3"),
-        n(F.col("payment_status") == F.lit(FAILED_STATUS)).alias("c4"),
+        n(F.col("payment_status") == F.lit(p.paid_status))(LOAD_CHECK_LABELS[3]),
+        n(F.col("payment_status") == F.lit(FAILED_STATUS))(LOAD_CHECK_LABELS[4]),
     )
-    parts = [
-        cust.select(F.lit(LOAD_CHECK_LABELS[0]).alias("check_type"), F.col("c0").alias("count")),
-        subs.select(F.lit(LOAD_CHECK_LABELS[1]).alias("check_type"), F.col("c1").alias("count")),
-        subs.select(F.lit(LOAD_CHECK_LABELS[2]).alias("check_type"), F.col("c2").alias("count")),
-        pays.select(F.lit(LOAD_CHECK_LABELS[3]).alias("check_type"), F.col("c3").alias("count")),
-        pays.select(F.lit(LOAD_CHECK_LABELS[4]).alias("check_type"), F.col("c4").alias("count")),
-    ]
-    return _union(parts)
+    return _union([row.unpivot([], [f"`{c}`" for c in row.columns], "check_type", "count") for row in (cust, subs, pays)])
 
 
 # L4 ---------------------------------------------------------------------------
