@@ -25,7 +25,7 @@ def spark():
 
 @pytest.fixture(scope="session")
 def oracle_con():
-    from tidemark.checks import duckdb_connection
+    from oracle_compare import duckdb_connection
 
     if not os.path.isdir(SF_ORACLE):
         pytest.skip("test data missing")

@@ -1,4 +1,5 @@
-"""Compare a Spark result with a DuckDB oracle result (order-insensitive).
+"""Test helper: compare a Spark result with a DuckDB oracle result
+(order-insensitive).
 
 Used by the tests; mirrors an external gate that checks row count,
 column names and an order-insensitive hash of the values.

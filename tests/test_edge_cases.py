@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import types as T
 
 import __spark_entry__ as E
-from tidemark.checks import compare
+from oracle_compare import compare
 from tidemark.model import Tables
 from tidemark.oracle import model_sql
 from tidemark.plans import ANALYSES, data_jobs

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_ORACLE
-from tidemark.checks import compare
+from oracle_compare import compare
 
 KEYS = sorted(E.queries())
 

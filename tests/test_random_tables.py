@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from test_edge_cases import analysis, build
-from tidemark.checks import compare
+from oracle_compare import compare
 from tidemark.oracle import model_sql
 from tidemark.params import DEFAULT
 

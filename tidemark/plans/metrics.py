@@ -2,8 +2,9 @@
 
 Each function takes the model :class:`~tidemark.model.Tables` and returns a
 lazy DataFrame in the reference's column order and sort order.  Money is
-summed as DECIMAL and output as DOUBLE; percentages are rounded half away
-from zero (see :mod:`tidemark.functions.numeric`).
+summed exactly (BIGINT cents below month level, DECIMAL above) and output
+as DOUBLE; percentages are rounded half away from zero (see
+:mod:`tidemark.functions.numeric`).
 """
 
 from __future__ import annotations
