@@ -106,16 +106,21 @@ def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
 # K5 -------------------------------------------------------------------------
 def churn_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Literal: the WHERE keeps ended subscriptions only, so the 'active'
-    count is always 0 and the rate 100 (Q4)."""
-    ended = M.ended_subscriptions(t.subscriptions)
-    seg = t.customers.select("customer_id", "segment").distinct()
+    count is always 0 and the rate 100 (Q4).
+
+    Subscriptions are reduced to one row per (customer, end month) before
+    the join to customers, so a customer holding a third of all
+    subscriptions is one row per month, not a hot join task."""
     per_customer = (
-        ended.join(seg, "customer_id")
-        .groupBy("segment", F.trunc("end_date", "month").alias("month"), "customer_id")
+        M.ended_subscriptions(t.subscriptions)
+        .groupBy("customer_id", F.trunc("end_date", "month").alias("month"))
         .agg(F.max(F.col("end_date").isNull().cast("int")).alias("open"))
     )
-    g = per_customer.groupBy("segment", "month").agg(
-        F.count("customer_id").alias("churned_customers"), F.sum("open").cast("long").alias("active_customers")
+    seg = t.customers.select("customer_id", "segment").distinct()
+    g = (
+        per_customer.join(seg, "customer_id")
+        .groupBy("segment", "month")
+        .agg(F.count("customer_id").alias("churned_customers"), F.sum("open").cast("long").alias("active_customers"))
     )
     return g.select(
         "segment",
@@ -132,29 +137,31 @@ def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
     Open subscriptions at each month end come from +1/-1 events summed
     cumulatively per segment (a window over months), not from a
-    month-by-subscription range join.
+    month-by-subscription range join.  Events are netted per (customer,
+    month) before the join to customers, so a hot customer is one row per
+    month.
     """
-    seg = t.customers.select("customer_id", "segment").distinct()
-    s = t.subscriptions.join(seg, "customer_id")
     start_m = F.trunc("start_date", "month")
     end_m = F.trunc("end_date", "month")
 
     def event(month, opened, ended):
         return F.struct(month.alias("month"), F.lit(opened).alias("opened"), F.lit(ended).alias("ended"))
 
-    ev = s.select(
-        "segment",
+    ev = t.subscriptions.select(
+        "customer_id",
         F.explode(
-            F.when(
-                F.col("end_date").isNull(), F.array(event(start_m, 1, 0))
-            ).otherwise(
+            F.when(F.col("end_date").isNull(), F.array(event(start_m, 1, 0))).otherwise(
                 # closed in the later of start and end month (an end before the
                 # start is never open); counted as churn in its end month
                 F.array(event(start_m, 1, 0), event(F.greatest(start_m, end_m), -1, 0), event(end_m, 0, 1))
             )
         ).alias("e"),
-    ).select("segment", "e.month", "e.opened", "e.ended")
-    ev = ev.groupBy("segment", "month").agg(
+    ).select("customer_id", "e.month", "e.opened", "e.ended")
+    per_customer = ev.groupBy("customer_id", "month").agg(
+        F.sum("opened").cast("long").alias("opened"), F.sum("ended").cast("long").alias("ended")
+    )
+    seg = t.customers.select("customer_id", "segment").distinct()
+    ev = per_customer.join(seg, "customer_id").groupBy("segment", "month").agg(
         F.sum("opened").cast("long").alias("opened"), F.sum("ended").cast("long").alias("ended")
     )
     w = S.window("month", ["segment"]).rowsBetween(Window.unboundedPreceding, 0)
