@@ -339,20 +339,24 @@ def cost_vs_revenue(t: Tables, p: Params = DEFAULT) -> DataFrame:
 # K14 ------------------------------------------------------------------------------
 def _customer_ltv(t: Tables, p: Params) -> DataFrame:
     """Per customer: total successful revenue and payment count (one pass
-    over payments instead of the reference's two)."""
+    over payments instead of the reference's two), joined to (customer,
+    segment) with the number ``n`` of such customer rows (literal fan-out
+    without repeating rows)."""
     per_customer = M.customer_totals(t.payments, p)
-    return t.customers.select("customer_id", "segment").join(per_customer, "customer_id")
+    attrs = t.customers.groupBy("customer_id", "segment").agg(F.count(F.lit(1)).alias("n"))
+    return attrs.join(per_customer, "customer_id")
 
 
 def ltv_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Literal (Q6): the average runs over payment rows, so each customer's
     LTV weighs by its payment count."""
     j = _customer_ltv(t, p)
+    n = F.col("n")
     g = j.groupBy("segment").agg(
-        F.count_distinct("customer_id").alias("total_customers"),
-        from_cents(F.sum("revenue_cents")).alias("total_revenue"),
-        from_cents(F.sum(F.col("revenue_cents") * F.col("n_payments"))).alias("_weighted"),
-        F.sum("n_payments").alias("_n"),
+        F.count("customer_id").alias("total_customers"),
+        from_cents(F.sum(F.col("revenue_cents") * n)).alias("total_revenue"),
+        from_cents(F.sum(F.col("revenue_cents") * F.col("n_payments") * n)).alias("_weighted"),
+        F.sum(F.col("n_payments") * n).alias("_n"),
     )
     return g.select(
         "segment",
