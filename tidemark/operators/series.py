@@ -111,10 +111,18 @@ def month_align(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     )
 
 
-def month_spine(df: DataFrame, order: str = "month") -> DataFrame:
-    """Continuous month starts from MIN to MAX of ``order`` (one per month)."""
-    bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(order))
+def fill_month_gaps(df: DataFrame, values: Sequence[str], order: str = "month") -> DataFrame:
+    """Continuous months from the first to the last row, ``values`` 0 in
+    months without a row.  Each row expands to itself and the missing
+    months up to the next row (``lead``), so the series is read once and
+    no spine is joined back to it."""
+    s = df.withColumn("_next", F.lead(order).over(window(order)))
+    last = F.coalesce(F.add_months("_next", -1), F.col(order))
+    s = s.select(F.explode(F.sequence(F.col(order), last, F.expr("INTERVAL 1 MONTH"))).alias("_m"), order, *values)
+    same = F.col("_m") == F.col(order)
+    return s.select(
+        F.col("_m").alias(order), *[F.when(same, F.col(v)).otherwise(F.lit(0)).alias(v) for v in values]
+    )
 
 
 def ordered(df: DataFrame, *cols) -> DataFrame:
@@ -127,3 +135,18 @@ def ordered(df: DataFrame, *cols) -> DataFrame:
     fact-sized data.
     """
     return df.repartition(1).sortWithinPartitions(*cols)
+
+
+def month_index(c="month") -> Column:
+    """Months since year 0 (year * 12 + month - 1): a numeric key for
+    calendar-offset RANGE frames."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.year(c) * 12 + F.month(c) - 1
+
+
+def with_calendar_lag(df: DataFrame, value: str, name: str, months: int, order: str = "month") -> DataFrame:
+    """``value`` of the row exactly ``months`` calendar months earlier
+    (NULL if that month is missing): a RANGE frame on the month index
+    instead of a self-join, so the series is computed and read once."""
+    w = Window.orderBy(month_index(order)).rangeBetween(-months, -months)
+    return df.withColumn(name, F.max(value).over(w))

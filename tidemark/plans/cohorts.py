@@ -3,10 +3,10 @@ retention cohorts, month-over-month retention (definitions are ours)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import month_start, months_ahead, pct
+from tidemark.functions import month_start, pct
 from tidemark.model import Tables
 from tidemark.operators import monthly as M
 from tidemark.operators import series as S
@@ -51,19 +51,21 @@ def retention_month_over_month(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Of the customers paying in month m-1, the share also paying in m
     (for every month m with payers whose previous month had payers).
 
-    An equi-join of the (customer, month) table with itself shifted by one
-    month; both sides are unique per key, so the join neither fans out
-    nor skews."""
+    Each (customer, month) row learns from a per-customer ``lag`` whether
+    the customer also paid the month before; monthly totals and a calendar
+    lag of the payer count follow.  The (customer, month) table is read
+    once, and a customer has at most one row per month, so the
+    per-customer window cannot skew."""
     cm = M.customer_months(t.payments, p).select("customer_id", "month")
-    shifted = cm.select("customer_id", months_ahead("month", 1).alias("month"))
-    base = shifted.groupBy("month").agg(F.count("customer_id").alias("customers_prev_month"))
-    kept = shifted.join(cm, ["customer_id", "month"]).groupBy("month").agg(
-        F.count("customer_id").alias("retained_customers")
+    paid_before = F.lag("month").over(Window.partitionBy("customer_id").orderBy("month")) == F.add_months("month", -1)
+    per_month = (
+        cm.withColumn("_kept", paid_before.cast("int"))
+        .groupBy("month")
+        .agg(F.count("customer_id").alias("payers"), F.sum("_kept").alias("retained"))
     )
-    months = cm.select("month").distinct()  # months with payers
-    j = base.join(months, "month").join(kept, "month", "left")
-    r = F.coalesce(F.col("retained_customers"), F.lit(0))
-    return j.select(
+    s = S.with_calendar_lag(per_month, "payers", "customers_prev_month", 1)
+    r = F.coalesce(F.col("retained"), F.lit(0)).cast("long")
+    return s.where(F.col("customers_prev_month").isNotNull()).select(
         "month",
         "customers_prev_month",
         r.alias("retained_customers"),

@@ -141,11 +141,7 @@ def active_status(t: Tables, p: Params = DEFAULT) -> DataFrame:
 def month_spine(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Every month from the first to the last payment month, with the
     month's successful revenue and payers (0 for months without any)."""
-    m = M.revenue_by_month(t.payments, p)
-    spine = S.month_spine(m)
-    j = spine.join(m, "month", "left")
-    return j.select(
-        "month",
-        F.coalesce(F.col("revenue"), F.lit(0)).cast("double").alias("revenue"),
-        F.coalesce(F.col("paying_customers"), F.lit(0)).alias("paying_customers"),
+    m = M.revenue_by_month(t.payments, p).select("month", "revenue", "paying_customers")
+    return S.fill_month_gaps(m, ["revenue", "paying_customers"]).select(
+        "month", F.col("revenue").cast("double").alias("revenue"), "paying_customers"
     ).transform(S.ordered, "month")

@@ -103,27 +103,29 @@ def moving_average_forecast(t: Tables, p: Params = DEFAULT) -> DataFrame:
 # F4 ---------------------------------------------------------------------------
 def seasonal_forecast_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """latest x (1 + g/100)^(k/12), g = mean year-over-year growth % of the
-    target calendar month (0 when the previous year's revenue is not > 0)."""
-    cur = m.select("month", "revenue")
-    prev = m.select(months_ahead("month", 12).alias("_next_year"), F.col("revenue").alias("_prev"))
+    target calendar month (0 when the previous year's revenue is not > 0;
+    months of the year without any year-over-year pair get no forecast).
+
+    One pass over the monthly series: the previous year comes from a
+    12-month RANGE frame, the per-calendar-month means (at most 12) are
+    attached to every row as a small map, and the latest row is expanded
+    to the horizon."""
+    s = S.with_calendar_lag(m.select("month", "revenue"), "revenue", "_prev", 12)
     growth = F.when(
         F.col("_prev") > 0,
         (F.col("revenue") - F.col("_prev")).cast("double") / F.col("_prev").cast("double") * F.lit(100.0),
     ).otherwise(F.lit(0.0))
-    yoy = (
-        cur.join(prev, cur.month == prev._next_year)  # the reference's LEFT JOIN + IS NOT NULL
-        .groupBy(F.month("month").alias("month_num"))
-        .agg(F.avg(growth).alias("avg_yoy_growth_pct"))
-    )
-    latest = S.horizon(S.latest_row(cur), p.horizon, "months_ahead")
-    latest = latest.withColumn(
-        "forecast_month_num", (F.month("month") + F.col("months_ahead") - 1) % 12 + 1
-    )
-    j = latest.join(yoy, latest.forecast_month_num == yoy.month_num)
-    g = F.col("avg_yoy_growth_pct")
+    s = s.withColumns({"_g": F.when(F.col("_prev").isNotNull(), growth), "_moy": F.month("month")})
+    s = s.withColumn("_g_moy", F.avg("_g").over(Window.partitionBy("_moy")))
+    entry = F.when(F.col("_g_moy").isNotNull(), F.struct("_moy", "_g_moy"))
+    s = s.withColumn("_season", F.map_from_entries(F.collect_set(entry).over(S.whole())))
+    steps = S.horizon(S.latest_row(s), p.horizon, "months_ahead")
+    target = months_ahead("month", F.col("months_ahead"))
+    steps = steps.withColumns({"forecast_month": target, "_g_target": F.element_at("_season", F.month(target))})
+    g = F.col("_g_target")
     value = F.col("revenue").cast("double") * F.pow(F.lit(1.0) + g / F.lit(100.0), F.col("months_ahead") / F.lit(12.0))
-    return j.select(
-        months_ahead("month", F.col("months_ahead")).alias("forecast_month"),
+    return steps.where(g.isNotNull()).select(
+        "forecast_month",
         _r(value).alias("forecasted_revenue"),
         _r(g).alias("yoy_growth_rate"),
     ).transform(S.ordered, F.col("forecast_month").asc_nulls_last())
@@ -138,32 +140,45 @@ def combined_forecast_of(m: DataFrame, p: Params = DEFAULT, corrected: bool = Fa
     """Last ``report_span_months`` + 1 actual months, then ``horizon`` months of
     (MA3 + max(0, latest + k x last change)) / 2.
 
-    Literal (Q2): the reference filters to the latest month *before* its
-    LAG, so the change is NULL, GREATEST(0, NULL) = 0 and the forecast is
-    a flat MA3 / 2.  ``corrected=True`` takes the change before filtering.
+    Literal (Q2): the reference takes its LAG after keeping only the latest
+    month, so the change is always NULL, GREATEST(0, NULL) = 0 and the
+    forecast is a flat MA3 / 2.  ``corrected=True`` uses the change from the
+    previous month.  One pass: every monthly row expands to its candidate
+    output rows (its history row, and the forecast rows if it is the
+    latest), which are then filtered.
     """
-    h = S.with_moving_avg(m.select("month", "revenue"), "revenue", p.short_window, "_ma_short")
-    if corrected:
-        h = S.with_lag(h, "revenue", "_prev")
-        latest = S.latest_row(h)
-    else:
-        latest = S.with_lag(S.latest_row(h), "revenue", "_prev")
-    change = (F.col("revenue") - F.col("_prev")).cast("double")
-    steps = S.horizon(latest, p.horizon, "k")
-    linear = F.greatest(F.lit(0.0), F.col("revenue").cast("double") + change * F.col("k"))
-    forecast = steps.select(
-        F.lit(FORECAST).alias("data_type"),
-        months_ahead("month", F.col("k")).alias("period"),
-        _r((F.col("_ma_short") + linear) / F.lit(2.0)).alias("value"),
-        F.lit(COMBINED_METHOD).alias("forecast_method"),
+    w = S.window()
+    h = m.select("month", "revenue").withColumns(
+        {
+            "_ma_short": F.avg(F.col("revenue").cast("double")).over(w.rowsBetween(-(p.short_window - 1), 0)),
+            "_prev": F.lag("revenue").over(w),
+            "_latest": F.max("month").over(S.whole()),
+        }
     )
-    history = S.since_latest(h, p.report_span_months).select(
-        F.lit(HISTORICAL).alias("data_type"),
-        F.col("month").alias("period"),
-        _r(F.col("revenue")).alias("value"),
-        F.lit(None).cast("string").alias("forecast_method"),
+    change = (F.col("revenue") - F.col("_prev")).cast("double") if corrected else F.lit(None).cast("double")
+    is_latest = F.col("month") == F.col("_latest")
+    in_history = F.col("month") >= months_ahead("_latest", -p.report_span_months)
+
+    def row(keep, data_type, period, value, method):
+        return F.struct(
+            keep.alias("keep"),
+            F.lit(data_type).alias("data_type"),
+            period.alias("period"),
+            _r(value).alias("value"),
+            method.alias("forecast_method"),
+        )
+
+    history = row(in_history, HISTORICAL, F.col("month"), F.col("revenue"), F.lit(None).cast("string"))
+
+    def forecast(k):
+        linear = F.greatest(F.lit(0.0), F.col("revenue").cast("double") + change * k)
+        return row(is_latest, FORECAST, months_ahead("month", k), (F.col("_ma_short") + linear) / F.lit(2.0), F.lit(COMBINED_METHOD))
+
+    candidates = F.concat(F.array(history), F.transform(F.sequence(F.lit(1), F.lit(p.horizon)), forecast))
+    out = h.select(F.explode(candidates).alias("r")).where("r.keep")
+    return out.select("r.data_type", "r.period", "r.value", "r.forecast_method").transform(
+        S.ordered, F.col("data_type").desc_nulls_first(), F.col("period").asc_nulls_last()
     )
-    return history.unionByName(forecast).transform(S.ordered, F.col("data_type").desc_nulls_first(), F.col("period").asc_nulls_last())
 
 
 def combined_forecast(t: Tables, p: Params = DEFAULT) -> DataFrame:

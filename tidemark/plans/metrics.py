@@ -260,10 +260,10 @@ def customer_mom_growth(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 # K11 ----------------------------------------------------------------------------
 def yoy_growth_of(m: DataFrame) -> DataFrame:
-    """Calendar join to the same month one year earlier (not LAG 12)."""
-    cur = m.select("month", "revenue")
-    prev = m.select(months_ahead("month", 12).alias("_next_year"), F.col("revenue").alias("_prev"))
-    return cur.join(prev, cur.month == prev._next_year, "left").select(
+    """Same calendar month one year earlier (not LAG 12): a 12-month RANGE
+    frame on the month index replaces the reference's self-join."""
+    s = S.with_calendar_lag(m.select("month", "revenue"), "revenue", "_prev", 12)
+    return s.select(
         "month",
         "revenue",
         "_prev",
