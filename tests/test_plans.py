@@ -62,3 +62,16 @@ def test_monthly_revenue_scan_is_pruned(spark):
     assert schema is not None
     cols = schema.group(1)
     assert "o_orderpriority" not in cols and "o_orderkey" not in cols
+
+
+@pytest.mark.parametrize("key", [k for k in KEYS if k != "integrity_report"])
+def test_payments_scanned_at_most_once(spark, key):
+    """Each analysis reads the payment facts once: a monthly series used
+    twice (self-joins, union branches) would otherwise rescan them."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_text(spark, key)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    scans = re.findall(r"FileScan parquet [^\n]*\[([^\]]*)\]", plan)
+    assert sum("o_totalprice" in s or "o_orderstatus" in s for s in scans) <= 1, key
