@@ -108,6 +108,28 @@ def new_by_month(subscriptions: DataFrame) -> DataFrame:
     )
 
 
+def starts_and_churn_by_month(subscriptions: DataFrame) -> DataFrame:
+    """month -> new_customers (distinct customers starting a subscription)
+    and churned_customers (distinct customers with one ending), from one
+    pass: each subscription becomes a start and an end event, events are
+    made distinct per (customer, kind, month), then counted."""
+    event = lambda kind, d: F.struct(F.lit(kind).alias("kind"), month_start(d).alias("month"))
+    ev = (
+        subscriptions.select("customer_id", F.explode(F.array(event("start", "start_date"), event("end", "end_date"))).alias("e"))
+        # a subscription without end date has no end event
+        .where(F.col("e.month").isNotNull() | (F.col("e.kind") == "start"))
+        .select("customer_id", "e.kind", "e.month")
+        .distinct()
+    )
+    start, end = F.col("kind") == "start", F.col("kind") == "end"
+    return ev.groupBy("month").agg(
+        F.count(F.when(start, F.col("customer_id"))).alias("new_customers"),
+        F.count(F.when(end, F.col("customer_id"))).alias("churned_customers"),
+        # the month has subscription starts (even if their customer ids are NULL)
+        (F.count(F.when(start, F.lit(1))) > 0).alias("has_starts"),
+    )
+
+
 def ended_subscriptions(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.where(F.col("end_date").isNotNull())
 

@@ -45,8 +45,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def dashboard_frames(t: Tables, p: Params = DEFAULT) -> dict[str, DataFrame]:
     monthly = materialize(M.revenue_by_month(t.payments, p))
-    churned = materialize(M.churned_by_month(t.subscriptions))
-    new = materialize(M.new_by_month(t.subscriptions))
+    subs_monthly = materialize(M.starts_and_churn_by_month(t.subscriptions))
+    churned = subs_monthly.where(F.col("churned_customers") > 0).select("month", "churned_customers")
     conv = materialize(M.conversions_by_month(t.customers, t.subscriptions))
     mom = metrics.mom_growth_of(monthly)
     return {
@@ -54,7 +54,7 @@ def dashboard_frames(t: Tables, p: Params = DEFAULT) -> dict[str, DataFrame]:
             "month", F.col("revenue").cast("double").alias("monthly_revenue"), "paying_customers"
         ).transform(S.ordered, F.col("month").desc()),
         "revenue_by_segment": metrics.revenue_by_segment_total(t, p),
-        "churn_rate": metrics.churn_rate_of(monthly, churned, new),
+        "churn_rate": metrics.churn_rate_of(monthly, subs_monthly),
         "churn_spike_detection": anomaly.churn_spikes_export_of(churned, p),
         "conversion_rate": metrics.conversion_rate_of(conv),
         "mom_growth": mom.select(

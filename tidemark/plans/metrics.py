@@ -78,19 +78,21 @@ def revenue_by_plan(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 # K4 -------------------------------------------------------------------------
-def churn_rate_of(monthly: DataFrame, churned: DataFrame, new: DataFrame) -> DataFrame:
-    """monthly: month, paying_customers; churned: month, churned_customers;
-    new: month, new_customers."""
+def churn_rate_of(monthly: DataFrame, subs_monthly: DataFrame) -> DataFrame:
+    """monthly: month, paying_customers; subs_monthly: month, new_customers,
+    churned_customers (:func:`~tidemark.operators.monthly.starts_and_churn_by_month`).
+
+    The month shown is the start month when the month has new
+    subscriptions, else the payment month: a month with churn only has no
+    month (Q12), as in the reference's chain of full joins."""
     active = monthly.select(F.col("month").alias("active_month"), F.col("paying_customers").alias("active_customers"))
-    churned = churned.withColumnRenamed("month", "churn_month")
-    new = new.select(F.col("month").alias("new_month"))
-    j = S.month_align(active, churned, "active_month", "churn_month", "_key")
-    j = j.join(new, j["_key"] == new["new_month"], "full_outer")
+    subs = subs_monthly.withColumnRenamed("month", "subs_month")
+    j = active.join(subs, active.active_month == subs.subs_month, "full_outer")
     a = F.coalesce(F.col("active_customers"), F.lit(0))
     c = F.coalesce(F.col("churned_customers"), F.lit(0))
+    has_new = F.coalesce(F.col("has_starts"), F.lit(False))
     return j.select(
-        # literal: a month with churn only and no new subscription has no month (Q12)
-        F.coalesce(F.col("new_month"), F.col("active_month")).alias("month"),
+        F.when(has_new, F.col("subs_month")).otherwise(F.col("active_month")).alias("month"),
         a.alias("active_customers"),
         c.alias("churned_customers"),
         F.when(a > 0, pct(c, a + c)).otherwise(F.lit(0)).cast("double").alias("churn_rate_pct"),
@@ -98,9 +100,7 @@ def churn_rate_of(monthly: DataFrame, churned: DataFrame, new: DataFrame) -> Dat
 
 
 def churn_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
-    return churn_rate_of(
-        M.revenue_by_month(t.payments, p), M.churned_by_month(t.subscriptions), M.new_by_month(t.subscriptions)
-    )
+    return churn_rate_of(M.revenue_by_month(t.payments, p), M.starts_and_churn_by_month(t.subscriptions))
 
 
 # K5 -------------------------------------------------------------------------
