@@ -6,7 +6,6 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import as_money, from_cents, month_from_text, months_ahead, pct, ratio, rounded
+from tidemark.functions import as_money, from_cents, month_from_text, pct, ratio, rounded
 from tidemark.model import Tables
 from tidemark.operators import monthly as M
 from tidemark.operators import series as S
