@@ -79,3 +79,26 @@ def test_command_line_runs_on_csv_tables(spark):
     assert main(["--input", root, "--output", out, "--analyses", "monthly_revenue,churn_rate", "--out-format", "csv"]) == 0
     got = spark.read.option("header", True).csv(os.path.join(out, "churn_rate"))
     assert got.count() == ANALYSES["churn_rate"](fixtures.tables(spark, SF_SMALL)).count()
+
+
+def test_dashboard_frames_match_queries(spark):
+    """The exports reuse checkpointed monthly tables; their rows must equal
+    the stand-alone analyses on the shared columns."""
+    from tidemark.plans.dashboard import dashboard_frames
+
+    t = fixtures.tables(spark, SF_SMALL)
+    frames = dashboard_frames(t)
+
+    def rows(df, cols):
+        return sorted((tuple(r) for r in df.select(*cols).collect()), key=str)
+
+    pairs = {
+        "churn_rate": ("churn_rate", ["month", "active_customers", "churned_customers", "churn_rate_pct"]),
+        "churn_spike_detection": ("churn_spikes_export", ["month", "churned_customers", "avg_prev_6months", "anomaly_flag"]),
+        "conversion_rate": ("conversion_rate", ["month", "total_signups", "converted_customers", "conversion_rate_pct"]),
+        "gross_margin": ("gross_margin", ["month", "revenue", "total_costs", "gross_profit", "gross_margin_pct"]),
+        "revenue_anomalies": ("revenue_anomalies", ["month", "revenue", "prev_month_revenue", "mom_change_pct", "anomaly_flag"]),
+        "revenue_by_segment": ("revenue_by_segment_total", ["segment", "total_revenue", "customers"]),
+    }
+    for export, (key, cols) in pairs.items():
+        assert rows(frames[export], cols) == rows(ANALYSES[key](t), cols), export
