@@ -210,7 +210,7 @@ def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(rid, doc_id, n, fp, m1, m2, prefix)`` for every row."""
+    """``(rid, doc_id, tk, n, fp, m1, m2, prefix)`` for every row."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -234,14 +234,16 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     pre.append(prefix(t, late).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("rid"), batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
+                        batch.column("rid"), batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                         pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), pa.array(pre, pa.list_(pa.int64())),
                     ],
-                    names=["rid", "doc_id", "n", "fp", "m1", "m2", "prefix"],
+                    names=["rid", "doc_id", "tk", "n", "fp", "m1", "m2", "prefix"],
                 )
 
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"rid long, doc_id {kind}, n long, fp binary, m1 long, m2 long, prefix array<long>")
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, m1 long, m2 long, prefix array<long>")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -315,29 +317,57 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``(rid, doc_id, n_shingles, component_id)`` for every row."""
+    """``(doc_id, tk, n_shingles, root, component_id)`` for every row."""
     docs = docs.select("doc_id", "text")
     seen = materialise(describe(docs, frequent_tokens(docs, docs.count())), "sets")
     full = seen.filter("n > 0")
     same = materialise(full.groupBy("fp").agg(F.min("rid").alias("node"), F.count(F.lit(1)).alias("rows")), "same")
     copies = same.filter("rows > 1").select(F.col("fp").alias("cfp"), "node")
     # rows of a set that occurs once are their own node
-    small = full.select("rid", "doc_id", "n", "fp").join(copies, F.col("fp") == F.col("cfp"), "left").select(
-        "rid", "doc_id", "n", F.coalesce("node", "rid").alias("node")
+    small = full.select("rid", "doc_id", "tk", "n", "fp").join(copies, F.col("fp") == F.col("cfp"), "left").select(
+        "rid", "doc_id", "tk", "n", F.coalesce("node", "rid").alias("node")
     )
     small = materialise(small, "rows")
     others = small.filter("rid <> node").select("rid")
     nodes = full.join(broadcast_if_small(others, others.count(), BROADCAST_ROWS), "rid", "left_anti").withColumnRenamed("rid", "node")
     roots = materialise(links(docs, nodes), "roots")
     placed = materialise(
-        small.join(roots, "node", "left").select("rid", "doc_id", "n", F.coalesce("root", "node").alias("root")), "placed"
+        small.join(roots, "node", "left").select("doc_id", "tk", "n", F.coalesce("root", "node").alias("root")), "placed"
+    )
+    first = materialise(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")), "first")
+    out = placed.join(first, "root").select("doc_id", "tk", F.col("n").alias("n_shingles"), "root", "component_id")
+    empty = seen.filter("n = 0").select(
+        "doc_id", "tk", F.col("n").alias("n_shingles"), F.col("rid").alias("root"), F.col("doc_id").alias("component_id")
     )
-    first = materialise(placed.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("rid").alias("first_rid")), "first")
-    out = placed.join(first, "root").select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id", "first_rid")
-    empty = seen.filter("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("rid").alias("first_rid"))
     return out.unionByName(empty)
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component, that with its smallest doc_id (nulls last,
+    ties to the smaller text hash, then one of the equal rows); rows without
+    words all stay.  Same columns."""
+    rows = classes(docs).filter("n_shingles > 0").select(
+        "root", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk").alias("key")
+    )
+    rows = materialise(rows, "classes")
+    best = rows.groupBy("root").agg(F.min("key").alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    marked = materialise(rows.join(materialise(best, "best"), "root").select(
+        F.col("key.doc_id").alias("gid"), F.col("key.tk").alias("gtk"), (F.col("key") == F.col("best")).alias("stays")
+    ), "marked")
+    gone = materialise(marked.filter("not stays").select("gid", "gtk").distinct(), "gone")
+    again = materialise(marked.filter("stays").groupBy("gid", "gtk").count().filter("count > 1").select("gid", "gtk"), "again")
+
+    def match(keys):
+        keys = broadcast_if_small(keys, keys.count(), BROADCAST_ROWS)
+        return keys, F.col("doc_id").eqNullSafe(F.col("gid")) & (text_key(F.col("text")) == F.col("gtk"))
+
+    kept = docs.join(*match(gone), "left_anti")
+    if again.limit(1).count():  # rows that repeat the one that stays
+        one = kept.join(*match(again), "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(*match(again), "left_anti").unionByName(one)
+    return kept
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
