@@ -127,7 +127,7 @@ def analysis(key):
     return ANALYSES[key]
 
 
-KEYS = sorted(E.queries())
+KEYS = sorted(k for k in E.queries() if k not in E.LLM_QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -7,11 +7,11 @@ import __spark_entry__ as E
 from conftest import SF_ORACLE
 from oracle_compare import compare
 
-KEYS = sorted(E.queries())
+KEYS = sorted(k for k in E.queries() if k not in E.LLM_QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
