@@ -4,12 +4,12 @@ Two documents link when their sets of distinct 5-word shingles have a
 Jaccard similarity of at least 0.75; the result is the connected components
 of all links, exactly.  Equal sets are one node from the start.
 
-Inside a block of sets, :func:`tree_links` joins by signature trees: a
+Inside a block of sets, :func:`candidates` joins by signature trees: a
 node holds the OR of its sets' token bitmaps, their range of sizes and the
 largest number of tokens that share a bit with another of the same set.  A
 pair of nodes is dropped when its sizes are too far apart, or when the bits
 that both hold, plus the tokens hidden behind shared bits, cannot reach the
-overlap that 0.75 asks for; what is left at the leaves is counted exactly.
+overlap that 0.75 asks for; the pairs left at the leaves are counted exactly.
 
 Blocks are chosen so that no link is lost:
 
@@ -20,7 +20,8 @@ Blocks are chosen so that no link is lost:
    in one order of all tokens.  Linked sets share a token of their prefixes,
    whatever the order, so a token whose sets all lie in one component
    settles nothing and is dropped by a map-side aggregation; the sets of the
-   others are joined, and large ones in pairs of parts.
+   others are joined by their bitmaps, large blocks in pairs of parts, and
+   whole sets are read only for the pairs that the trees leave.
 
 The order puts tokens that are frequent in a bounded sample last, which only
 saves work.  Texts move only for the sets that share a block with another.
@@ -53,6 +54,8 @@ FREQUENT_BITS = 24
 PART = 400  # sets in a part of a large block
 BROADCAST_ROWS = 400_000
 FANOUT = 8
+SET_ROWS = 500  # rows that a task joins at a time, with whole sets
+BITMAP_ROWS = 5000  # and with bitmaps
 MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 SEEDS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
 
@@ -99,52 +102,100 @@ def needed(a: int, b: int) -> int:
 
 
 class Node:
-    """A signature tree node over ``rows`` (one row at a leaf)."""
+    """A signature tree node; ``row`` at a leaf, ``group`` where all rows below have one."""
 
-    __slots__ = ("bits", "lo", "hi", "hidden", "children", "row")
+    __slots__ = ("bits", "lo", "hi", "hidden", "group", "children", "row")
 
-    def __init__(self, bits, lo, hi, hidden, children, row):
-        self.bits, self.lo, self.hi, self.hidden, self.children, self.row = bits, lo, hi, hidden, children, row
+    def __init__(self, bits, lo, hi, hidden, group, children=None, row=-1):
+        self.bits, self.lo, self.hi, self.hidden = bits, lo, hi, hidden
+        self.group, self.children, self.row = group, children, row
 
 
-def bitmap(tokens: np.ndarray, width: int) -> int:
-    got = np.zeros(width, np.uint8)
-    got[(tokens % np.uint64(width)).astype(np.int64)] = 1
-    return int.from_bytes(np.packbits(got).tobytes(), "big")
+def width_of(n: int) -> int:
+    """Bits in the token bitmap of a set: a power of two, about twice its size."""
+    return 1 << max(6, min(16, (2 * n - 1).bit_length()))
 
 
-def signature_tree(sets: list) -> Node:
-    width = 1 << max(6, min(16, (2 * max(len(s) for s in sets) - 1).bit_length()))
+def bitmap(tokens: np.ndarray) -> bytes:
+    got = np.zeros(width_of(len(tokens)), np.uint8)
+    got[(tokens % np.uint64(len(got))).astype(np.int64)] = 1
+    return np.packbits(got).tobytes()
+
+
+def folded(bits: int, width: int, to: int) -> int:
+    while width > to:
+        width //= 2
+        bits = (bits >> width) | (bits & ((1 << width) - 1))
+    return bits
+
+
+def signature_tree(rows: list, size: list, bits: list, group: list, width: int) -> Node:
+    """Tree over ``rows``, whose bitmaps are folded to ``width``."""
     level = []
-    for row in sorted(range(len(sets)), key=lambda r: (len(sets[r]), sets[r][:1].tolist())):
-        bits, n = bitmap(sets[row], width), len(sets[row])
-        level.append(Node(bits, n, n, n - bits.bit_count(), None, row))
+    for r in sorted(rows, key=lambda r: (size[r], group[r])):
+        b = folded(bits[r], width_of(size[r]), width)
+        level.append(Node(b, size[r], size[r], size[r] - b.bit_count(), group[r], None, r))
     while len(level) > 1:
         above = []
         for i in range(0, len(level), FANOUT):
-            part = level[i : i + FANOUT]
-            bits = 0
+            part, b = level[i : i + FANOUT], 0
             for x in part:
-                bits |= x.bits
-            above.append(Node(bits, min(x.lo for x in part), max(x.hi for x in part), max(x.hidden for x in part), part, -1))
+                b |= x.bits
+            one = part[0].group if all(x.group == part[0].group for x in part) else None
+            above.append(Node(b, part[0].lo, max(x.hi for x in part), max(x.hidden for x in part), one, part))
         level = above
     return level[0]
 
 
 def may_link(a: Node, b: Node) -> bool:
-    if DEN * min(a.hi, b.hi) < NUM * max(a.lo, b.lo):
-        # the largest of the smaller side is too small for the smallest of the other
-        if a.hi < b.lo or b.hi < a.lo:
-            return False
+    if a.group is not None and a.group == b.group:
+        return False  # one component already
+    if DEN * a.hi < NUM * b.lo or DEN * b.hi < NUM * a.lo:
+        return False
     most = min((a.bits & b.bits).bit_count() + min(a.hidden, b.hidden), a.hi, b.hi)
     return most >= needed(a.lo, b.lo)
 
 
+def traverse(a: Node, b: Node):
+    """Pairs of leaf rows below two nodes (or one, twice) that may link."""
+    todo = [(a, b)]
+    while todo:
+        a, b = todo.pop()
+        if a is b:
+            if a.children is not None and a.group is None:
+                kids = a.children
+                todo += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
+        elif may_link(a, b):
+            if a.children is None and b.children is None:
+                yield a.row, b.row
+            elif b.children is None or (a.children is not None and a.hi - a.lo >= b.hi - b.lo):
+                todo += [(x, b) for x in a.children]
+            else:
+                todo += [(a, x) for x in b.children]
+
+
+def candidates(size: list, bits: list, group: list):
+    """Pairs of rows of different groups that the signature trees cannot rule
+    out.  Sets of one bitmap width share a tree; linked sets are of the same
+    or of neighbouring widths, and the wider one's tree is folded."""
+    by_width: dict = {}
+    for r, n in enumerate(size):
+        by_width.setdefault(width_of(n), []).append(r)
+    for w, rows in by_width.items():
+        tree = signature_tree(rows, size, bits, group, w)
+        yield from traverse(tree, tree)
+        if 2 * w in by_width:
+            yield from traverse(tree, signature_tree(by_width[2 * w], size, bits, group, w))
+
+
+def as_int(bits: bytes) -> int:
+    return int.from_bytes(bits, "big")
+
+
 def tree_links(sets: list, group: list) -> list:
     """Pairs of rows that link, enough of them to unite what links unite.
 
-    ``group``: rows with equal values are known to be in one component;
-    pairs inside a component are not looked at.
+    ``group``: rows with equal values are known to be in one component.
     """
     parent: dict = {}
 
@@ -155,33 +206,11 @@ def tree_links(sets: list, group: list) -> list:
         return x
 
     links = []
-
-    def try_pair(i, j):
+    for i, j in candidates([len(s) for s in sets], [as_int(bitmap(s)) for s in sets], group):
         a, b = find(group[i]), find(group[j])
-        if a == b:
-            return
-        common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        if enough(common, len(sets[i]), len(sets[j])):
+        if a != b and enough(len(np.intersect1d(sets[i], sets[j], assume_unique=True)), len(sets[i]), len(sets[j])):
             parent[max(a, b)] = min(a, b)
             links.append((i, j))
-
-    if len(set(group)) < 2:
-        return links
-    root = signature_tree(sets)
-    todo = [(root, root)]
-    while todo:
-        a, b = todo.pop()
-        if a.children is None and b.children is None:
-            if a is not b and may_link(a, b):
-                try_pair(a.row, b.row)
-        elif a is b:
-            kids = a.children
-            todo += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
-        elif may_link(a, b):
-            if b.children is None or (a.children is not None and len(a.children) >= len(b.children)):
-                todo += [(x, b) for x in a.children]
-            else:
-                todo += [(a, x) for x in b.children]
     return links
 
 
@@ -210,7 +239,7 @@ def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(rid, doc_id, tk, n, fp, m1, m2, prefix)`` for every row."""
+    """``(rid, doc_id, tk, n, fp, m1, m2, prefix, bits)`` for every row."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -219,12 +248,12 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                n, fp, m1, m2, pre = [], [], [], [], []
+                n, fp, m1, m2, pre, bits = [], [], [], [], [], []
                 for text in text_bytes(batch.column("text")):
                     t = shingles(text)
                     n.append(len(t))
                     if not len(t):
-                        for x in (fp, m1, m2, pre):
+                        for x in (fp, m1, m2, pre, bits):
                             x.append(None)
                         continue
                     fp.append(fingerprint(t))
@@ -232,18 +261,19 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     m1.append(a)
                     m2.append(b)
                     pre.append(prefix(t, late).view(np.int64))
+                    bits.append(bitmap(t))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rid"), batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
-                        pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), pa.array(pre, pa.list_(pa.int64())),
+                        pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), pa.array(pre, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
                     ],
-                    names=["rid", "doc_id", "tk", "n", "fp", "m1", "m2", "prefix"],
+                    names=["rid", "doc_id", "tk", "n", "fp", "m1", "m2", "prefix", "bits"],
                 )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, m1 long, m2 long, prefix array<long>")
+    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, m1 long, m2 long, prefix array<long>, bits binary")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -262,16 +292,65 @@ def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, tokens binary")
 
 
-def join_blocks(blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` inside blocks ``(block, part, node, comp)``."""
+def buckets(blocks: DataFrame, rows: int) -> DataFrame:
+    """Blocks, a few at a time: adds ``bucket``, about ``rows`` rows each."""
+    n = max(1, -(-blocks.count() // rows))
+    return blocks.withColumn("bucket", F.pmod(F.xxhash64("block", "part"), F.lit(n)).cast("int"))
+
+
+def block_groups(f: pd.DataFrame):
+    """The blocks of a bucket, each row's node once."""
+    for _, g in f.drop_duplicates(["block", "part", "node"]).sort_values(["block", "part", "node"]).groupby(["block", "part"], sort=False):
+        if len(g) > 1:
+            yield g
+
+
+def join_sets(blocks: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` inside blocks ``(block, part, node)``, which get their whole sets."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for g in block_groups(f):
+            nodes = g["node"].tolist()
+            out += [(nodes[i], nodes[j]) for i, j in tree_links([np.frombuffer(x, np.uint64) for x in g["tokens"]], nodes)]
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    rows = buckets(blocks, SET_ROWS).join(sets, "node").select("bucket", "block", "part", "node", "tokens")
+    return rows.groupBy("bucket").applyInPandas(run, "a long, b long")
+
+
+def join_bitmaps(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of different components inside blocks ``(block, part,
+    node, comp)`` that the signature trees cannot rule out."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.drop_duplicates("node").sort_values("node")
-        nodes = f["node"].to_numpy()
-        got = tree_links([np.frombuffer(x, np.uint64) for x in f["tokens"]], f["comp"].tolist()) if len(f) > 1 else []
-        return pd.DataFrame({"a": [nodes[i] for i, _ in got], "b": [nodes[j] for _, j in got]}, dtype="int64")
+        out = set()
+        for g in block_groups(f):
+            nodes = g["node"].tolist()
+            for i, j in candidates(g["n"].tolist(), [as_int(x) for x in g["bits"]], g["comp"].tolist()):
+                out.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+        pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    rows = buckets(blocks, BITMAP_ROWS).join(nodes.select("node", "n", "bits"), "node").select("bucket", "block", "part", "node", "comp", "n", "bits")
+    return rows.groupBy("bucket").applyInPandas(run, "a long, b long").distinct()
+
 
-    return blocks.join(sets, "node").select("block", "part", "node", "comp", "tokens").groupBy("block", "part").applyInPandas(run, "a long, b long")
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` whose whole sets link."""
+    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                ok.append(enough(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -283,9 +362,9 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("size") / PART).cast("int")
     inside = keys.join(sizes, "block").select("block", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), "node")
     firsts = sizes.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("first").alias("node"))
-    blocks = materialise(inside.unionByName(firsts).distinct().withColumn("comp", F.col("node")), "blocks")
+    blocks = materialise(inside.unionByName(firsts).distinct(), "blocks")
     some = blocks.select("node").distinct().join(nodes, "node").select("doc_id", "fp", "node")
-    first_links = materialise(join_blocks(blocks, fetch(docs, some)), "links")
+    first_links = materialise(join_sets(blocks, fetch(docs, some)), "links")
     known = materialise(components(first_links), "known")
 
     # 2. tokens of prefixes that meet in more than one component
@@ -310,9 +389,10 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     blocks = blocks.withColumn("p", p).withColumn("mine", mine).select(
         "block", F.explode(F.transform(F.sequence(F.lit(0), F.col("p") - 1), pair)).alias("part"), "node", "comp"
     )
-    blocks = materialise(blocks, "blocks")
-    some = blocks.select("node").distinct().join(nodes, "node").select("doc_id", "fp", "node")
-    second = join_blocks(blocks, fetch(docs, some))
+    pairs = materialise(join_bitmaps(materialise(blocks, "blocks"), nodes), "pairs")
+    some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("doc_id", "fp", "node")
+    sets = materialise(fetch(docs, some).dropDuplicates(["node"]), "tokens")
+    second = verify(pairs, sets)
     return components(second.unionByName(known.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
