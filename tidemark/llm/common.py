@@ -28,7 +28,15 @@ def ship(module_name: str) -> None:
 ship(__name__)
 
 
+#: Rows that Spark hands to a Python worker at once: texts may be long, and a
+#: worker holds a batch and what it makes of it.
+ARROW_ROWS = 1000
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of the data folder; also bounds the session's Arrow batches."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

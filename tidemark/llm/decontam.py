@@ -37,7 +37,7 @@ ship(__name__)
 Q = 8
 ERROR = 0.08
 BLOCK_BYTES = 4 << 20
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BITS = 22
 PLAIN = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)

@@ -48,8 +48,8 @@ ship(__name__)
 
 SHINGLE = 5
 NUM, DEN = 75, 100
-SAMPLE_DOCS = 10_000
-SAMPLE_SEEN = 4
+SAMPLE_DOCS = 20_000
+SAMPLE_SEEN = 2
 FREQUENT_BITS = 24
 PART = 400  # sets in a part of a large block
 BROADCAST_ROWS = 400_000
@@ -353,7 +353,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Component roots ``(node, root)`` of all nodes that link with another."""
     # 1. blocks by minimum hash
     keys = nodes.select("node", F.explode(F.array(F.struct(F.lit(1).alias("h"), F.col("m1").alias("m")), F.struct(F.lit(2).alias("h"), F.col("m2").alias("m")))).alias("k"))
@@ -370,7 +370,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     # 2. tokens of prefixes that meet in more than one component
     comp = broadcast_if_small(known, known.count(), BROADCAST_ROWS)
     rows = (
-        nodes.select("node", "prefix").join(comp, "node", "left").select("node", "root", F.explode("prefix").alias("t"))
+        prefixes.join(comp, "node", "left").select("node", "root", F.explode("prefix").alias("t"))
         .repartition("t")
     )
     c = F.coalesce("root", "node")
@@ -409,8 +409,9 @@ def classes(docs: DataFrame) -> DataFrame:
     )
     small = materialise(small, "rows")
     others = small.filter("rid <> node").select("rid")
-    nodes = full.join(broadcast_if_small(others, others.count(), BROADCAST_ROWS), "rid", "left_anti").withColumnRenamed("rid", "node")
-    roots = materialise(links(docs, nodes), "roots")
+    firsts = full.join(broadcast_if_small(others, others.count(), BROADCAST_ROWS), "rid", "left_anti").withColumnRenamed("rid", "node")
+    nodes = materialise(firsts.drop("prefix", "tk"), "nodes")
+    roots = materialise(links(docs, nodes, firsts.select("node", "prefix")), "roots")
     placed = materialise(
         small.join(roots, "node", "left").select("doc_id", "tk", "n", F.coalesce("root", "node").alias("root")), "placed"
     )

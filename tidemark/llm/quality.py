@@ -37,7 +37,7 @@ SAMPLE_ROWS = 4000
 EPOCHS = 5
 RATE = 0.5
 THRESHOLD = 0.3
-PIECE = 1 << 20  # bytes handled at a time
+PIECE = 1 << 18  # bytes handled at a time
 GRAMS = (3, 5)
 BASE = np.uint64(0x100000001B3)
 AGAIN = 1  # bucket of the extra word <again>
@@ -174,14 +174,14 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return keyed.mapInArrow(run, schema).orderBy("k", "k2", "y").limit(rows)
 
 
-def train(rows: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
+def train(rows, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
     """``(label, buckets, counts)`` rows -> (logit difference of each bucket's
     vector, bias difference); plain SGD, one text at a time."""
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM))
     out = rng.uniform(-1 / DIM, 1 / DIM, (2, DIM))
     bias = np.zeros(2)
-    data = [(y, f, n / n.sum()) for y, f, n in rows if len(f)]
+    data = [(y, f, (n / n.sum()).astype(np.float32)) for y, f, n in rows if len(f)]
     steps, done = epochs * len(data), 0
     for _ in range(epochs):
         for i in rng.permutation(len(data)):
@@ -202,11 +202,13 @@ def train(rows: list, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS):
-    got = sample(docs, labels, rows).toArrow().to_pylist()
-    if not got:
+    got = sample(docs, labels, rows).toArrow()
+    if not got.num_rows:
         return np.zeros(BUCKETS, np.float32), 0.0
+    y, f, n = (got.column(c) for c in ("y", "f", "n"))
     return train(
-        [(min(1, max(0, r["y"])), np.frombuffer(r["f"], np.uint16).astype(np.int64), np.frombuffer(r["n"], np.uint32).astype(float)) for r in got]
+        (min(1, max(0, y[i].as_py())), np.frombuffer(f[i].as_buffer(), np.uint16), np.frombuffer(n[i].as_buffer(), np.uint32))
+        for i in range(got.num_rows)
     )
 
 
