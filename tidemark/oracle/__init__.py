@@ -1,12 +1,11 @@
 """DuckDB SQL for every registered analysis, used as the correctness oracle.
 
-The queries follow the reference SQL closely (correlated subqueries, two
-distinct counts, fan-out joins are kept as written) so that they check the
-Spark rewrites independently.  Edits against the reference text: months
-are DATEs, money is output as DOUBLE, ratios are rounded through
-DECIMAL(38,12), select-list ``generate_series`` becomes a table function,
-and the invalid trend query (Q1) follows its comment.  Each string starts
-with the mapping of the test tables onto the model.
+The queries are written from the definitions of the analyses, in another way
+than the Spark plans (numbered months joined to those before them, lists,
+EXISTS counts), so that each checks the other.  Months are DATEs, money is
+output as DOUBLE, printed ratios are rounded through DECIMAL(38,12), and
+thresholds are compared on exact numbers.  Each string starts with the
+mapping of the test tables onto the model.
 """
 
 from tidemark.oracle.sql import ORACLE_SQL, model_sql
