@@ -122,8 +122,6 @@ def build(spark, data):
 
 
 def analysis(key):
-    if key == "billing_schedule":
-        return lambda t, p: data_jobs.billing_schedule(t, p, horizon=fixtures.HORIZON)
     return ANALYSES[key]
 
 
@@ -194,5 +192,5 @@ def test_integrity_report_finds_violations(edge):
 
 def test_billing_skips_start_after_horizon(edge):
     t, _ = edge
-    rows = data_jobs.billing_schedule(t, horizon=fixtures.HORIZON).where("subscription_id = 'S7'").count()
+    rows = data_jobs.billing_schedule(t).where("subscription_id = 'S7'").count()
     assert rows == 0

@@ -33,7 +33,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--out-format", choices=["csv", "parquet"], default="parquet")
     ap.add_argument("--analyses", default="", help="comma-separated keys (default: all)")
     ap.add_argument("--dashboard", action="store_true", help="write the nine dashboard CSV exports")
-    ap.add_argument("--show", action="store_true", help="print results instead of writing them")
+    ap.add_argument("--show", action="store_true", help="print a preview of each result instead of writing it")
+    ap.add_argument("--rows", type=int, default=50, help="rows of a --show preview")
     ap.add_argument("--list", action="store_true", help="list the analysis keys and exit")
     args = ap.parse_args(argv)
 
@@ -42,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.input:
         ap.error("--input is required")
+    if not args.output and not args.show:
+        ap.error("--output is required (or --show for a preview)")
 
     spark = configure(SparkSession.builder.appName("tidemark").getOrCreate())
     tables = load_tables(spark, args.input) if args.format == "csv" else read_parquet(spark, args.input)
@@ -59,9 +62,9 @@ def main(argv: list[str] | None = None) -> int:
         ap.error(f"unknown analyses: {', '.join(unknown)}")
     for key in keys:
         df = ANALYSES[key](tables, DEFAULT)
-        if args.show or not args.output:
-            print(f"== {key}")
-            df.show(50, truncate=False)
+        if args.show:
+            print(f"== {key} (preview: at most {args.rows} rows)")
+            df.show(args.rows, truncate=False)
         elif args.out_format == "csv":
             export_csv(df, os.path.join(args.output, key))
         else:

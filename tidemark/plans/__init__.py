@@ -49,6 +49,7 @@ ANALYSES = {
     "integrity_report": data_jobs.integrity_report,
     "active_status": data_jobs.active_status,
     "month_spine": data_jobs.month_spine,
+    "billing_schedule": data_jobs.billing_schedule,
     # announced analyses
     "conversion_by_country": cohorts.conversion_by_country,
     "retention_cohorts": cohorts.retention_cohorts,

@@ -66,18 +66,15 @@ def load_checks(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 # L4 ---------------------------------------------------------------------------
 def _table_checks(name: str, df: DataFrame) -> DataFrame:
-    """All single-table checks of one table in one pass and one shuffle:
-    group by the primary key (duplicate detection needs that shuffle
-    anyway; map-side partial aggregation collapses a hot key), count the
-    other violations per key in the same aggregate, total them in a
-    one-row aggregate and unpivot to (check_name, column_name, violations)."""
+    """All single-table checks of one table: row checks as one conditional
+    aggregate (no shuffle of rows), duplicate keys as a count per key that
+    moves nothing but the key; unpivoted to (check_name, column_name,
+    violations)."""
     key = PRIMARY_KEYS[name]
-    per_key = [F.count(F.lit(1)).alias("_n")]
-    totals = [F.count(F.when(F.col("_n") > 1, F.lit(1))).alias(f"primary_key|{key}")]
+    totals = []
 
     def add(label: str, cond) -> None:
-        per_key.append(F.count(F.when(cond, F.lit(1))).alias(label))
-        totals.append(F.sum(label).alias(label))
+        totals.append(F.count(F.when(cond, F.lit(1))).alias(label))
 
     for c in not_null_columns(name):
         add(f"not_null|{c}", F.col(c).isNull())
@@ -86,10 +83,10 @@ def _table_checks(name: str, df: DataFrame) -> DataFrame:
     if name == "subscriptions":
         add("end_before_start|end_date", F.col("end_date") < F.col("start_date"))
 
-    row = df.groupBy(key).agg(*per_key).agg(*totals)
-    labels = row.columns
-    row = row.select(*[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long").alias(c) for c in labels])
-    long = row.unpivot([], labels, "_check", "violations")
+    row = df.agg(*totals)
+    long = row.unpivot([], [f"`{c}`" for c in row.columns], "_check", "violations")
+    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.count(F.when(F.col("_n") > 1, F.lit(1))).alias("violations"))
+    long = long.unionByName(twice.select(F.lit(f"primary_key|{key}").alias("_check"), "violations"))
     parts = F.split("_check", r"\|")
     return long.select(
         F.lit(name).alias("table_name"),
@@ -114,7 +111,8 @@ def integrity_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
     out = [_table_checks(name, df) for name, df in tables.items()]
     parent_ids = tables["customers"].select(F.col("customer_id").alias("_pid")).distinct()
     for child, (col, _parent, _pcol) in FOREIGN_KEYS.items():
-        per_id = tables[child].groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        # a NULL reference breaks no foreign key (not_null reports it)
+        per_id = tables[child].where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
         orphans = per_id.join(parent_ids, per_id[col] == parent_ids["_pid"], "left_anti")
         out.append(
             orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
@@ -128,7 +126,10 @@ def integrity_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
 
 
 # G1 ---------------------------------------------------------------------------
-def billing_schedule(t: Tables, p: Params = DEFAULT, horizon="2024-12-31") -> DataFrame:
+def billing_schedule(t: Tables, p: Params = DEFAULT, horizon=None) -> DataFrame:
+    """Due dates up to ``horizon``, by default the last payment's date."""
+    if horizon is None:
+        horizon = t.payments.agg(F.max("payment_date").alias("h")).scalar()
     return facts.billing_schedule(t.subscriptions, horizon, p.billing_interval_days)
 
 

@@ -5,8 +5,9 @@ Deterministic mapping (same definition as the DuckDB oracle's CTEs):
 * payments      <- orders: status Failed when o_orderstatus = 'F', amount 0 then
 * subscriptions <- orders with priority '1-URGENT'; plan by o_orderkey % 3;
                    ends (o_orderkey % 4 = 0) after 30 * (3 + o_orderkey % 16) days,
-                   capped at the last order date
-* customers     <- customer + nation + first order date as signup date;
+                   at the latest on the last order date
+* customers     <- customer + nation + first order date as signup date
+                   (1995-01-01 without orders: no customer is lost);
                    channel by c_custkey % 4; active = has an open subscription
 * costs         <- lineitem per ship month (decimal sums)
 
@@ -29,7 +30,7 @@ from tidemark.schema import MONEY
 # fixed values of the mapping
 SUBSCRIPTION_PRIORITY = "1-URGENT"
 FAILED_ORDER_STATUS = "F"
-HORIZON = "2001-08-01"  # last order date: end dates are capped here
+NO_ORDER_SIGNUP = "1995-01-01"  # signup date of customers without any order
 PLAN_ORDER = ("Basic", "Pro", "Enterprise")  # o_orderkey % 3 = 0, 1, 2
 COST_MONEY = "decimal(18,2)"
 
@@ -79,7 +80,9 @@ def subscriptions(orders: DataFrame) -> DataFrame:
     start = F.to_date("o_orderdate")
     plan_idx = key % 3
     lifetime_days = (F.lit(30) * (F.lit(3) + key % 16)).cast("int")
-    end = F.least(F.date_add(start, lifetime_days), F.lit(HORIZON).cast("date"))
+    # the last order date, a one-row aggregate: no literal cuts newer data
+    last = orders.agg(F.max(F.to_date("o_orderdate")).alias("last")).scalar()
+    end = F.least(F.date_add(start, lifetime_days), last)
     return orders.where(F.col("o_orderpriority") == F.lit(SUBSCRIPTION_PRIORITY)).select(
         key.alias("subscription_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -102,7 +105,8 @@ def customers(customer: DataFrame, nation: DataFrame, orders: DataFrame, subs: D
             F.col("n_name").alias("country"),
             _pick(F.col("c_custkey") % 4, [F.lit(c) for c in CHANNELS]).alias("acquisition_channel"),
         )
-        .join(first_order, "customer_id")
+        .join(first_order, "customer_id", "left")
+        .withColumn("signup_date", F.coalesce("signup_date", F.lit(NO_ORDER_SIGNUP).cast("date")))
     )
     return with_active_status(base, subs).select(
         "customer_id", "signup_date", "segment", "country", "acquisition_channel", "is_active"
