@@ -2,14 +2,16 @@
 
 Money stays DECIMAL while it is summed (exact, order-insensitive, so the
 result does not depend on how a 1000-executor cluster partitions it) and
-becomes DOUBLE only in the output.  Ratios are divided as DOUBLE, pinned to
-12 decimals and then rounded half away from zero as a DECIMAL: the same
-value as exact numeric arithmetic for any realistic input, and the same in
-every SQL engine.
+becomes DOUBLE only in the output.  Ratios that are printed are divided as
+DOUBLE, pinned to 12 decimals and rounded half away from zero as a DECIMAL.
+Ratios that are compared with a threshold are not divided at all: see
+:func:`exceeds_ratio` and ``operators.series.beyond``.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,5 +68,7 @@ def as_money(x) -> Column:
 
 
 def exceeds_ratio(change, base, threshold: float) -> Column:
-    """ABS(change / NULLIF(base, 0)) > threshold (NULL when base is 0)."""
-    return F.abs(ratio(change, base)) > F.lit(float(threshold))
+    """ABS(change / base) > threshold for money, compared exactly as
+    ABS(change) > threshold * ABS(base) on DECIMAL (NULL when base is 0)."""
+    c, b = (F.abs(_c(x)).cast("decimal(30,2)") for x in (change, base))
+    return F.when(b != 0, c > b * F.lit(Decimal(str(threshold))).cast("decimal(6,4)"))

@@ -16,11 +16,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import months_ahead
+from tidemark.functions import exceeds_ratio, months_ahead
 
 
 def window(order: str = "month", partition: Sequence[str] = (), descending: bool = False):
-    o = F.col(order).desc() if descending else F.col(order).asc()
+    o = F.col(order).desc_nulls_first() if descending else F.col(order).asc_nulls_last()
     w = Window.orderBy(o)
     if partition:
         w = Window.partitionBy(*partition).orderBy(o)
@@ -52,10 +52,28 @@ def with_trailing_stats(
     order: str = "month",
     partition: Sequence[str] = (),
 ) -> DataFrame:
-    """Mean and sample stddev of the ``rows`` rows before the current one."""
+    """Mean and sample stddev of the ``rows`` rows before the current one,
+    and the exact sum (``_t_sum``) and count (``_t_n``) behind the mean."""
     w = window(order, partition).rowsBetween(-rows, -1)
     v = F.col(value).cast("double")
-    return df.withColumns({avg_name: F.avg(v).over(w), sd_name: F.stddev_samp(v).over(w)})
+    return df.withColumns(
+        {
+            avg_name: F.avg(v).over(w),
+            sd_name: F.stddev_samp(v).over(w),
+            "_t_sum": F.sum(F.col(value).cast("decimal(26,2)")).over(w),
+            "_t_n": F.count(value).over(w),
+        }
+    )
+
+
+def beyond(value: str, sigma: float, sd: Column) -> Column:
+    """value - mean > sigma * sd, without dividing: n * value - sum is exact,
+    so a flat series is never beyond its own mean.  A negative sigma asks
+    for value - mean < sigma * sd."""
+    n = F.col("_t_n").cast("decimal(10,0)")
+    gap = (F.col(value).cast("decimal(26,2)") * n - F.col("_t_sum")).cast("double")
+    limit = F.lit(float(sigma)) * F.col("_t_n") * sd
+    return F.when(F.col("_t_n") > 0, gap < limit if sigma < 0 else gap > limit)
 
 
 def with_prior_totals(
@@ -71,11 +89,6 @@ def with_prior_totals(
     return df.withColumns({sum_name: F.sum(value).over(w), count_name: F.count(value).over(w)})
 
 
-def with_prior_mean(df: DataFrame, value: Column, name: str, order: str = "month", partition: Sequence[str] = ()) -> DataFrame:
-    w = window(order, partition).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, F.avg(value).over(w))
-
-
 def with_latest(df: DataFrame, name: str = "latest_month", order: str = "month", partition: Sequence[str] = ()) -> DataFrame:
     """Attach MAX(order) of the whole series to every row."""
     return df.withColumn(name, F.max(order).over(whole(partition)))
@@ -96,11 +109,14 @@ def horizon(df: DataFrame, steps: int, name: str = "k", start: int = 1) -> DataF
     return df.withColumn(name, F.explode(F.sequence(F.lit(start), F.lit(steps))))
 
 
-def band_flag(r: Column, high: float, medium: float, high_text: str, medium_text: str, other) -> Column:
-    """CASE WHEN |r| > high THEN .. WHEN |r| > medium THEN .. ELSE other END."""
-    a = F.abs(r)
+def band_flag(change, base, high: float, medium: float, high_text: str, medium_text: str, other) -> Column:
+    """CASE WHEN |change / base| > high THEN .. WHEN > medium THEN .. ELSE other END, exactly."""
     other_col = other if isinstance(other, Column) else F.lit(other)
-    return F.when(a > F.lit(float(high)), F.lit(high_text)).when(a > F.lit(float(medium)), F.lit(medium_text)).otherwise(other_col)
+    return (
+        F.when(exceeds_ratio(change, base, high), F.lit(high_text))
+        .when(exceeds_ratio(change, base, medium), F.lit(medium_text))
+        .otherwise(other_col)
+    )
 
 
 def month_align(left: DataFrame, right: DataFrame, left_key: str, right_key: str, out: str) -> DataFrame:
@@ -148,5 +164,5 @@ def with_calendar_lag(df: DataFrame, value: str, name: str, months: int, order:
     """``value`` of the row exactly ``months`` calendar months earlier
     (NULL if that month is missing): a RANGE frame on the month index
     instead of a self-join, so the series is computed and read once."""
-    w = Window.orderBy(month_index(order)).rangeBetween(-months, -months)
+    w = Window.orderBy(month_index(order).asc_nulls_last()).rangeBetween(-months, -months)
     return df.withColumn(name, F.max(value).over(w))

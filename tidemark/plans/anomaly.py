@@ -35,22 +35,18 @@ def revenue_anomalies_of(m: DataFrame, p: Params = DEFAULT) -> DataFrame:
     s = S.with_lag(m.select("month", "revenue"), "revenue", "_prev")
     s = S.with_trailing_stats(s, "revenue", p.trailing_rows, "_avg", "_sd")
     change = F.col("revenue") - F.col("_prev")
-    r = ratio(change, "_prev")
-    rev = F.col("revenue").cast("double")
-    lo = F.col("_avg") - F.lit(p.sigma_high) * _sd("_sd")
-    hi = F.col("_avg") + F.lit(p.sigma_high) * _sd("_sd")
     return s.where(F.col("_prev").isNotNull()).select(
         "month",
         as_money("revenue").alias("revenue"),
         as_money("_prev").alias("prev_month_revenue"),
         pct(change, "_prev").cast("double").alias("mom_change_pct"),
         rounded("_avg", 4).cast("double").alias("avg_prev_6months"),
-        S.band_flag(r, p.high_change, p.medium_change, P.REVENUE_HIGH_FLAG, P.REVENUE_MEDIUM_FLAG, P.NORMAL_FLAG).alias(
+        S.band_flag(change, "_prev", p.high_change, p.medium_change, P.REVENUE_HIGH_FLAG, P.REVENUE_MEDIUM_FLAG, P.NORMAL_FLAG).alias(
             "anomaly_flag"
         ),
-        F.when(rev < lo, F.lit(P.OUTLIER_BELOW_FLAG)).when(rev > hi, F.lit(P.OUTLIER_ABOVE_FLAG)).alias(
-            "statistical_anomaly"
-        ),
+        F.when(S.beyond("revenue", -p.sigma_high, _sd("_sd")), F.lit(P.OUTLIER_BELOW_FLAG))
+        .when(S.beyond("revenue", p.sigma_high, _sd("_sd")), F.lit(P.OUTLIER_ABOVE_FLAG))
+        .alias("statistical_anomaly"),
     ).transform(S.ordered, _desc("month"))
 
 
@@ -62,10 +58,10 @@ def revenue_anomalies(t: Tables, p: Params = DEFAULT) -> DataFrame:
 def _churn_stats(churn: DataFrame, p: Params) -> DataFrame:
     s = S.with_lag(churn, "churned_customers", "_prev")
     s = S.with_trailing_stats(s, "churned_customers", p.trailing_rows, "_avg", "_sd")
-    c = F.col("churned_customers")
+    c = "churned_customers"
     flag = (
-        F.when(c > F.col("_avg") + F.lit(p.sigma_high) * _sd("_sd"), F.lit(P.CHURN_SPIKE_FLAG))
-        .when(c > F.col("_avg") + F.lit(p.sigma_mid) * _sd("_sd"), F.lit(P.CHURN_ELEVATED_FLAG))
+        F.when(S.beyond(c, p.sigma_high, _sd("_sd")), F.lit(P.CHURN_SPIKE_FLAG))
+        .when(S.beyond(c, p.sigma_mid, _sd("_sd")), F.lit(P.CHURN_ELEVATED_FLAG))
         .otherwise(F.lit(P.NORMAL_FLAG))
     )
     return s.withColumn("anomaly_flag", flag).where(F.col("_prev").isNotNull())
@@ -108,7 +104,7 @@ def segment_churn_spikes(t: Tables, p: Params = DEFAULT) -> DataFrame:
     c = F.col("churned_customers")
     above = ratio(c - F.col("_avg"), "_avg") * F.lit(100.0)
     status = F.when(
-        c > F.col("_avg") + F.lit(p.sigma_high) * _sd("_sd"),
+        S.beyond("churned_customers", p.sigma_high, _sd("_sd")),
         F.concat(F.lit("SPIKE: "), text_1dp(above), F.lit("% above average")),
     ).otherwise(F.lit(P.NORMAL_FLAG))
     return s.where(F.col("_avg").isNotNull()).select(
@@ -117,7 +113,7 @@ def segment_churn_spikes(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "churned_customers",
         rounded("_avg", 0).cast("double").alias("avg_prev_6months"),
         status.alias("anomaly_status"),
-    ).transform(S.ordered, _desc("month"), _desc("churned_customers"))
+    ).transform(S.ordered, _desc("month"), _desc("churned_customers"), "segment")
 
 
 # A4 ---------------------------------------------------------------------------
@@ -128,8 +124,8 @@ def conversion_drops_of(conv: DataFrame, p: Params = DEFAULT) -> DataFrame:
     s = S.with_trailing_stats(s, "rate", p.trailing_rows, "_avg", "_sd")
     rate = F.col("rate")
     flag = (
-        F.when(rate < F.col("_avg") - F.lit(p.sigma_high) * _sd("_sd"), F.lit(P.CONVERSION_SIGNIFICANT_FLAG))
-        .when(rate < F.col("_avg") - F.lit(p.sigma_mid) * _sd("_sd"), F.lit(P.CONVERSION_MODERATE_FLAG))
+        F.when(S.beyond("rate", -p.sigma_high, _sd("_sd")), F.lit(P.CONVERSION_SIGNIFICANT_FLAG))
+        .when(S.beyond("rate", -p.sigma_mid, _sd("_sd")), F.lit(P.CONVERSION_MODERATE_FLAG))
         # exact decimal comparison of two rounded rates
         .when(rate < F.col("_prev") - F.lit(Decimal(str(p.conversion_pp_drop))), F.lit(P.CONVERSION_MOM_FLAG))
         .otherwise(F.lit(P.NORMAL_FLAG))
@@ -158,9 +154,10 @@ def anomaly_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
     ca = ca.select(F.col("month").alias("ca_month"), F.col("churned_customers").alias("churned"), "_c_sum", "_c_n")
 
     conv = M.conversions_by_month(t.customers, t.subscriptions)
-    conv = conv.withColumn("_rate", ratio("converted_customers", "total_signups"))
-    conv = S.with_prior_mean(conv, F.col("_rate"), "_rate_prior")
-    conv = conv.select(F.col("month").alias("cv_month"), "total_signups", "converted_customers", "_rate", "_rate_prior")
+    # equal quotients give equal decimals, whose sums are exact
+    conv = conv.withColumn("_rate", ratio("converted_customers", "total_signups").cast("decimal(20,16)"))
+    conv = S.with_prior_totals(conv, "_rate", "_r_sum", "_r_n")
+    conv = conv.select(F.col("month").alias("cv_month"), "total_signups", "converted_customers", "_rate", "_r_sum", "_r_n")
 
     j = S.month_align(ra, ca, "ra_month", "ca_month", "_key")
     j = j.join(conv, j["_key"] == conv["cv_month"], "full_outer")
@@ -172,10 +169,13 @@ def anomaly_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
         F.col("churned") * F.col("_c_n") > churn_factor * F.col("_c_sum"), F.lit(P.REPORT_CHURN_FLAG)
     )
     conv_flag = F.when(
-        F.col("_rate") < F.col("_rate_prior") * F.lit(p.report_conversion_factor), F.lit(P.REPORT_CONVERSION_FLAG)
+        F.col("_rate") * F.col("_r_n").cast("decimal(8,0)")
+        < F.col("_r_sum").cast("decimal(28,16)") * F.lit(Decimal(str(p.report_conversion_factor))),
+        F.lit(P.REPORT_CONVERSION_FLAG),
     )
     rev_flag = S.band_flag(
-        ratio(F.col("revenue") - F.col("_prev"), "_prev"),
+        F.col("revenue") - F.col("_prev"),
+        "_prev",
         p.high_change,
         p.medium_change,
         P.REPORT_REVENUE_HIGH_FLAG,
@@ -210,7 +210,7 @@ def revenue_churn_insights(t: Tables, p: Params = DEFAULT) -> DataFrame:
     ).withColumnRenamed("month", "churn_month")
     j = rc.join(cbs, rc.month == cbs.churn_month)
     move = ratio(F.col("revenue") - F.col("_prev"), "_prev")
-    j = j.where(F.abs(move) > F.lit(p.insight_list_change))
+    j = j.where(exceeds_ratio(F.col("revenue") - F.col("_prev"), "_prev", p.insight_list_change))
     churned = F.col("churned_customers")
     prior_mean = F.col("_c_sum").cast("double") / F.nullif(F.col("_c_n").cast("double"), F.lit(0.0))
     increase = (ratio(churned, prior_mean) - F.lit(1.0)) * F.lit(100.0)
@@ -238,7 +238,7 @@ def revenue_churn_insights(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "segment",
         churned.alias("segment_churn"),
         insight.alias("insight"),
-    ).transform(S.ordered, _desc("month"), _desc("segment_churn"))
+    ).transform(S.ordered, _desc("month"), _desc("segment_churn"), "segment")
 
 
 __all__ = [

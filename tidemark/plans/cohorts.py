@@ -51,15 +51,18 @@ def retention_month_over_month(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Of the customers paying in month m-1, the share also paying in m
     (for every month m with payers whose previous month had payers).
 
-    Each (customer, month) row learns from a per-customer ``lag`` whether
-    the customer also paid the month before; monthly totals and a calendar
-    lag of the payer count follow.  The (customer, month) table is read
-    once, and a customer has at most one row per month, so the
-    per-customer window cannot skew."""
-    cm = M.customer_months(t.payments, p).select("customer_id", "month")
-    paid_before = F.lag("month").over(Window.partitionBy("customer_id").orderBy("month")) == F.add_months("month", -1)
+    Payments are shuffled once, by customer, as the set of their months
+    (map-side sets, at most one entry per calendar month); each month of a
+    customer then looks for the month before it in the set.  Monthly totals
+    and a calendar lag of the payer count follow."""
+    months = (
+        t.payments.where((F.col("payment_status") == F.lit(p.paid_status)) & F.col("payment_date").isNotNull())
+        .groupBy("customer_id")
+        .agg(F.collect_set(F.trunc("payment_date", "month")).alias("_set"))
+    )
     per_month = (
-        cm.withColumn("_kept", paid_before.cast("int"))
+        months.select("customer_id", "_set", F.explode("_set").alias("month"))
+        .withColumn("_kept", F.array_contains("_set", F.add_months("month", -1)).cast("int"))
         .groupBy("month")
         .agg(F.count("customer_id").alias("payers"), F.sum("_kept").alias("retained"))
     )

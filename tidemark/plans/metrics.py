@@ -128,7 +128,7 @@ def churn_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
         "churned_customers",
         "active_customers",
         pct("churned_customers", F.col("churned_customers") + F.col("active_customers")).cast("double").alias("churn_rate_pct"),
-    ).transform(S.ordered, _desc("month"), _desc("churn_rate_pct"))
+    ).transform(S.ordered, _desc("month"), _desc("churn_rate_pct"), "segment")
 
 
 def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
@@ -175,7 +175,7 @@ def churn_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
             "open_subscriptions",
             pct("ended", F.col("ended") + F.col("open_subscriptions")).cast("double").alias("churn_rate_pct"),
         )
-        .transform(S.ordered, _desc("month"), _desc("churn_rate_pct"))
+        .transform(S.ordered, _desc("month"), _desc("churn_rate_pct"), "segment")
     )
 
 
@@ -187,7 +187,7 @@ def retention_rate(t: Tables, p: Params = DEFAULT) -> DataFrame:
     new = M.new_by_month(t.subscriptions).withColumnRenamed("month", "new_month")
     j = m.join(new, m.month == new.new_month, "left")
     n = F.coalesce(F.col("new_customers"), F.lit(0))
-    return j.select(
+    return j.where(F.col("month").isNotNull()).select(
         "month",
         F.col("paying_customers").alias("customers_at_start"),
         n.alias("new_customers"),
@@ -351,12 +351,15 @@ def ltv_by_segment(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Literal (Q6): the average runs over payment rows, so each customer's
     LTV weighs by its payment count."""
     j = _customer_ltv(t, p)
-    n = F.col("n")
+    # one cast per customer: products of totals and counts outgrow BIGINT
+    n = F.col("n").cast("decimal(10,0)")
+    total = F.col("revenue_cents").cast("decimal(19,0)")
+    weight = F.col("n_payments").cast("decimal(14,0)") * n
     g = j.groupBy("segment").agg(
         F.count("customer_id").alias("total_customers"),
-        from_cents(F.sum(F.col("revenue_cents") * n)).alias("total_revenue"),
-        from_cents(F.sum(F.col("revenue_cents") * F.col("n_payments") * n)).alias("_weighted"),
-        F.sum(F.col("n_payments") * n).alias("_n"),
+        from_cents(F.sum((total * n).cast("decimal(38,0)"))).alias("total_revenue"),
+        from_cents(F.sum((total * F.col("n_payments").cast("decimal(14,0)") * F.col("n").cast("decimal(4,0)")).cast("decimal(38,0)"))).alias("_weighted"),
+        F.sum(weight.cast("decimal(38,0)")).alias("_n"),
     )
     return g.select(
         "segment",
@@ -384,7 +387,10 @@ def ltv_by_segment_corrected(t: Tables, p: Params = DEFAULT) -> DataFrame:
 # K15 -------------------------------------------------------------------------------
 def executive_summary(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """Latest payment month; churn rate = churned / active (Q7)."""
-    latest = S.latest_row(M.revenue_by_month(t.payments, p))
+    paid = t.payments.where(F.col("payment_status") == F.lit(p.paid_status))
+    # the latest month first, so that only its payments are counted
+    month = paid.agg(F.trunc(F.max("payment_date"), "month").alias("m")).scalar()
+    latest = M.revenue_by_month(t.payments.where(F.col("payment_date") >= month), p)
     churn = M.churned_by_month(t.subscriptions).withColumnRenamed("month", "churn_month")
     j = latest.join(churn, latest.month == churn.churn_month, "left")
     c = F.coalesce(F.col("churned_customers"), F.lit(0))

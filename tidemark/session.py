@@ -13,10 +13,12 @@ from pyspark.sql import SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # sums raise on overflow instead of wrapping
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # optimize-skewed partitions of rebalance/aggregation exchanges too
+    # split skewed partitions of rebalanced writes
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
@@ -48,13 +50,14 @@ def configure(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when the session names none (local tests) a scratch folder is
-    created; on a cluster ``spark.checkpoint.dir`` must point at shared
-    storage and is used as is.
+    Only a local session that names none (tests) gets a scratch folder; on
+    a cluster ``spark.checkpoint.dir`` must point at shared storage.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

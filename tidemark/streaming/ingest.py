@@ -6,7 +6,7 @@ pre-aggregated to (customer_id, month) -- the shared pre-aggregate of
 :mod:`tidemark.operators.monthly` -- and written to its own
 ``batch_id=<n>`` folder of a Parquet table.  A batch that is replayed
 after a failure overwrites the same folder, so the table stays
-exactly-once without a transactional sink, and no row is ever dropped for
+exactly-once, across restarts with the same checkpoint location, and no row is ever dropped for
 being late (no watermark): readers re-aggregate across batches.
 """
 
@@ -22,7 +22,6 @@ from tidemark.operators import monthly as M
 from tidemark.operators import series as S
 from tidemark.params import DEFAULT, Params
 from tidemark.schema import PAYMENTS
-from tidemark.session import ensure_checkpoint_dir
 
 
 def payment_stream(spark: SparkSession, landing_dir: str, fmt: str = "csv", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -46,15 +45,15 @@ def start_ingest(
     spark: SparkSession,
     landing_dir: str,
     table_dir: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     fmt: str = "csv",
     available_now: bool = True,
     p: Params = DEFAULT,
 ) -> StreamingQuery:
     """Start the ingestion stream.  ``available_now`` processes what has
-    landed and stops (scheduled runs); otherwise it keeps polling."""
-    if checkpoint_location is None:
-        checkpoint_location = os.path.join(ensure_checkpoint_dir(spark), "payments-ingest")
+    landed and stops (scheduled runs); otherwise it keeps polling.
+    ``checkpoint_location`` belongs to this table and must outlive the
+    application: it tells a restarted stream which batches are done."""
     writer = payment_stream(spark, landing_dir, fmt).writeStream.foreachBatch(_writer(table_dir, p))
     writer = writer.option("checkpointLocation", checkpoint_location).queryName("payments_ingest")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
