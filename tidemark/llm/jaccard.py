@@ -13,7 +13,7 @@ overlap that 0.75 asks for; the pairs left at the leaves are counted exactly.
 
 Blocks are chosen so that no link is lost:
 
-1. sets with the same minimum of a hash (two hashes) are joined first, which
+1. sets with the same minimum of a hash (four hashes) are joined first, which
    unites nearly all groups of copies; a block of many sets is divided, and
    its smallest node goes to every part;
 2. every set then shows its prefix: the first ``n - ceil(0.75 n) + 1`` tokens
@@ -57,7 +57,7 @@ FANOUT = 8
 SET_ROWS = 500  # rows that a task joins at a time, with whole sets
 BITMAP_ROWS = 5000  # and with bitmaps
 MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
-SEEDS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
+SEEDS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -112,8 +112,8 @@ class Node:
 
 
 def width_of(n: int) -> int:
-    """Bits in the token bitmap of a set: a power of two, about twice its size."""
-    return 1 << max(6, min(16, (2 * n - 1).bit_length()))
+    """Bits in the token bitmap of a set: a power of two, eight times its size or more."""
+    return 1 << max(6, min(18, (8 * n - 1).bit_length()))
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
@@ -239,7 +239,7 @@ def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(rid, doc_id, tk, n, fp, m1, m2, prefix, bits)`` for every row."""
+    """``(rid, doc_id, tk, n, fp, low, prefix, bits)`` for every row."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -248,32 +248,30 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                n, fp, m1, m2, pre, bits = [], [], [], [], [], []
+                n, fp, low, pre, bits = [], [], [], [], []
                 for text in text_bytes(batch.column("text")):
                     t = shingles(text)
                     n.append(len(t))
                     if not len(t):
-                        for x in (fp, m1, m2, pre, bits):
+                        for x in (fp, low, pre, bits):
                             x.append(None)
                         continue
                     fp.append(fingerprint(t))
-                    a, b = (int(mix(t ^ s).min().astype(np.int64)) for s in SEEDS)
-                    m1.append(a)
-                    m2.append(b)
+                    low.append([int(mix(t ^ s).min().astype(np.int64)) for s in SEEDS])
                     pre.append(prefix(t, late).view(np.int64))
                     bits.append(bitmap(t))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rid"), batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
-                        pa.array(m1, pa.int64()), pa.array(m2, pa.int64()), pa.array(pre, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
+                        pa.array(low, pa.list_(pa.int64())), pa.array(pre, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
                     ],
-                    names=["rid", "doc_id", "tk", "n", "fp", "m1", "m2", "prefix", "bits"],
+                    names=["rid", "doc_id", "tk", "n", "fp", "low", "prefix", "bits"],
                 )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, m1 long, m2 long, prefix array<long>, bits binary")
+    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, low array<long>, prefix array<long>, bits binary")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -356,8 +354,7 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Component roots ``(node, root)`` of all nodes that link with another."""
     # 1. blocks by minimum hash
-    keys = nodes.select("node", F.explode(F.array(F.struct(F.lit(1).alias("h"), F.col("m1").alias("m")), F.struct(F.lit(2).alias("h"), F.col("m2").alias("m")))).alias("k"))
-    keys = keys.select("node", F.xxhash64("k.h", "k.m").alias("block"))
+    keys = nodes.select("node", F.posexplode("low").alias("h", "m")).select("node", F.xxhash64("h", "m").alias("block"))
     sizes = materialise(keys.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).filter("size > 1"), "sizes")
     parts = F.ceil(F.col("size") / PART).cast("int")
     inside = keys.join(sizes, "block").select("block", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), "node")
@@ -376,12 +373,12 @@ def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     c = F.coalesce("root", "node")
     groups = rows.groupBy("t").agg(
         F.count(F.lit(1)).alias("size"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-        F.bit_xor(F.xxhash64("node")).alias("x1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x2"),
+        F.min("node").alias("block"),
     ).filter("lo < hi")
-    meeting = materialise(rows.join(groups, "t").select("t", "node", c.alias("comp"), "size", "x1", "x2"), "meeting")
-    # tokens with the same sets are one block
-    once = meeting.groupBy("size", "x1", "x2").agg(F.min("t").alias("block"))
-    blocks = meeting.select(F.col("t").alias("block"), "node", "comp", "size").join(materialise(once.select("block"), "once"), "block")
+    # tokens whose sets have the same smallest node are one block
+    meeting = materialise(rows.join(groups.drop("size"), "t").select("block", "node", c.alias("comp")).distinct(), "meeting")
+    sizes = materialise(meeting.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    blocks = meeting.join(sizes, "block")
     # a block of many sets is joined in pairs of its parts, one group each
     p = F.greatest(F.lit(1), F.ceil(F.col("size") / PART)).cast("int")
     mine = F.pmod(F.xxhash64("node"), F.col("p")).cast("int")
