@@ -55,7 +55,7 @@ PART = 400  # sets in a part of a large block
 BROADCAST_ROWS = 400_000
 FANOUT = 8
 SET_ROWS = 500  # rows that a task joins at a time, with whole sets
-BITMAP_ROWS = 5000  # and with bitmaps
+BITMAP_ROWS = 500  # and with bitmaps
 MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 SEEDS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
