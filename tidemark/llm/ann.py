@@ -13,9 +13,13 @@ Inside a block its projected neighbours are taken leaf by leaf, nearest leaf
 first, and verified on the original vectors until the chi-square test says
 that a better one stands ahead with a probability below 1 - ``CONFIDENCE``.
 
-How the work is spread: rows move once, by block, queries by the cells they
-visit; no block outgrows ``BLOCK`` rows by much, whatever one vector's share
-of the table.  The cells (at most ``CELLS``) and the sample are bounded.
+How the work is spread: equal vectors are indexed and searched once, under
+their smallest vec_id, by aggregations with a map-side part; their k + 1
+smallest ids stand for all of them, since no query's k nearest can need more.
+So one vector's share of the table adds neither pairs nor a large task.
+Distinct vectors move by block, distinct query vectors by the cells they
+visit; no block outgrows ``BLOCK`` rows by much.  The cells (at most
+``CELLS``) and the sample are bounded.
 
 Defined results: vectors that are null, zero, of a length other than the
 table's commonest, or hold null or non-finite parts take no part, nor do
@@ -28,7 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, read, ship
@@ -144,7 +148,7 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt((a * a).sum(axis=-1)) * np.sqrt((b * b).sum(axis=-1)))
 
 
-def search_block(ids, vectors, qids, queries, bound, k: int, limit: float, matrix):
+def search_block(ids, vectors, queries, bound, k: int, limit: float, matrix):
     """The verified k best of one block for each query: (query row, id, cosine).
 
     ``bound``: a squared true distance (on unit vectors) that the query's k-th
@@ -157,8 +161,7 @@ def search_block(ids, vectors, qids, queries, bound, k: int, limit: float, matri
     gap = box_distance(qpoints, lo, hi)
     order = np.argsort(gap, axis=1, kind="stable")
     width = max(len(r) for r in tree.leaves)
-    if width > 4 * LEAF:  # leaves of equal points
-        width = max(width, 1)
+    at_once = max(1, 16_384 // width)  # a leaf of equal points may be wide
     member = np.full((len(tree.leaves), width), -1)
     for i, r in enumerate(tree.leaves):
         member[i, : len(r)] = r
@@ -170,11 +173,11 @@ def search_block(ids, vectors, qids, queries, bound, k: int, limit: float, matri
         kth = np.minimum(bound[active], 2 - 2 * best[active, -1])  # squared distance of unit vectors
         go = gap[active, leaf] <= limit * np.maximum(kth, 0) * (1 + 1e-9) + 1e-9
         active, leaf = active[go], leaf[go]
-        for part in range(0, len(active), 512):
-            a, rows = active[part : part + 512], member[leaf[part : part + 512]]
+        for part in range(0, len(active), at_once):
+            a, rows = active[part : part + at_once], member[leaf[part : part + at_once]]
             score = cosine(queries[a][:, None, :], vectors[np.maximum(rows, 0)])
             rid = ids[np.maximum(rows, 0)]
-            score = np.where((rows < 0) | (rid == qids[a][:, None]), -np.inf, score)
+            score = np.where(rows < 0, -np.inf, score)
             rid = np.where(np.isneginf(score), np.iinfo(np.int64).max, rid)
             s, r = np.concatenate([best[a], score], 1), np.concatenate([best_id[a], rid], 1)
             pick = np.lexsort((r, -s), axis=1)[:, :k]
@@ -185,9 +188,12 @@ def search_block(ids, vectors, qids, queries, bound, k: int, limit: float, matri
 
 
 def usable(embeddings: DataFrame) -> DataFrame:
-    """Rows that take part, ``(vec_id, v)`` with v of doubles."""
-    e = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    """Rows that take part, ``(vec_id, v)`` with v of floats as given, or doubles."""
+    kind = embeddings.schema["embedding"].dataType.simpleString()
+    e = embeddings.select(
+        F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind if kind == "array<float>" else "array<double>").alias("v")
+    )
+    bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x).cast("double").isin(float("inf"))))
     e = e.filter("vec_id is not null and v is not null").filter(~bad).filter(F.exists("v", lambda x: x != 0))
     common = e.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
     return e.filter(F.size("v") == (common[0]["n"] if common else -1))
@@ -197,16 +203,28 @@ def stack(column) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
+def first_ids(ids: DataFrame, k: int) -> DataFrame:
+    """``(h1, h2, rep, ids)``: the ``k`` smallest ids of every distinct vector."""
+    order = Window.partitionBy("h1", "h2").orderBy("vec_id")
+    few = ids.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return few.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.array_sort(F.collect_list("vec_id")).alias("ids"))
+
+
 def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = CONFIDENCE) -> DataFrame:
     """``(query_id, rank, vec_id, score)`` for the rows that ``is_query`` (a
     condition on vec_id) marks, against all rows."""
     spark = embeddings.sparkSession
-    rows = materialise(usable(embeddings), "vectors")
-    total = rows.count()
     out_schema = "query_id long, rank int, vec_id long, score double"
+    rows = usable(embeddings).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64(F.lit("second"), "v"))
+    ids = materialise(rows.select("vec_id", "h1", "h2").distinct(), "ids")
+    members = materialise(first_ids(ids, k + 1), "members")
+    points = materialise(rows.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"), F.first("v").alias("v")), "points")
+    asked = ids.filter(is_query).select(F.col("vec_id").alias("query_id"), "h1", "h2")
+    total = points.count()
     if not total:
         return spark.createDataFrame([], out_schema)
-    sampled = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    kind = points.schema["v"].dataType.simpleString()
+    sampled = points.orderBy("h1", "h2").limit(SAMPLE).select("v").toPandas()
     first = stack(sampled["v"])
     matrix = projection(first.shape[1])
     cells = min(CELLS, max(1, -(-total // CELL_ROWS)))
@@ -220,46 +238,49 @@ def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = C
                 f["cell"] = top.locate(unit(stack(f["v"])) @ matrix)
                 yield f
 
-    placed = materialise(rows.mapInPandas(place, "vec_id long, v array<double>, cell long"), "cells")
+    placed = materialise(points.mapInPandas(place, f"h1 long, h2 long, vec_id long, v {kind}, cell long"), "cells")
     # blocks of a cell: at most CELLS rows, so small enough for every task
     sizes = placed.groupBy("cell").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / BLOCK)).cast("int").alias("blocks"))
     sizes = F.broadcast(materialise(sizes, "sizes"))
     base = placed.join(sizes, "cell").select(
-        "cell", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "v"
+        "cell", F.pmod(F.xxhash64("vec_id", "h1"), F.col("blocks")).cast("int").alias("block"), "vec_id", "h1", "h2", "v"
     )
-    queries = placed.filter(is_query)
+    queries = materialise(placed.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), "queries")
 
     def to_blocks(q: DataFrame) -> DataFrame:
         return q.join(sizes, "cell").select(
             F.col("cell").alias("qcell"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qblock"),
-            F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), "bound",
+            F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.col("v").alias("qv"), "bound",
         )
 
-    def search(key, data, asked):
-        if not len(data) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        qids = asked["query_id"].to_numpy()
-        bound = asked["bound"].to_numpy(dtype=float, na_value=np.inf)
-        row, ids, score = search_block(
-            data["vec_id"].to_numpy(), stack(data["v"]), qids, stack(asked["qv"]), np.where(np.isnan(bound), np.inf, bound), k, limit, matrix
+    found_schema = "q1 long, q2 long, rep long, h1 long, h2 long, score double"
+
+    def search(key, data, wanted):
+        if not len(data) or not len(wanted):
+            none = {"q1": "int64", "q2": "int64", "rep": "int64", "h1": "int64", "h2": "int64", "score": "float64"}
+            return pd.DataFrame({c: [] for c in none}).astype(none)
+        # ids ascend in the order of (vec_id, h1, h2): a row's place stands for it
+        data = data.sort_values(["vec_id", "h1", "h2"]).reset_index(drop=True)
+        bound = wanted["bound"].to_numpy(dtype=float, na_value=np.inf)
+        row, at, score = search_block(
+            np.arange(len(data)), stack(data["v"]), stack(wanted["qv"]), np.where(np.isnan(bound), np.inf, bound), k + 1, limit, matrix
         )
-        return pd.DataFrame({"query_id": qids[row], "vec_id": ids, "score": score})
+        q, d = wanted.iloc[row], data.iloc[at]
+        return pd.DataFrame({
+            "q1": q["q1"].to_numpy(), "q2": q["q2"].to_numpy(), "rep": d["vec_id"].to_numpy(), "h1": d["h1"].to_numpy(), "h2": d["h2"].to_numpy(), "score": score,
+        })
 
     def run(q: DataFrame) -> DataFrame:
-        found = base.groupBy("cell", "block").cogroup(to_blocks(q).groupBy("qcell", "qblock")).applyInPandas(
-            search, "query_id long, vec_id long, score double"
-        )
+        found = base.groupBy("cell", "block").cogroup(to_blocks(q).groupBy("qcell", "qblock")).applyInPandas(search, found_schema)
         return materialise(found, "found")
 
     def best(found: DataFrame) -> DataFrame:
-        # each block gives a query k rows at most
-        ordered = F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")))
-        return found.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("top"))
+        # each block gives a query k + 1 rows at most
+        ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "rep", "h1", "h2")))
+        return found.groupBy("q1", "q2").agg(F.slice(ordered, 1, k + 1).alias("top"))
 
     home = run(queries.withColumn("bound", F.lit(None).cast("double")))
-    kth = best(home).filter(F.size("top") == k).select(
-        F.col("query_id").alias("qid"), (F.lit(2.0) + 2 * F.element_at("top", -1)["s"]).alias("bound")
-    )
+    kth = best(home).filter(F.size("top") == k + 1).select("q1", "q2", (F.lit(2.0) + 2 * F.element_at("top", -1)["s"]).alias("bound"))
 
     def route(frames):
         for f in frames:
@@ -272,16 +293,23 @@ def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = C
             go[np.arange(len(f)), f["cell"].to_numpy()] = False
             r, c = np.nonzero(go)
             for part in range(0, len(r), 20_000):
-                out = f.iloc[r[part : part + 20_000]][["vec_id", "v"]].copy()
+                out = f.iloc[r[part : part + 20_000]][["h1", "h2", "v"]].copy()
                 out["bound"] = np.where(np.isinf(bound[r[part : part + 20_000]]), np.nan, bound[r[part : part + 20_000]])
                 out["cell"] = c[part : part + 20_000]
                 yield out
 
-    away = queries.join(kth, F.col("vec_id") == F.col("qid"), "left").select("vec_id", "v", "cell", "bound")
-    away = away.mapInPandas(route, "vec_id long, v array<double>, bound double, cell long")
-    found = best(home.unionByName(run(away)))
-    return found.select("query_id", F.posexplode("top").alias("p", "x")).select(
-        "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score")
+    away = queries.join(kth, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2")), "left").select("h1", "h2", "v", "cell", "bound")
+    away = away.mapInPandas(route, f"h1 long, h2 long, v {kind}, bound double, cell long")
+    found = best(home.unionByName(run(away))).select("q1", "q2", F.explode("top").alias("x")).select("q1", "q2", "x.s", "x.h1", "x.h2")
+    # distinct vectors to their ids: the k + 1 best ids of every distinct query vector
+    near = found.join(members, ["h1", "h2"]).select("q1", "q2", "s", F.explode("ids").alias("vec_id"))
+    listed = near.groupBy("q1", "q2").agg(F.slice(F.array_sort(F.collect_list(F.struct("s", "vec_id"))), 1, k + 1).alias("near"))
+    listed = materialise(listed, "listed")
+    pairs = asked.join(listed, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2"))).select("query_id", F.explode("near").alias("x"))
+    pairs = pairs.select("query_id", "x.s", "x.vec_id").filter("vec_id <> query_id")
+    order = Window.partitionBy("query_id").orderBy("s", "vec_id")
+    return pairs.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", (-F.col("s")).alias("score")
     )
 
 
