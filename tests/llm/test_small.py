@@ -239,11 +239,25 @@ def test_chat_round_trip(spark):
 
 def test_reply_branches(spark):
     m = spark.createDataFrame([(1, 1, None, 0.0), (1, 2, 1, 1.0), (1, 3, 1, 5.0), (1, 4, 2, 9.0), (1, 5, 99, None), (2, 1, None, 1.0)], "tree long, msg long, parent long, score double")
-    got = {(r.tree, r.leaf): (r.branch, r.path) for r in chat.reply_paths(m).collect()}
+    got = {}
+    for r in sorted(chat.reply_paths(m).collect(), key=lambda r: -r.above):
+        got.setdefault((r.tree, r.leaf), (r.branch, []))[1].append(r.msg)
     assert got == {(1, 4): (1, [1, 2, 4]), (1, 3): (2, [1, 3]), (1, 5): (3, [5]), (2, 1): (1, [1])}
     assert {(r.tree, r.leaf) for r in chat.reply_paths(m, 1).collect()} == {(1, 4), (2, 1)}
 
 
+def test_reply_paths_long_and_cyclic(spark):
+    chain = [(1, i, i - 1 if i else None, 1.0) for i in range(300)] + [(1, 900 + i, 100 * i, 0.5) for i in range(3)]
+    cycle = [(2, 1, 2, 1.0), (2, 2, 1, 1.0), (2, 3, 1, 1.0), (2, 4, None, None)]
+    m = spark.createDataFrame(chain + cycle, "tree long, msg long, parent long, score double")
+    got = {}
+    for r in sorted(chat.reply_paths(m).collect(), key=lambda r: -r.above):
+        got.setdefault((r.tree, r.leaf, r.branch, r.path_score), []).append(r.msg)
+    want = {(1, 299, 1, 300.0): list(range(300)), (2, 4, 1, 0.0): [4]}
+    want |= {(1, 900 + i, 4 - i, 100 * i + 1.5): [*range(100 * i + 1), 900 + i] for i in range(3)}
+    assert got == want
+
+
 def licence_base(t):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({i: i + 32 for i in range(65, 91)}))
     at = [(i, label) for label, p in licenses.PHRASES for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]

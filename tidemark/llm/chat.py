@@ -1,7 +1,8 @@
 """Operator 7: chat formatting of reply trees (DataFrame functions only).
 
 ``reply_paths`` enumerates root-to-leaf paths of reply trees by iterative
-self-joins with pointer doubling (log2(depth) rounds), ranks the branches of
+self-joins with pointer doubling (log2(depth) rounds up, as many down from
+the leaves, so no more rows than the paths have), ranks the branches of
 every tree by score and keeps the best ``branches`` of them (all by default).
 ``format_paths`` renders every kept path as one conversation.
 
@@ -54,49 +55,61 @@ def unescape_role(c):
 
 
 def reply_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
-    """``messages(tree, msg, parent, score)`` -> ``(tree, leaf, branch, path_score, path)``.
+    """``messages(tree, msg, parent, score)`` -> ``(tree, leaf, branch,
+    path_score, msg, above)``: one row for every message of every path, with
+    the number of messages between it and the leaf.
 
     ``msg`` is unique within its tree, ``parent`` is null at a root; a message
-    whose parent is missing starts a path of its own.  ``path`` lists the
-    messages from the root to the leaf.  Branches are ranked by the sum of
-    their messages' scores (null: 0), ties to the smaller leaf.
+    whose parent is missing starts a path of its own, messages that are their
+    own ancestors and what hangs on them are on no path.  Branches are ranked
+    by the sum of their messages' scores (null: 0), ties to the smaller leaf.
     """
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
-    known = messages.select(F.col("tree").alias("kt"), F.col("msg").alias("km"))
-    # seg: the last messages of the path ending in msg; up: the next one above them
-    seg = messages.join(known, same("tree", "kt") & (F.col("parent") == F.col("km")), "left").select(
-        "tree", "msg", F.col("km").alias("up"), F.array("msg").alias("seg"),
-        F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("sum"),
+    score = F.coalesce(F.col("score").cast("double"), F.lit(0.0))
+    known = messages.select(F.col("tree").alias("kt"), F.col("msg").alias("km"), score.alias("up_score"))
+    jump = messages.join(known, same("tree", "kt") & (F.col("parent") == F.col("km"))).select(
+        "tree", "msg", F.col("km").alias("up"), "up_score"
     )
-    seg = materialise(seg, "paths")
-    while seg.filter(F.col("up").isNotNull()).limit(1).count():
-        above = seg.select(
-            F.col("tree").alias("t2"), F.col("msg").alias("m2"), F.col("up").alias("up2"),
-            F.col("seg").alias("seg2"), F.col("sum").alias("sum2"),
-        )
-        seg = materialise(
-            seg.join(above, same("tree", "t2") & (F.col("up") == F.col("m2")), "left").select(
-                "tree", "msg", F.col("up2").alias("up"),
-                F.when(F.col("m2").isNull(), F.col("seg")).otherwise(F.concat("seg2", "seg")).alias("seg"),
-                (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"),
+    # jumps[k]: the message 2 ** k above, joined with itself until no path is that long
+    jumps, size = [], messages.count()
+    jump = materialise(jump, "jump")
+    while jump.limit(1).count() and 2 ** len(jumps) <= size:
+        jumps.append(jump)
+        above = jump.select(F.col("tree").alias("t2"), F.col("msg").alias("m2"), F.col("up").alias("up2"), F.col("up_score").alias("s2"))
+        jump = materialise(
+            jump.join(above, same("tree", "t2") & (F.col("up") == F.col("m2"))).select(
+                "tree", "msg", F.col("up2").alias("up"), F.col("s2").alias("up_score")
             ),
-            "paths",
+            "jump",
         )
     parents = messages.filter("parent is not null").select(
         F.col("tree").alias("pt"), F.col("parent").alias("pm")
     ).distinct()
-    leaves = seg.join(parents, same("tree", "pt") & (F.col("msg") == F.col("pm")), "left_anti")
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("sum"), "msg"))
-    out = leaves.withColumn("branch", rank)
+    leaves = messages.join(parents, same("tree", "pt") & (F.col("msg") == F.col("pm")), "left_anti")
+    # what still has a message above after as many steps as there are messages is in or below a cycle
+    leaves = leaves.join(jump.select(F.col("tree").alias("jt"), F.col("msg").alias("jm")), same("tree", "jt") & (F.col("msg") == F.col("jm")), "left_anti")
+    steps = materialise(leaves.select("tree", F.col("msg").alias("leaf"), "msg", F.lit(0).cast("long").alias("above"), score.alias("score")), "steps")
+    for k in reversed(range(len(jumps))):
+        far = jumps[k].select(F.col("tree").alias("t2"), F.col("msg").alias("m2"), "up", "up_score")
+        more = steps.join(far, same("tree", "t2") & (F.col("msg") == F.col("m2"))).select(
+            "tree", "leaf", F.col("up").alias("msg"), (F.col("above") + 2**k).alias("above"), F.col("up_score").alias("score")
+        )
+        steps = steps.unionByName(materialise(more, "steps"))
+    sums = steps.groupBy("tree", "leaf").agg(F.sum("score").alias("path_score"))
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf"))
+    ranked = sums.withColumn("branch", rank)
     if branches is not None:
-        out = out.filter(F.col("branch") <= branches)
-    return out.select("tree", F.col("msg").alias("leaf"), "branch", F.col("sum").alias("path_score"), F.col("seg").alias("path"))
+        ranked = ranked.filter(F.col("branch") <= branches)
+    ranked = ranked.select(F.col("tree").alias("rt"), F.col("leaf").alias("rl"), "branch", "path_score")
+    return steps.join(ranked, same("tree", "rt") & (F.col("leaf") == F.col("rl"))).select(
+        "tree", "leaf", "branch", "path_score", "msg", "above"
+    )
 
 
 def format_paths(messages: DataFrame, paths: DataFrame) -> DataFrame:
     """``messages(tree, msg, role, text)`` and the paths of
     :func:`reply_paths` -> ``(tree, leaf, branch, formatted, segments)``."""
-    steps = paths.select("tree", "leaf", "branch", F.posexplode("path").alias("pos", "msg"))
+    steps = paths.select("tree", "leaf", "branch", (-F.col("above")).alias("pos"), "msg")
     m = messages.select(
         F.col("tree").alias("mt"), F.col("msg").alias("mm"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
