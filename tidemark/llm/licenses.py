@@ -59,24 +59,23 @@ def template_grams(spark: SparkSession) -> DataFrame:
     for k, (label, text, exact) in enumerate([(a, b, True) for a, b in PHRASES] + [(a, b, False) for a, b in NOTICES]):
         w = text.split()
         n = len(w) - GRAM + 1
-        rows += [(k, label, exact, n, i, w[i], w[i + 1], w[i + 2]) for i in range(n)]
-    t = spark.createDataFrame(rows, "template int, label string, exact boolean, grams int, tpos int, t0 string, t1 string, t2 string")
-    return t.withColumn("h", F.xxhash64("t0", "t1", "t2"))
+        rows += [(k, label, exact, n, i, " ".join(w[i : i + GRAM])) for i in range(n)]
+    t = spark.createDataFrame(rows, "template int, label string, exact boolean, grams int, tpos int, words string")
+    return t.withColumn("h", F.xxhash64("words"))
 
 
 def votes(docs: DataFrame) -> DataFrame:
     """Distinct matches of template grams: ``(doc_id, tk, template, ..., tpos, pos)``."""
     spark = docs.sparkSession
     d = docs.select("doc_id", text_key(F.col("text")).alias("tk"), words_of(F.col("text")).alias("w"))
-    d = d.filter(F.size("w") >= GRAM)
-    hashes = F.transform(
-        F.sequence(F.lit(0), F.size("w") - GRAM),
-        lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)),
-    )
-    grams = d.select("doc_id", "tk", "w", F.posexplode(hashes).alias("pos", "h"))
-    hit = grams.join(F.broadcast(template_grams(spark)), "h").filter(
-        (F.get("w", F.col("pos")) == F.col("t0")) & (F.get("w", F.col("pos") + 1) == F.col("t1")) & (F.get("w", F.col("pos") + 2) == F.col("t2"))
+    # a gram takes its words along, not its text's list of them: rows stay short in long texts
+    # (no filter on the number of words: Spark would split every text once more for it)
+    rolling = F.transform(
+        F.when(F.size("w") >= GRAM, F.sequence(F.lit(0), F.size("w") - GRAM)),
+        lambda i: F.concat(F.get("w", i), F.lit(" "), F.get("w", i + 1), F.lit(" "), F.get("w", i + 2)),
     )
+    grams = d.select("doc_id", "tk", F.posexplode(rolling).alias("pos", "gram")).withColumn("h", F.xxhash64("gram"))
+    hit = grams.join(F.broadcast(template_grams(spark)), "h").filter(F.col("gram") == F.col("words"))
     return hit.select("doc_id", "tk", "template", "label", "exact", "grams", "tpos", "pos")
 
 
