@@ -343,6 +343,28 @@ def test_pii_terms_that_reveal(spark):
     assert "Zanzibar" not in out[0] and "the letter" in out[0] and out[100] == texts[6][1]
 
 
+def test_pii_terms_of_rare_entities(spark):
+    filler = "plain words stand here " * 30  # far more than any window
+    texts = [(0, "Quorvex runs it. " + filler + "Mail jo@x.org, Quorvex's address; rare@quorvex.org. " + filler + "quorvex-based")]
+    texts += [(1 + i, f"{filler} note {i}") for i in range(60)] + [(99, "Mail plain words"), (100, "Mail it runs address based rare org jo")]
+    texts += [(200 + i, f"ann{i}@x.org Belvar {filler}") for i in range(2)] + [(300, f"Belvar {filler}")]
+    by = {r.doc_id: r.spans.split(",") for r in pii.digest(docs_of(spark, texts)).collect()}
+    t = texts[0][1]
+    want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("quorvex", t, re.I) if t[m.start() - 1] != "@"}
+    n = len(texts)
+    lowered = [(d, set(re.findall("[a-z]{2,}", x.lower()))) for d, x in texts]
+    df = Counter(w for _, ws in lowered for w in ws)
+    for d, ws in lowered:
+        score = lambda w: math.log2((1 + 1 / n) / (df[w] + 1) * n) / math.log2(n)  # noqa: E731  (each entity is in one text)
+        own = {w for w in ws if score(w) >= pii.GENERALISE} if d in (0, 200, 201) else set()
+        x, base = dict(texts)[d], [(a, e) for _, a, e in pii_base(dict(texts)[d])]
+        spans = {f"term:{m.start()}:{m.end()}" for m in re.finditer("[A-Za-z]+", x) if m[0].lower() in own and all(m.end() <= a or m.start() >= e for a, e in base)}
+        assert {s for s in by[d] if s.startswith("term")} == spans
+    assert len(want) == 3 and want <= set(by[0])
+    out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts)).collect()}
+    assert "uorvex" not in out[0] and out[0].startswith("[TERM] runs it. plain") and "[EMAIL]" in out[0] and out[5] == texts[5][1]
+
+
 def test_pipeline(spark):
     docs = read(spark, SF_SMALL, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]

@@ -1,17 +1,20 @@
 """Operator 10: information-theoretic sanitisation (DataFrame functions only).
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers found in the whole texts.  A term is a word of letters near an
-entity (up to ``NEAR`` characters on either side).  Over the whole corpus,
-with texts as the unit of co-occurrence (equal texts count once),
+numbers found in the whole texts.  A term is a run of letters (two at least)
+anywhere in a text that holds an entity.  Over the whole corpus, with texts
+as the unit of co-occurrence (equal texts count once),
 
-    disclosure(term, entity) = PMI(term; entity) / IC(entity),
-    PMI = log2(co * N / (df(term) * df(entity))),  IC = log2(N / df(entity)),
+    P(entity | term) = (co + P(entity)) / (df(term) + 1),
+    disclosure = log2(P(entity | term) / P(entity)) / log2(1 / P(entity)),
 
-which is 1 when the term occurs only where the entity does.  Pairs seen
-together in at least ``SUPPORT`` texts whose disclosure reaches ``GENERALISE``
-are generalised to ``[TERM]`` where they stand near the entity, and removed
-from ``REMOVE`` on.  Entities are replaced by their kind.
+that is, PMI against the entity's information content, with one text more in
+which the entity stands at its own rate: the share of few texts is held
+back, but any number of texts is decided on, also an entity's only one.
+Every place of a term whose disclosure reaches ``GENERALISE`` is generalised
+to ``[TERM]`` in the texts that hold the entity, and removed from ``REMOVE``
+on.  Entities are replaced by their kind; a place that overlaps one is not a
+term's.
 
 Places are code points, end exclusive.  A kind's matches are leftmost and do
 not overlap; a match that fails its kind's test (parts of an address, Luhn,
@@ -19,9 +22,12 @@ number of digits) is dropped without another try.  The regular expressions
 are the contract's, with possessive repeats and look-behinds that give the
 same matches in linear time and constant stack.
 
-How the work is spread: matches and their surroundings move, not texts;
-document frequencies are map-side sums over all words, kept only for terms
-that reach the support; sanitising joins texts to their places by row key.
+How the work is spread: document frequencies are map-side sums over the
+words of each text, and only texts that are repeated are told apart by a
+shuffle.  Terms too common to disclose any entity fall away before pairs are
+made.  Entities that stand in the same texts disclose alike and are counted
+as one group, so a text with many entities makes no pairs of each with each
+word.  Sanitising joins texts to their places by row key.
 
 Defined results: null text counts as empty; repeated rows get equal
 results; rows with a null doc_id take part; an empty table gives no rows;
@@ -35,11 +41,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, broadcast_if_small, materialise, read, text_key
 
-NEAR = 80
-SUPPORT = 3
 GENERALISE = 0.8
 REMOVE = 0.95
 BROADCAST_ROWS = 200_000
+HOT = 1000  # a term in one of so many texts is a hot key
 LOCAL = r"[A-Za-z0-9._%+-]"
 KINDS = ["email", "ip", "card", "phone", "term"]
 PATTERNS = [
@@ -49,8 +54,7 @@ PATTERNS = [
     r"\+[0-9][\x20().0-9-]+[0-9]",
 ]
 LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
-#: A word of letters between blanks, with punctuation that may stand around words.
-TERM = rf"(?<![^\s(\[\x22]){LETTERS}++(?=[.,;:!?)\]\x22]*+(?:\s|\z))"
+NO_LETTERS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def valid(kind, m):
@@ -65,8 +69,7 @@ def valid(kind, m):
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """Valid matches in whole texts: ``(doc_id, tk, kind, start, end, value,
-    before, cut, after, cut_after)`` with their surroundings."""
+    """Valid matches in whole texts: ``(doc_id, tk, kind, start, end, value)``."""
     text = F.coalesce("text", F.lit(""))
     d = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), text.alias("text"))
     d = d.select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(f"m{k}") for k, p in enumerate(PATTERNS)])
@@ -77,70 +80,103 @@ def matches(docs: DataFrame) -> DataFrame:
     d = d.filter(" or ".join(f"size(m{k}) > 0" for k in range(len(PATTERNS))))
     one = d.select("rid", "doc_id", "tk", F.explode(F.filter(per, lambda x: F.size(x["m"]) > 0)).alias("k"))
     rows = one.select("rid", "doc_id", "tk", "k.kind", F.col("k.gaps").alias("gaps"), F.posexplode("k.m").alias("i", "value"))
-    gap, after = F.get("gaps", F.col("i")), F.get("gaps", F.col("i") + 1)
-    rows = rows.select(
-        "rid", "doc_id", "tk", "kind", "i", "value", F.length(gap).alias("gap"), F.length("value").alias("len"),
-        F.right(gap, F.lit(NEAR)).alias("before"), (F.length(gap) > NEAR).alias("cut"),
-        F.left(after, F.lit(NEAR)).alias("after"), (F.length(after) > NEAR).alias("cut_after"),
-    )
+    rows = rows.select("rid", "doc_id", "tk", "kind", "i", "value", F.length(F.get("gaps", F.col("i"))).alias("gap"), F.length("value").alias("len"))
     order = Window.partitionBy("rid", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(order).cast("long")).filter(valid(F.col("kind"), F.col("value")))
     return rows.select(
         "doc_id", "tk", "kind", (F.col("end") - F.col("len")).alias("start"), "end",
-        F.concat_ws(":", F.col("kind").cast("string"), F.translate("value", UPPER, LOWER)).alias("value"), "before", "cut", "after", "cut_after",
+        F.concat_ws(":", F.col("kind").cast("string"), F.translate("value", UPPER, LOWER)).alias("value"),
     ).distinct()
 
 
-def terms_near(found: DataFrame) -> DataFrame:
-    """Words near entities: ``(doc_id, tk, value, term, start, end)``."""
-    sides = F.array(
-        F.struct(F.col("before").alias("s"), (F.col("start") - F.length("before")).alias("at"), F.col("cut").alias("cut_first"), F.lit(False).alias("cut_last")),
-        F.struct(F.col("after").alias("s"), F.col("end").alias("at"), F.lit(False).alias("cut_first"), F.col("cut_after").alias("cut_last")),
+def words(docs: DataFrame) -> DataFrame:
+    """Each row's distinct terms: ``(tk, term)``."""
+    split = F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), NO_LETTERS)
+    w = docs.select("tk", F.explode(F.array_distinct(split)).alias("term"))
+    return w.filter(F.length("term") > 1)
+
+
+def frequencies(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """``(term, df_term)`` over distinct texts; ``copies`` has each text's rows."""
+    again = materialise(copies.filter("rows > 1").select("tk"), "again")
+    again = broadcast_if_small(again, again.count(), BROADCAST_ROWS)
+    once = words(docs.join(again, "tk", "left_anti"))
+    more = words(docs.join(again, "tk", "left_semi")).distinct()
+    return once.unionByName(more).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
+
+
+def share(n: int):
+    return F.col("df_group") / F.lit(float(n))
+
+
+def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``(tk, term, disclosure)``: terms that reach ``GENERALISE`` for an
+    entity of the text, with the most that they disclose there."""
+    docs = docs.select(text_key(F.col("text")).alias("tk"), "text")
+    copies = materialise(docs.groupBy("tk").agg(F.count(F.lit(1)).alias("rows")), "copies")
+    n = max(copies.count(), 1)
+    # entities of the same texts are one group, named by two hashes of the set of texts
+    at = materialise(found.select("value", "tk").distinct(), "entities")
+    sets = at.groupBy("value").agg(
+        F.count(F.lit(1)).alias("df_group"), F.bit_xor(F.xxhash64("tk", F.lit(1))).alias("g"), F.bit_xor(F.xxhash64("tk", F.lit(2))).alias("h")
+    )
+    # an entity of all texts has no information content
+    groups = materialise(at.join(sets.filter(F.col("df_group") < n), "value").select("tk", "g", "h", "df_group").distinct(), "groups")
+    # co is at most df_group: no term in more texts can reach GENERALISE
+    limit = (F.col("df_group") + share(n)) * F.pow(share(n), F.lit(GENERALISE - 1)) - 1
+    groups = groups.withColumn("most", limit + 1e-6)
+    most = groups.agg(F.max("most")).first()[0] or 0.0
+    holds = groups.select("tk").distinct()
+    holds = broadcast_if_small(holds, holds.count(), BROADCAST_ROWS)
+    mine = words(docs.join(holds, "tk", "left_semi")).distinct()
+    # terms of many texts are few and go to every task; no other is a hot key
+    df = materialise(frequencies(docs, copies), "df")
+    often = df.filter(F.col("df_term") * HOT >= n)
+    often = broadcast_if_small(often, often.count(), BROADCAST_ROWS)
+    rest = df.filter((F.col("df_term") * HOT < n) & (F.col("df_term") <= most))
+    mine = mine.join(often, "term", "left").filter(F.col("df_term").isNull() | (F.col("df_term") <= most))
+    known = mine.filter("df_term is not null")
+    mine = known.unionByName(mine.filter("df_term is null").drop("df_term").join(rest, "term"))
+    pairs = materialise(mine.join(groups, "tk").filter(F.col("df_term") <= F.col("most")).drop("most"), "pairs")
+    chance = (F.col("co") + share(n)) / (F.col("df_term") + 1)
+    scored = pairs.groupBy("term", "g", "h", "df_group", "df_term").agg(F.count(F.lit(1)).alias("co")).withColumn(
+        "disclosure", F.log2(chance / share(n)) / F.log2(1 / share(n))
     )
-    s = found.select("doc_id", "tk", "value", F.explode(sides).alias("c")).select("doc_id", "tk", "value", "c.*")
-    s = s.withColumn("m", F.regexp_extract_all("s", F.lit(TERM), F.lit(0))).filter(F.size("m") > 0)
-    s = s.withColumn("gaps", F.split("s", TERM))
-    # both lists are short (a side has NEAR characters), so offsets are summed in place
-    offset = F.aggregate(
-        F.slice("gaps", 1, F.col("i") + 1), F.lit(0), lambda a, x: a + F.length(x)
-    ) + F.aggregate(F.slice("m", 1, F.col("i")), F.lit(0), lambda a, x: a + F.length(x))
-    s = s.select("*", F.posexplode("m").alias("i", "w")).withColumn("off", offset)
-    whole = ~(F.col("cut_first") & (F.col("off") == 0)) & ~(F.col("cut_last") & (F.col("off") + F.length("w") == F.length("s")))
-    return s.filter(whole & (F.length("w") > 1)).select(
-        "doc_id", "tk", "value", F.translate("w", UPPER, LOWER).alias("term"),
-        (F.col("at") + F.col("off")).alias("start"), (F.col("at") + F.col("off") + F.length("w")).alias("end"),
+    scored = materialise(scored.filter(F.col("disclosure") >= GENERALISE).select("term", "g", "h", "disclosure"), "scored")
+    scored = broadcast_if_small(scored, scored.count(), BROADCAST_ROWS)
+    return pairs.join(scored, ["term", "g", "h"]).groupBy("tk", "term").agg(F.max("disclosure").alias("disclosure"))
+
+
+def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """Every place of the ``terms(tk, term, disclosure)`` in their texts."""
+    holds = terms.select("tk").distinct()
+    holds = broadcast_if_small(holds, holds.count(), BROADCAST_ROWS)
+    d = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), "text").join(holds, "tk", "left_semi")
+    d = d.select("rid", "doc_id", "tk", F.regexp_extract_all("text", F.lit(f"{LETTERS}++"), F.lit(0)).alias("m"), F.split("text", f"{LETTERS}++").alias("gaps"))
+    parts = F.zip_with("m", "gaps", lambda w, gap: F.struct(w.alias("w"), F.length(gap).alias("gap")))
+    rows = d.select("rid", "doc_id", "tk", F.posexplode(F.slice(parts, F.lit(1), F.size("m"))).alias("i", "p")).select("rid", "doc_id", "tk", "i", "p.*")
+    order = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("w")).over(order).cast("long"))
+    rows = rows.withColumn("term", F.translate("w", UPPER, LOWER)).join(terms, ["tk", "term"])
+    act = F.when(F.col("disclosure") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
+    return rows.select(
+        "doc_id", "tk", F.lit(4).alias("kind"), (F.col("end") - F.length("w")).alias("start"), "end", act.alias("action")
     ).distinct()
 
 
-def disclosing(docs: DataFrame, near: DataFrame, found: DataFrame, support: int) -> DataFrame:
-    """``(term, value, disclosure)`` of the pairs that reach ``GENERALISE``."""
-    pairs = near.select("term", "value", "tk").distinct().groupBy("term", "value").agg(F.count(F.lit(1)).alias("co"))
-    pairs = materialise(pairs.filter(F.col("co") >= support), "pairs")
-    wanted = materialise(pairs.select("term").distinct(), "terms")
-    w = broadcast_if_small(wanted, wanted.count(), BROADCAST_ROWS)
-    split = F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+")
-    words = docs.select(text_key(F.col("text")).alias("tk"), F.explode(split).alias("term")).join(w, "term", "left_semi")
-    df_term = words.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
-    df_value = found.select("value", "tk").distinct().groupBy("value").agg(F.count(F.lit(1)).alias("df_value"))
-    n = docs.select(text_key(F.col("text")).alias("tk")).distinct().count()
-    ic = F.log2(F.lit(float(max(n, 1))) / F.col("df_value"))
-    pmi = F.log2(F.col("co") * F.lit(float(max(n, 1))) / (F.col("df_term").cast("double") * F.col("df_value")))
-    scored = pairs.join(df_term, "term").join(df_value, "value").filter(ic > 0).withColumn("disclosure", F.least(pmi / ic, F.lit(1.0)))
-    return scored.filter(F.col("disclosure") >= GENERALISE).select("term", "value", "disclosure")
-
-
-def places(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def places(docs: DataFrame) -> DataFrame:
     """All spans to sanitise: ``(doc_id, tk, kind, start, end, action)``."""
     found = materialise(matches(docs), "found")
-    near = materialise(terms_near(found), "near")
-    pairs = materialise(disclosing(docs, near, found, support), "disclosing")
-    act = F.when(F.max("disclosure") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
-    term = near.join(pairs, ["term", "value"]).groupBy("doc_id", "tk", "start", "end").agg(act.alias("action")).select(
-        "doc_id", "tk", F.lit(4).alias("kind"), "start", "end", "action"
-    )
+    terms = materialise(disclosing(docs, found), "disclosing")
     label = F.concat(F.lit("["), F.upper(F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)), F.lit("]"))
     base = found.select("doc_id", "tk", "kind", "start", "end", label.alias("action"))
-    return base.unionByName(term)
+    both = base.unionByName(term_places(docs, terms))
+    # terms that overlap an entity go with it
+    by_start = Window.partitionBy("doc_id", "tk").orderBy("start")
+    before = F.max(F.when(F.col("kind") < 4, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
+    behind = F.min(F.when(F.col("kind") < 4, F.col("start"))).over(by_start.rangeBetween(1, Window.unboundedFollowing))
+    apart = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(behind, F.col("end")) >= F.col("end"))
+    return both.withColumn("apart", apart).filter((F.col("kind") < 4) | F.col("apart")).drop("apart")
 
 
 def by_text(spans: DataFrame) -> DataFrame:
@@ -154,9 +190,9 @@ def attach(docs: DataFrame, spans: DataFrame) -> DataFrame:
     return docs.join(by_text(spans), key, "left").withColumn("spans", F.coalesce("spans", empty)).drop("sid", "stk")
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with sanitised texts; same columns."""
-    spans = places(docs, support)
+    spans = places(docs)
     rows = attach(docs.withColumn("tk", text_key(F.col("text"))), spans)
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["action"].alias("action"))))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
