@@ -274,6 +274,31 @@ def test_licenses(spark, odd, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_statements_and_bodies(spark):
+    body = "THE SOFTWARE IS PROVIDED 'AS IS', WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    head = "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation"
+    want = {
+        "intro.\nThis work is licensed under the GNU General Public License, version 3. end": "gpl-3",
+        "intro.\nAll rights reserved. end": "all-rights-reserved",
+        "Licensed under CC BY-SA 4.0.": "cc-by-sa",
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Creative Commons Attribution-NonCommercial-ShareAlike 3.0": "cc-by-nc-sa",
+        "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl-2.1",
+        "SPDX-License-Identifier: MIT": "mit",
+        "GNU Affero General Public License v3": "agpl-3",
+        "GNU General Public License": "gpl",
+        "chapter. " + body + " chapter": "mit",
+        head.format("program", ""): "gpl",
+        head.format("program", "Affero "): "agpl",
+        head.format("library", "Lesser "): "lgpl",
+        "all rights were reserved under the general public": "",
+    }
+    got = licenses.scan(docs_of(spark, list(enumerate(want)))).collect()
+    assert {list(want)[r.doc_id]: r.labels for r in got} == want
+    assert all((r.n_base, r.base_labels) == ((1, "cc-by-nc") if r.labels == "cc-by-nc" else (0, "")) for r in got)
+
+
 def parse_warc(data: bytes):
     while data:
         head, _, rest = data.partition(b"\r\n\r\n")
