@@ -180,6 +180,24 @@ def test_decontamination(spark, odd, empty):
     assert decontam.find_matches(empty, bench).count() == 0 and decontam.keep_clean(odd, bench.limit(0)).count() == len(ODD)
 
 
+def test_decontamination_short_items():
+    found = lambda items, docs: list(decontam.matches(decontam.Items(items, decontam.ERROR), docs))
+    assert found([(1, b"tiny")], [b"tiny tiny say tiny tinyx"]) == [(0, 0, 0, 4, 0), (0, 0, 5, 9, 0), (0, 0, 14, 18, 0)]
+    rng = np.random.default_rng(5)
+    for m in range(8, 30):
+        item = bytes(rng.integers(97, 123, m).astype(np.uint8))
+        docs = [item, b"some words " + item + b" more " + item, b"x"]
+        for k in range(m):  # one letter put in, left out or changed
+            docs += [b"ab " + item[:k] + c + item[k + d :] + b" cd" for c, d in ((b"0", 0), (b"", 1), (b"0", 1))]
+        got = found([(1, item)], docs)
+        for d, text in enumerate(docs):
+            best = min(edit_distance(item, text[a:b]) for a in range(len(text)) for b in range(a + max(0, m - 2), min(len(text), a + m + 2) + 1)) if len(text) >= m - 2 else m
+            mine = [g for g in got if g[0] == d]
+            assert bool(mine) == (best <= int(decontam.ERROR * m)), (m, text)
+            assert all(edit_distance(item, text[s:t]) == e for _, _, s, t, e in mine)
+        assert sum(g[0] == 1 for g in got) == 2
+
+
 def test_mixing(spark, odd, empty):
     docs = docs_of(spark, [(i, " ".join(["w"] * (1 + i % 7)), ) for i in range(900)]).withColumn(
         "source", F.when(F.col("doc_id") < 700, "big").when(F.col("doc_id") < 850, "mid").otherwise("small"))

@@ -13,7 +13,10 @@ within e + 1 neighbouring diagonals, so:
 3. each region is verified by banded alignment (edit distance of the whole
    item against any part of the region).
 
-Items shorter than a q-gram are matched exactly, between blanks.  The texts
+Items too short for that bound to ask for a shared q-gram are cut into e + 1
+pieces, one of which every alignment leaves whole; the places of the pieces'
+first bytes are the regions.  Items shorter than a q-gram are matched
+exactly, between blanks, at all places that do not overlap.  The texts
 are read in one pass per block of items; a block holds ``BLOCK_BYTES`` of
 item text at most (or one item), is the only thing that is broadcast, and
 usually holds the whole benchmark.  No shuffle.
@@ -69,11 +72,11 @@ class Items:
         self.ids = [i for i, _ in rows]
         self.text = [t for _, t in rows]
         m = np.array([len(t) for t in self.text])
-        # no more edits than leave at least one shared q-gram
-        self.edits = np.maximum(0, np.minimum((error * m).astype(int), (m - Q) // Q))
-        self.least = np.maximum(1, m - Q + 1 - Q * self.edits)
+        self.edits = (error * m).astype(int)
+        self.least = m - Q + 1 - Q * self.edits
         self.short = [k for k, t in enumerate(self.text) if len(t) < Q]
-        parts = [(grams(t), k) for k, t in enumerate(self.text) if len(t) >= Q]
+        self.pieces = self.cut([k for k, t in enumerate(self.text) if len(t) >= Q and self.least[k] < 1])
+        parts = [(grams(t), k) for k, t in enumerate(self.text) if len(t) >= Q and self.least[k] >= 1]
         g = np.concatenate([p for p, _ in parts]) if parts else np.zeros(0, np.uint64)
         item = np.concatenate([np.full(len(p), k) for p, k in parts]) if parts else np.zeros(0, np.int64)
         at = np.concatenate([np.arange(len(p)) for p, _ in parts]) if parts else np.zeros(0, np.int64)
@@ -83,9 +86,36 @@ class Items:
         self.flag = np.zeros(1 << BITS, bool)
         self.flag[slot(self.gram)] = True
 
+    def cut(self, some: list) -> dict:
+        """Length -> first bytes of pieces -> (item, offset)s, for items that may share no q-gram."""
+        out = {}
+        for k in some:
+            t, n = self.text[k], int(self.edits[k]) + 1
+            for i in range(n):
+                a, b = len(t) * i // n, len(t) * (i + 1) // n
+                size = min(b - a, Q)
+                key = int.from_bytes(t[a : a + size], "little")
+                out.setdefault(size, {}).setdefault(key, []).append((k, a))
+        return out
+
+    def piece_regions(self, g: np.ndarray):
+        """Regions around the places of pieces."""
+        found = set()
+        for size, keys in self.pieces.items():
+            low = g & np.uint64((1 << 8 * size) - 1)
+            known = np.array(sorted(keys), np.uint64)
+            at = np.minimum(np.searchsorted(known, low), len(known) - 1)
+            for pos in np.flatnonzero(known[at] == low).tolist():
+                for k, offset in keys[int(low[pos])]:
+                    found.add((k, pos - offset))
+        return [(k, d - int(self.edits[k]), 2 * int(self.edits[k]) + 1) for k, d in sorted(found)]
+
     def regions(self, buf: bytes):
         """(item, lowest diagonal, width of the band) of the bands that reach the bound."""
         g = grams(buf)
+        return (self.piece_regions(g) if self.pieces and len(g) else []) + self.gram_regions(buf, g)
+
+    def gram_regions(self, buf: bytes, g: np.ndarray) -> list:
         if not len(g) or not len(self.gram):
             return []
         pos = np.flatnonzero(self.flag[slot(g)])
@@ -169,9 +199,11 @@ def matches(items: Items, docs: list):
     for k in items.short:
         needle = b" " + items.text[k] + b" "
         for d, t in enumerate(docs):
-            at = (b" " + t + b" ").find(needle)
-            if at >= 0:
+            padded = b" " + t + b" "
+            at = padded.find(needle)
+            while at >= 0:
                 best.setdefault((d, k), []).append([at, at + len(items.text[k]), 0])
+                at = padded.find(needle, at + len(items.text[k]) + 1)
     for (d, item), places in sorted(best.items()):
         for s, t, e in places:
             yield d, item, s, t, e
