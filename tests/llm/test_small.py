@@ -347,6 +347,15 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.derive(warc.page_responses(pages.limit(0))).count() == 0
 
 
+def test_warc_unclosed_elements():
+    assert warc.plain_text('<p>a</p><svg width="1"/><p>b</p><SVG>no</svg>c<svg class=x /><b>d</b>') == "a\nb\nc d"
+    assert warc.plain_text("a<noscript>b<template>c<svg viewBox=1>d<p>e</p>") == "abcd\ne"
+    assert warc.plain_text("a<template>no</template>b<svg>c<svg>d<script>no</script>e<style>no") == "a bcd e"
+    assert warc.plain_text("a<!-- no <svg> -->b<!-- no") == "a b"
+    meta = warc.derivatives("r", "u", "", "", "<svg/><a href='/x'>x</a><template><a href=/y>y</a>")[0][-1]
+    assert "outlink: /x\r\noutlink: /y" in meta
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 

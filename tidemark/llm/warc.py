@@ -36,7 +36,9 @@ ship(__name__)
 DATE = "2024-01-01T00:00:00Z"
 SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122 name space for URLs
 
-DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
+HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|svg)\b", re.I)
+CLOSE = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "svg")}
+SELF_CLOSED = re.compile(r"<svg\b[^>]*/>", re.I)
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
     r"h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>",
@@ -68,8 +70,33 @@ def one_line(s: str) -> str:
     return " ".join(s.split())
 
 
+def shown(page: str) -> str:
+    """The page without comments and elements that are not shown.  What is
+    not closed goes to the page's end if it is a comment, script or style;
+    of others only the tag is left to be removed."""
+    out, at, look, unclosed = [], 0, 0, set()
+    while m := HIDDEN.search(page, look):
+        name, end = (m.group(1) or "").lower(), -1
+        if not name:
+            k = page.find("-->", m.end())
+            end = k + 3 if k >= 0 else len(page)
+        elif name == "svg" and (c := SELF_CLOSED.match(page, m.start())):
+            end = c.end()
+        elif name not in unclosed and (c := CLOSE[name].search(page, m.end())):
+            end = c.end()
+        elif name in ("script", "style"):
+            end = len(page)
+        if end < 0:
+            unclosed.add(name)  # nor is any after it
+            look = m.end()
+            continue
+        out += [page[at : m.start()], " "]
+        at = look = end
+    return "".join(out) + page[at:]
+
+
 def plain_text(page: str) -> str:
-    page = DROP.sub(" ", page)
+    page = shown(page)
     page = TAG.sub("", BLOCK.sub("\n", page))
     page = BLANKS.sub(" ", html_lib.unescape(page))
     return LINES.sub("\n", page).strip()
@@ -97,7 +124,7 @@ def derivatives(rid, uri, date, http, payload):
     """The metadata and the conversion record of one response."""
     digest = sha1(payload.encode("utf-8", "replace"))
     title, lang = TITLE.search(payload), LANG.search(payload)
-    links = [one_line(html_lib.unescape(a or b or c)) for a, b, c in LINK.findall(DROP.sub(" ", payload))]
+    links = [one_line(html_lib.unescape(a or b or c)) for a, b, c in LINK.findall(shown(payload))]
     meta = fields(
         [("source-header", h) for h in http.split("\r\n") if h]
         + [("title", one_line(html_lib.unescape(title.group(1))) if title else ""), ("language", lang.group(1) if lang else "")]
