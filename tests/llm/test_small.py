@@ -100,6 +100,12 @@ def test_components(spark):
     assert got == {i: 100 for i in range(100, 141)} | {7: 7, 8: 7, 9: 7}
 
 
+def test_components_do_not_stop_early(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(e, max_rounds=1)
+
+
 def test_lm_counts_base_and_normalisation(spark, odd, empty):
     rows = odd.select("doc_id", "text").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(True)))
     got = lm.score_corpus(rows, output_words=10, frequent=50).collect()

@@ -7,6 +7,7 @@ into the shared folder that the cluster names in ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
+import itertools
 import sys
 import tempfile
 import uuid
@@ -84,26 +85,29 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): one row per node
     that has an edge, ``(node, root)`` with root the smallest node reachable.
 
     Alternating large-star and small-star steps: every step groups by one
     node with a map-side minimum and joins it back, so no component is ever
     held in one task.  Each round is written to the shared folder.
-    Self-loops and nulls are ignored.
+    Self-loops and nulls are ignored.  Rounds go on until nothing changes;
+    a run that reaches ``max_rounds`` before raises.
     """
     e = edges.select(
         F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     ).filter("u is not null and v is not null and u <> v").distinct()
     e = materialise(e, "cc")
     last = None
-    for _ in range(max_rounds):
+    for done in itertools.count():
         state = e.agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")
         ).first()
         if (state["n"], state["h"]) == last or state["n"] == 0:
             break
+        if done == max_rounds:
+            raise RuntimeError(f"components changed still after {max_rounds} rounds")
         last = (state["n"], state["h"])
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(
