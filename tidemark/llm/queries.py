@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann, chat, decontam, jaccard, licenses, lm, mixing, pii, quality, warc
+from tidemark.llm import ann, centroids, chat, decontam, jaccard, licenses, lm, mixing, pii, quality, secrets, tokalign, warc
 
 QUERIES = {
     "op1_lm_score": lm.op1_lm_score,
@@ -15,9 +15,13 @@ QUERIES = {
     "op8_licenses": licenses.op8_licenses,
     "op9_warc_derivatives": warc.op9_warc_derivatives,
     "op10_pii": pii.op10_pii,
+    "op11_align": tokalign.op11_align,
+    "op12_cluster": centroids.op12_cluster,
+    "op13_secrets": secrets.op13_secrets,
 }
 
 ORACLE = {
     "op4_jaccard": jaccard.OP4_SQL,
     "op7_chat_format": chat.OP7_SQL,
+    "op12_cluster": centroids.OP12_SQL,
 }
