@@ -8,6 +8,7 @@ thresholds are compared on exact numbers.  Each string starts with the
 mapping of the test tables onto the model.
 """
 
+import tidemark.oracle.matching_sql  # noqa: F401 - adds its queries
 from tidemark.oracle.sql import ORACLE_SQL, model_sql
 
 __all__ = ["ORACLE_SQL", "model_sql"]

@@ -6,7 +6,7 @@ names used by ``queries()`` / ``oracle_sql()`` in ``__spark_entry__``.
 
 from __future__ import annotations
 
-from tidemark.plans import anomaly, cohorts, data_jobs, forecast, metrics
+from tidemark.plans import anomaly, cohorts, data_jobs, forecast, matching, metrics, raw_load, rollups
 
 ANALYSES = {
     # KPIs
@@ -54,6 +54,19 @@ ANALYSES = {
     "conversion_by_country": cohorts.conversion_by_country,
     "retention_cohorts": cohorts.retention_cohorts,
     "retention_month_over_month": cohorts.retention_month_over_month,
+    # raw loads and the file round trip
+    "raw_load_report": raw_load.raw_load_report,
+    "csv_round_trip": raw_load.csv_round_trip,
+    # matching by date
+    "revenue_by_plan_corrected": matching.revenue_by_plan_corrected,
+    "billing_reconciliation": matching.billing_reconciliation,
+    # several levels, ranks, sets, sketches
+    "revenue_rollup": rollups.revenue_rollup,
+    "top_customers_by_segment": rollups.top_customers_by_segment,
+    "revenue_deciles": rollups.revenue_deciles,
+    "customer_movements": rollups.customer_movements,
+    "retention_matrix": rollups.retention_matrix,
+    "payers_by_period": rollups.payers_by_period,
 }
 
-__all__ = ["ANALYSES", "anomaly", "cohorts", "data_jobs", "forecast", "metrics"]
+__all__ = ["ANALYSES", "anomaly", "cohorts", "data_jobs", "forecast", "matching", "metrics", "raw_load", "rollups"]

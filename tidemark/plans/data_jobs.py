@@ -20,7 +20,7 @@ from tidemark.operators import facts
 from tidemark.operators import monthly as M
 from tidemark.operators import series as S
 from tidemark.params import DEFAULT, FAILED_STATUS, Params
-from tidemark.schema import DECIMAL_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS, not_null_columns
+from tidemark.schema import DECIMAL_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS, VARCHAR, not_null_columns
 
 # fixed labels of the loader's checks
 LOAD_CHECK_LABELS = (
@@ -32,7 +32,7 @@ LOAD_CHECK_LABELS = (
 )
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
+def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
@@ -42,7 +42,7 @@ def table_row_counts(t: Tables, p: Params = DEFAULT) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in t.as_dict().items()
     ]
-    return _union(rows)
+    return union_all(rows)
 
 
 # L3 ---------------------------------------------------------------------------
@@ -61,16 +61,13 @@ def load_checks(t: Tables, p: Params = DEFAULT) -> DataFrame:
         n(F.col("payment_status") == F.lit(p.paid_status))(LOAD_CHECK_LABELS[3]),
         n(F.col("payment_status") == F.lit(FAILED_STATUS))(LOAD_CHECK_LABELS[4]),
     )
-    return _union([row.unpivot([], [f"`{c}`" for c in row.columns], "check_type", "count") for row in (cust, subs, pays)])
+    return union_all([row.unpivot([], [f"`{c}`" for c in row.columns], "check_type", "count") for row in (cust, subs, pays)])
 
 
 # L4 ---------------------------------------------------------------------------
 def _table_checks(name: str, df: DataFrame) -> DataFrame:
-    """All single-table checks of one table: row checks as one conditional
-    aggregate (no shuffle of rows), duplicate keys as a count per key that
-    moves nothing but the key; unpivoted to (check_name, column_name,
-    violations)."""
-    key = PRIMARY_KEYS[name]
+    """All row checks of one table as one conditional aggregate (no shuffle
+    of rows), unpivoted to (check_name, column_name, violations)."""
     totals = []
 
     def add(label: str, cond) -> None:
@@ -83,12 +80,12 @@ def _table_checks(name: str, df: DataFrame) -> DataFrame:
     if name == "subscriptions":
         add("end_before_start|end_date", F.col("end_date") < F.col("start_date"))
 
+    for c, n in VARCHAR.get(name, {}).items():
+        add(f"varchar_length|{c}", F.length(F.col(c).cast("string")) > n)
+
     row = df.agg(*totals)
-    long = row.unpivot([], [f"`{c}`" for c in row.columns], "_check", "violations")
-    twice = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.count(F.when(F.col("_n") > 1, F.lit(1))).alias("violations"))
-    long = long.unionByName(twice.select(F.lit(f"primary_key|{key}").alias("_check"), "violations"))
     parts = F.split("_check", r"\|")
-    return long.select(
+    return row.unpivot([], [f"`{c}`" for c in row.columns], "_check", "violations").select(
         F.lit(name).alias("table_name"),
         parts.getItem(0).alias("check_name"),
         parts.getItem(1).alias("column_name"),
@@ -96,33 +93,42 @@ def _table_checks(name: str, df: DataFrame) -> DataFrame:
     )
 
 
+def key_checks(tables: dict[str, DataFrame]) -> list[DataFrame]:
+    """Key values that occur more than once, and child rows whose customer_id
+    is not a customer.  Keys alone are shuffled; the child side is reduced to
+    (id, row count) before the anti join, so a customer holding a third of
+    all payments is one row, not a hot task."""
+    out = []
+
+    def add(table: str, check: str, column: str, df: DataFrame) -> None:
+        out.append(df.select(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"), F.lit(column).alias("column_name"), "violations"))
+
+    for name, key in PRIMARY_KEYS.items():
+        per_key = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        add(name, "primary_key", key, per_key.agg(F.count(F.when(F.col("_n") > 1, F.lit(1))).alias("violations")))
+    parent_ids = tables["customers"].select(F.col("customer_id").alias("_pid")).distinct()
+    for child, (col, _parent, _pcol) in FOREIGN_KEYS.items():
+        # a NULL reference breaks no foreign key (not_null reports it)
+        per_id = tables[child].where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_id.join(parent_ids, per_id[col] == parent_ids["_pid"], "left_anti")
+        add(child, "foreign_key", col, orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")))
+    return out
+
+
 def integrity_report(t: Tables, p: Params = DEFAULT) -> DataFrame:
     """One row per (table, check, column) with the number of violations:
 
     * ``primary_key``: key values occurring more than once
     * ``not_null``: NULLs in a NOT NULL column
-    * ``decimal_range``: values outside DECIMAL(10,2)
+    * ``decimal_range``: values outside DECIMAL(10,2), where the source's type can hold them
+    * ``varchar_length``: texts longer than declared
     * ``end_before_start``: subscriptions ending before they start (Q15)
-    * ``foreign_key``: child rows whose customer_id is not a customer; the
-      child side is reduced to (id, row count) before the anti join, so a
-      customer holding a third of all payments is one row, not a hot task
+    * ``foreign_key``: child rows whose customer_id is not a customer
+
+    ``raw_load_report`` counts the same on text, before any cast.
     """
     tables = t.as_dict()
-    out = [_table_checks(name, df) for name, df in tables.items()]
-    parent_ids = tables["customers"].select(F.col("customer_id").alias("_pid")).distinct()
-    for child, (col, _parent, _pcol) in FOREIGN_KEYS.items():
-        # a NULL reference breaks no foreign key (not_null reports it)
-        per_id = tables[child].where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-        orphans = per_id.join(parent_ids, per_id[col] == parent_ids["_pid"], "left_anti")
-        out.append(
-            orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations")).select(
-                F.lit(child).alias("table_name"),
-                F.lit("foreign_key").alias("check_name"),
-                F.lit(col).alias("column_name"),
-                "violations",
-            )
-        )
-    return _union(out)
+    return union_all([*[_table_checks(name, df) for name, df in tables.items()], *key_checks(tables)])
 
 
 # G1 ---------------------------------------------------------------------------

@@ -76,6 +76,13 @@ DECIMAL_COLUMNS = {
     "payments": ("amount",),
     "costs": ("infra_cost", "marketing_cost", "support_cost"),
 }
+# declared lengths of the text columns (fixed values)
+VARCHAR = {
+    "customers": {"customer_id": 20, "segment": 20, "country": 5, "acquisition_channel": 50},
+    "subscriptions": {"subscription_id": 20, "customer_id": 20, "plan_type": 20},
+    "payments": {"payment_id": 20, "customer_id": 20, "payment_status": 20},
+    "costs": {"month": 7},
+}
 
 
 def not_null_columns(table: str) -> list[str]:

@@ -5,7 +5,8 @@
   ``COPY`` would.  Splits are read in parallel by the executors.
 * :func:`export_csv` (L5): CSV sink with header.
 * :func:`write_parquet` / :func:`read_parquet`: the native form; payments
-  and subscriptions are partitioned by month so month filters prune files.
+  and subscriptions are partitioned by month, a few files each, so month
+  filters prune folders; :func:`refresh_months` replaces single months.
 """
 
 from __future__ import annotations
@@ -51,22 +52,55 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def by_month(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with its month column, dealt out by month before it is
+    written: a month's rows meet in few tasks, so a month has few files, and
+    a month larger than the advisory partition size is split over several
+    tasks by the adaptive execution instead of filling one."""
+    part, src = PARTITION_BY[table]
+    return df.withColumn(part, month_start(src)).hint("rebalance", part)
+
+
+def write_table(df: DataFrame, root: str, table: str, mode: str = "overwrite") -> None:
+    path = os.path.join(root, table)
+    if table in PARTITION_BY:
+        by_month(df, table).write.mode(mode).partitionBy(PARTITION_BY[table][0]).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
+
+
 def write_parquet(tables: Tables, root: str, mode: str = "overwrite") -> None:
     for name, df in tables.as_dict().items():
-        writer_df = df
-        if name in PARTITION_BY:
-            part, src = PARTITION_BY[name]
-            writer_df = df.withColumn(part, month_start(src))
-            writer_df.write.mode(mode).partitionBy(part).parquet(os.path.join(root, name))
-        else:
-            writer_df.write.mode(mode).parquet(os.path.join(root, name))
+        write_table(df, root, name, mode)
+
+
+def refresh_months(df: DataFrame, root: str, table: str) -> None:
+    """Replace the months that ``df`` has rows of, and no other one: a
+    dynamic partition overwrite.  ``df`` must not read the table it replaces."""
+    writer = by_month(df, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PARTITION_BY[table][0]).parquet(os.path.join(root, table))
+
+
+def latest_month(spark: SparkSession, root: str, table: str = "payments", where=None):
+    """The last stored month (a date) that has a row, or None: read from the
+    partition values and, with a condition, the columns that it names."""
+    part = PARTITION_BY[table][0]
+    rows = spark.read.parquet(os.path.join(root, table))
+    return (rows if where is None else rows.where(where)).agg(F.max(part)).first()[0]
 
 
-def read_parquet(spark: SparkSession, root: str) -> Tables:
+def read_parquet(spark: SparkSession, root: str, first=None, last=None) -> Tables:
+    """The stored tables; payments of the months ``first`` to ``last`` only,
+    if given (dates): other months' folders are not read.  Subscriptions are
+    read whole, since one that started earlier may end or be open later."""
     out = {}
     for name in TABLES:
         df = spark.read.parquet(os.path.join(root, name))
-        if name in PARTITION_BY:
-            df = df.drop(PARTITION_BY[name][0])
+        if name == "payments":
+            part = F.col(PARTITION_BY[name][0])
+            if first is not None:
+                df = df.where(part >= F.trunc(F.lit(first).cast("date"), "month"))
+            if last is not None:
+                df = df.where(part <= F.trunc(F.lit(last).cast("date"), "month"))
         out[name] = df.select(*[F.col(f.name) for f in TABLES[name].fields])
     return Tables(**out)

@@ -179,6 +179,17 @@ class FixtureTables(Tables):
     def costs(self) -> DataFrame:  # type: ignore[override]
         return self._get("costs", lambda: costs(read(self._spark, self._dir, "lineitem")))
 
+    def raw(self) -> Tables:
+        """The tables before the casts that a wrong value would not survive:
+        payment amounts as the source's numbers."""
+        failed = F.col("o_orderstatus") == F.lit(FAILED_ORDER_STATUS)
+        pay = self._orders().select(
+            F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"), F.to_date("o_orderdate").alias("payment_date"),
+            F.when(failed, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("amount"),
+            F.when(failed, F.lit(FAILED_STATUS)).otherwise(F.lit(PAID_STATUS)).alias("payment_status"),
+        )
+        return Tables(customers=self.customers, subscriptions=self.subscriptions, payments=pay, costs=self.costs)
+
     def __repr__(self) -> str:
         return f"FixtureTables({self._dir!r})"
 
