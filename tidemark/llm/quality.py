@@ -9,8 +9,9 @@ trained by numpy stochastic gradient descent.
 
 The classifier is fitted on a bounded sample: the ``SAMPLE_ROWS`` labelled
 rows of the learning folds (crc32(doc_id) mod 5 is not 0) with the smallest
-hash of doc_id.  Executors reduce their texts to feature counts, so the
-driver gets at most ``SAMPLE_ROWS`` vectors of at most ``BUCKETS`` counts.
+hash of doc_id, as far as their counts stay below ``SAMPLE_BYTES``.  Executors
+reduce these texts to feature counts, one task trains on them, and the driver
+gets the weights alone.
 Scoring covers every whole text in one pass without a shuffle.
 
 Defined results: null text counts as empty; a text without features scores
@@ -22,9 +23,11 @@ source and doc_id are never inputs.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fold, read, ship, text_key
@@ -37,7 +40,9 @@ SAMPLE_ROWS = 4000
 EPOCHS = 5
 RATE = 0.5
 THRESHOLD = 0.3
-PIECE = 1 << 18  # bytes handled at a time
+SAMPLE_BYTES = 256 << 20
+PIECE = 1 << 18  # bytes handled at a time; features do not depend on it
+BLANK = re.compile(rb"[\x20\x09-\x0D]")
 GRAMS = (3, 5)
 BASE = np.uint64(0x100000001B3)
 AGAIN = 1  # bucket of the extra word <again>
@@ -61,32 +66,46 @@ def bucket(h: np.ndarray, salt: int) -> np.ndarray:
 
 
 def pieces(text: bytes, size: int = PIECE):
-    """A text in parts of about ``size`` bytes, cut at blanks where there are any."""
+    """A text in parts of about ``size`` bytes, cut behind blanks only: a word is never cut."""
     at = 0
     while len(text) - at > size:
-        cut = max(text.rfind(b" ", at, at + size), text.rfind(b"\n", at, at + size)) + 1
-        cut = cut if cut > at else at + size
-        yield text[at:cut]
-        at = cut
+        blank = BLANK.search(text, at + size)
+        if not blank or blank.end() == len(text):
+            break
+        yield text[at : blank.end()]
+        at = blank.end()
     yield text[at:] if at else text
 
 
 def groups(texts: list, size: int = PIECE):
-    """(document number, bytes) parts gathered to about ``size`` bytes."""
-    got, n = [], 0
+    """(document number, bytes) parts gathered to about ``size`` bytes, and
+    whether the first of them goes on with the last one's text."""
+    got, n, goes_on = [], 0, False
     for i, t in enumerate(texts):
-        for part in pieces(t or b"", size):
+        for k, part in enumerate(pieces(t or b"", size)):
+            if not got:
+                goes_on = k > 0
             got.append((i, part))
             n += len(part)
             if n >= size:
-                yield got
+                yield got, goes_on
                 got, n = [], 0
     if got:
-        yield got
+        yield got, goes_on
+
+
+def all_features(texts: list, size: int = PIECE):
+    """(owner, bucket) arrays of all features of some texts, a few parts at a time."""
+    last = None
+    for parts, goes_on in groups(texts, size):
+        owner, got, last = features(parts, last if goes_on else None)
+        yield owner, got
 
 
-def features(parts: list):
-    """(owner, bucket) of every feature of some ``(owner, bytes)`` parts."""
+def features(parts: list, before=None):
+    """(owner, bucket) of every feature of some ``(owner, bytes)`` parts, and
+    the hash of the last part's last word.  ``before``: that of the word that
+    stands before the first part in the same text."""
     joined = b" " + b" ".join(p for _, p in parts) + b" " * max(GRAMS)
     buf = np.frombuffer(joined, np.uint8)
     blank = (buf == 32) | ((buf >= 9) & (buf <= 13))
@@ -117,11 +136,15 @@ def features(parts: list):
         at.append(start)
         got.append(bucket(h, 1))
         part = np.searchsorted(part_ends, start, side="right")
-        again = np.flatnonzero((h[1:] == h[:-1]) & (part[1:] == part[:-1])) + 1
+        same = np.concatenate([[part[0] == 0 and h[0] == before], (h[1:] == h[:-1]) & (part[1:] == part[:-1])])
+        again = np.flatnonzero(same)
         at.append(start[again])
         got.append(np.full(len(again), AGAIN, np.int64))
+        before = before if part[-1] == 0 else None
+        before = h[-1] if part[-1] == len(parts) - 1 else before
+    before = before if len(parts) == 1 or len(start) and part[-1] == len(parts) - 1 else None
     at, got = np.concatenate(at), np.concatenate(got)
-    return owner_of_part[np.searchsorted(part_ends, at, side="right")], got
+    return owner_of_part[np.searchsorted(part_ends, at, side="right")], got, before
 
 
 def text_bytes(column: pa.Array) -> list:
@@ -132,8 +155,8 @@ def counts(text: bytes):
     """Distinct buckets of a whole text and how often each occurs."""
     total: dict = {}
     one = None
-    for parts in groups([text]):
-        got = np.unique(features(parts)[1], return_counts=True)
+    for _, found in all_features([text]):
+        got = np.unique(found, return_counts=True)
         if one is None:
             one = got
             continue
@@ -146,8 +169,9 @@ def counts(text: bytes):
     return one
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """Feature counts of at most ``rows`` labelled rows of the learning folds."""
+def sample(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> DataFrame:
+    """Feature counts of labelled rows of the learning folds, in one order:
+    at most ``rows`` of them, and at most ``size`` bytes of counts."""
     chosen = (
         labels.filter("doc_id is not null and quality is not null")
         .select("doc_id", F.col("quality").cast("int").alias("y"))
@@ -157,6 +181,12 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         .limit(rows)
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    keyed = texts.select(F.xxhash64("doc_id").alias("k"), text_key(F.col("text")).alias("k2"), "y", "text")
+    # a text has three features a byte at most, and a count of six bytes for each bucket
+    most = F.least(F.octet_length("text").cast("long") * 3, F.lit(BUCKETS)) * 6
+    few = keyed.select("k", "k2", "y", most.alias("most")).orderBy("k", "k2", "y").limit(rows)
+    before = F.sum("most").over(Window.orderBy("k", "k2", "y").rowsBetween(Window.unboundedPreceding, 0))
+    few = few.withColumn("before", before).filter(F.col("before") <= size).select("k", "k2", "y").distinct()
     schema = "k long, k2 long, y int, f binary, n binary"
 
     def run(batches):
@@ -170,8 +200,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
                     names=["k", "k2", "y", "f", "n"],
                 )
 
-    keyed = texts.select(F.xxhash64("doc_id").alias("k"), text_key(F.col("text")).alias("k2"), "y", "text")
-    return keyed.mapInArrow(run, schema).orderBy("k", "k2", "y").limit(rows)
+    return keyed.join(F.broadcast(few), ["k", "k2", "y"], "left_semi").mapInArrow(run, schema).orderBy("k", "k2", "y").limit(rows)
 
 
 def train(rows, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
@@ -201,22 +230,29 @@ def train(rows, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7):
     return (emb @ (out[1] - out[0])).astype(np.float32), float(bias[1] - bias[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS):
-    got = sample(docs, labels, rows).toArrow()
-    if not got.num_rows:
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES):
+    """The model, trained by one task on the bounded sample; the driver gets
+    one weight a bucket."""
+
+    def run(batches):
+        data = []
+        for batch in batches:
+            for y, f, n in zip(*(batch.column(c).to_pylist() for c in ("y", "f", "n"))):
+                data.append((min(1, max(0, y)), np.frombuffer(f, np.uint16), np.frombuffer(n, np.uint32)))
+        if data:
+            weight, bias = train(data)
+            yield pa.RecordBatch.from_arrays([pa.array([weight.tobytes()], pa.binary()), pa.array([bias])], names=["weight", "bias"])
+
+    got = sample(docs, labels, rows, size).mapInArrow(run, "weight binary, bias double").collect()
+    if not got:
         return np.zeros(BUCKETS, np.float32), 0.0
-    y, f, n = (got.column(c) for c in ("y", "f", "n"))
-    return train(
-        (min(1, max(0, y[i].as_py())), np.frombuffer(f[i].as_buffer(), np.uint16), np.frombuffer(n[i].as_buffer(), np.uint32))
-        for i in range(got.num_rows)
-    )
+    return np.frombuffer(got[0]["weight"], np.float32), got[0]["bias"]
 
 
 def scores(texts: list, weight: np.ndarray, bias: float) -> np.ndarray:
     """Probability of label 1 for each text."""
     total, n = np.zeros(len(texts)), np.zeros(len(texts))
-    for parts in groups(texts):
-        owner, got = features(parts)
+    for owner, got in all_features(texts):
         total += np.bincount(owner, weights=weight[got], minlength=len(texts))
         n += np.bincount(owner, minlength=len(texts))
     z = np.clip(total / np.maximum(n, 1) + bias, -60, 60)
