@@ -47,11 +47,9 @@ def escape_role(c):
 
 
 def unescape_role(c):
-    # a doubled backslash before n is an escaped backslash, so protect it first
-    mark = F.lit("\u0000")
-    c = F.replace(c, F.lit("\\\\"), mark)
-    c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("<\\|"), F.lit("<|"))
-    return F.replace(c, mark, F.lit("\\"))
+    # what stands between doubled backslashes holds single ones only
+    parts = F.transform(F.split(c, r"\\\\"), lambda x: F.replace(F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("<\\|"), F.lit("<|")))
+    return F.array_join(parts, "\\")
 
 
 def reply_paths(messages: DataFrame, branches: int | None = None) -> DataFrame:
