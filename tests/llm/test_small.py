@@ -235,14 +235,88 @@ def test_quality(spark, odd, empty):
     assert quality.fit(empty, labels)[1] == 0.0 and quality.keep_good(empty, model).count() == 0
 
 
+def brute_features(text):
+    """Features of one text, word by word."""
+    out, h64 = Counter(), (1 << 64) - 1
+    word = lambda w: sum(c * pow(int(quality.BASE), k, 1 << 64) for k, c in enumerate(w)) & h64
+    words = text.split()
+    for i, w in enumerate(words):
+        out[int(quality.bucket(np.array([word(w)], np.uint64), 1)[0])] += 1
+        out[quality.AGAIN] += i > 0 and words[i - 1] == w
+        padded = b" " + w + b" "
+        for n in quality.GRAMS:
+            for k in range(len(padded) - n + 1):
+                h = 0
+                for c in padded[k : k + n]:
+                    h = (h * int(quality.BASE) + c) & h64
+                out[int(quality.bucket(np.array([h], np.uint64), n)[0])] += 1
+    return +out
+
+
 def test_quality_features_do_not_depend_on_pieces():
-    text = ("ab cde ab ab " * 400).encode()
-    whole = Counter(quality.features([(0, text)])[1].tolist())
-    split = Counter()
-    for parts in quality.groups([text], 97):
-        split.update(quality.features(parts)[1].tolist())
-    del whole[quality.AGAIN], split[quality.AGAIN]  # repeats across a cut are not seen
-    assert whole == split
+    rng = np.random.default_rng(1)
+    texts = [("ab cde ab ab " * 400).encode(), b"x" * 900 + b" " + b"x" * 900, b" \n" * 300 + b"to to" + b"\t" * 300 + b"to", b"", b"   ", b"end end\n"]
+    texts += [b" ".join(rng.choice([b"a", b"bb", b"bb", b"ccc"], int(rng.integers(1, 200)))) for _ in range(20)]
+    want = [brute_features(t) for t in texts]
+    for size in (3, 97, 1000, quality.PIECE):
+        got = [Counter() for _ in texts]
+        for owner, found in quality.all_features(texts, size):
+            for o, f in zip(owner.tolist(), found.tolist()):
+                got[o][f] += 1
+        assert got == want
+
+
+def test_quality_model_by_hand(spark):
+    """Scores and the sample by plain Python: the labelled learning rows, their
+    counts, the same training, the mean of the weights."""
+    docs = read(spark, SF_SMALL, "documents").select("doc_id", "text", F.lit(1).alias("score"), F.lit("k").alias("k"))
+    labels = read(spark, SF_SMALL, "labels")
+    weight, bias = quality.fit(docs, labels)
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    learn = [(r.doc_id, r.quality) for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 and r.doc_id in texts]
+    key = {r.doc_id: r.k for r in docs.select("doc_id", F.xxhash64("doc_id").alias("k")).collect()}
+    rows = []
+    for d, y in sorted(learn, key=lambda x: key[x[0]]):
+        c = brute_features(texts[d])
+        f = sorted(c)
+        rows.append((y, np.array(f, np.uint16), np.array([c[x] for x in f], np.uint32)))
+    by_hand = quality.train(rows)
+    assert np.array_equal(by_hand[0], weight) and by_hand[1] == bias
+    got = {r.doc_id: r.score for r in quality.score_texts(docs.select("doc_id", "text", F.lit(True).alias("held_out")), (weight, bias)).collect()}
+    for d, t in list(texts.items())[:40]:
+        c = brute_features(t)
+        z = sum(float(weight[f]) * n for f, n in c.items()) / max(1, sum(c.values())) + bias
+        assert abs(got[d] - 1 / (1 + math.exp(-z))) < 1e-5
+    # a sample bounded by bytes takes fewer rows
+    assert quality.sample(docs, labels, 4000, 10**5).count() < len(rows) == quality.sample(docs, labels, 4000, 1 << 28).count()
+
+
+def test_lm_runs_keep_their_context():
+    text = np.arange(1, 12, dtype=np.int16)
+    runs = [r for group in lm.batches_of([text, text[:2]], pad=0, limit=5) for r in group]
+    assert [r[1].tolist() for r in runs] == [[1, 2, 3, 4, 5], [6, 7, 8, 9, 10], [11], [1, 2]]
+    assert [r[0].tolist() for r in runs] == [[0, 0, 0, 0], [2, 3, 4, 5], [7, 8, 9, 10], [0, 0, 0, 0]]
+
+
+CLASHING = "weight whole rest cut_text src block tk spans sid stk gid gtk row clean n_tokens draws reads rid kind start end key root".split()
+
+
+def test_clashing_names_come_back_untouched(spark, odd):
+    wide = odd.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias(c) for c in CLASHING])
+    own = {"n_tokens", "weight", "epochs", "draws"}
+    for name, out in {"mix": mixing.mix(wide), "sanitise": pii.sanitise(wide), "keep_one": jaccard.keep_one(wide)}.items():
+        kept = [c for c in wide.columns if name != "mix" or c not in own]
+        assert [c for c in out.columns if c in kept] == kept
+        for r in out.collect():
+            assert all(r[c] == f"{c}{'-' if r.doc_id is None else r.doc_id}" for c in CLASHING if c in kept), name
+    model = np.zeros(quality.BUCKETS, np.float32), 0.0
+    assert quality.keep_good(wide, model).columns == wide.columns
+
+
+def test_chat_roles_of_any_characters(spark):
+    roles = ["a\u0000b", "\\\\n", "\\n", "\n", "\\", "<|x", "<\\|", "\\\\\n\\\\\\n\u0000", ""]
+    back = spark.createDataFrame([(r,) for r in roles], "r string").select("r", chat.unescape_role(chat.escape_role(F.col("r"))).alias("b")).collect()
+    assert all(x.r == x.b for x in back)
 
 
 def test_chat_round_trip(spark):

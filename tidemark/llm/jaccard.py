@@ -435,15 +435,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     gone = materialise(marked.filter("not stays").select("gid", "gtk").distinct(), "gone")
     again = materialise(marked.filter("stays").groupBy("gid", "gtk").count().filter("count > 1").select("gid", "gtk"), "again")
 
+    # the input goes through as one struct, so that none of its names can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = docs.select(row.alias("row"), "doc_id", "text")
+
     def match(keys):
         keys = broadcast_if_small(keys, keys.count(), BROADCAST_ROWS)
         return keys, F.col("doc_id").eqNullSafe(F.col("gid")) & (text_key(F.col("text")) == F.col("gtk"))
 
-    kept = docs.join(*match(gone), "left_anti")
+    kept = kept.join(*match(gone), "left_anti")
     if again.limit(1).count():  # rows that repeat the one that stays
         one = kept.join(*match(again), "left_semi").dropDuplicates(["doc_id", "text"])
         kept = kept.join(*match(again), "left_anti").unionByName(one)
-    return kept
+    return kept.select("row.*")
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -135,7 +135,12 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeat: float = REPEAT, budge
     )
     plan = materialise(plan.join(last, "src", "left"), "plan")
 
-    rows = docs.withColumn("src", src).withColumn("tk", key).withColumn("block", block)
+    # the input goes through as one struct, so that none of its names can clash
+    kept = [c for c in docs.columns if c not in ("n_tokens", "weight", "epochs", "draws")]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("doc_id").alias("doc_id"), src.alias("src"), key.alias("tk"),
+        block.alias("block"), token_count(F.col("text")).alias("n_tokens"),
+    )
     rows = rows.join(small(plan), "src")
     draw = lambda e: F.struct(e.cast("int").alias("epoch"), block_key(e).alias("block_key"), doc_key(e).alias("text_key"))
     whole = F.when(F.col("whole") > 0, F.transform(F.sequence(F.lit(0), F.greatest("whole", F.lit(1)) - 1), draw)).otherwise(
@@ -144,10 +149,7 @@ def mix(docs: DataFrame, entropy: float = ENTROPY, repeat: float = REPEAT, budge
     late = draw(F.col("whole"))
     reached = (late["block_key"] < F.col("cut_block")) | ((late["block_key"] == F.col("cut_block")) & (late["text_key"] <= F.col("cut_text")))
     draws = F.when(F.coalesce(reached, F.lit(False)), F.concat(whole, F.array(late))).otherwise(whole)
-    keep = [c for c in docs.columns if c not in ("n_tokens", "weight", "epochs", "draws")]
-    return rows.withColumn("draws", draws).select(
-        *keep, token_count(F.col("text")).alias("n_tokens"), "weight", F.size("draws").alias("epochs"), "draws"
-    )
+    return rows.withColumn("draws", draws).select("row.*", "n_tokens", "weight", F.size("draws").alias("epochs"), "draws")
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

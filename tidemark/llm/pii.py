@@ -180,37 +180,41 @@ def places(docs: DataFrame) -> DataFrame:
 
 
 def by_text(spans: DataFrame) -> DataFrame:
-    s = F.struct("kind", "start", "end", "action")
+    s = F.struct(*[c for c in spans.columns if c not in ("doc_id", "tk")])
     return spans.groupBy(F.col("doc_id").alias("sid"), F.col("tk").alias("stk")).agg(F.array_sort(F.collect_set(s)).alias("spans"))
 
 
 def attach(docs: DataFrame, spans: DataFrame) -> DataFrame:
     key = F.col("doc_id").eqNullSafe(F.col("sid")) & (F.col("tk") == F.col("stk"))
-    empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,action:string>>")
-    return docs.join(by_text(spans), key, "left").withColumn("spans", F.coalesce("spans", empty)).drop("sid", "stk")
+    lists = by_text(spans)
+    empty = F.array().cast(lists.schema["spans"].dataType)
+    return docs.join(lists, key, "left").withColumn("spans", F.coalesce("spans", empty)).drop("sid", "stk")
+
+
+def replaced(text, spans):
+    """``text`` with its spans replaced: the pieces between them and their
+    actions, joined once.  A span that starts before ``at``, the end reached by
+    those ahead of it, goes with them."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "end", "kind", "action", "at")])))
+    piece = lambda a, n: F.substring(text, (a + 1).cast("int"), F.greatest(F.lit(0), n).cast("int"))
+    parts = F.transform(
+        ordered, lambda s: F.when(s["start"] >= s["at"], F.concat(piece(s["at"], s["start"] - s["at"]), s["action"])).otherwise(F.lit(""))
+    )
+    last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+    return F.concat(F.array_join(parts, ""), F.substring(text, (last + 1).cast("int"), F.length(text)))
 
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with sanitised texts; same columns."""
-    spans = places(docs)
-    rows = attach(docs.withColumn("tk", text_key(F.col("text"))), spans)
-    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), s["action"].alias("action"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(acc, s):
-        # what is left of a span behind the last one; a span inside another one goes with it
-        fresh = s["start"] >= acc["at"]
-        piece = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.greatest(F.lit(0), s["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.when(fresh, F.concat(acc["out"], piece, s["action"])).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
-
-    def finish(acc):
-        return F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text")))
-
-    text = F.when(F.size("spans") > 0, F.aggregate(ordered, start, step, finish)).otherwise(F.col("text"))
-    return rows.withColumn("text", text).select(*docs.columns)
+    ahead = Window.partitionBy("doc_id", "tk").orderBy("start", "end", "kind", "action").rowsBetween(Window.unboundedPreceding, -1)
+    spans = places(docs.select("doc_id", "text")).withColumn("at", F.coalesce(F.max("end").over(ahead), F.lit(0).cast("long")))
+    # the input goes through as one struct, so that none of its names can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = attach(docs.select(row.alias("row"), "doc_id", F.col("text").alias("text"), text_key(F.col("text")).alias("tk")), spans)
+    text = F.when(F.size("spans") > 0, replaced(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    return rows.select("row", text.alias("clean")).select(
+        *[F.col("clean").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns]
+    )
 
 
 def digest(docs: DataFrame) -> DataFrame:
