@@ -436,6 +436,24 @@ def test_warc_unclosed_elements():
     assert "outlink: /x\r\noutlink: /y" in meta
 
 
+def test_warc_hidden_titles_and_other_attributes():
+    page = (
+        "<!-- <title>old</title> --><svg><title>icon</title></svg><HTML class=x lang='de'><title>Real\n one</title>"
+        "<a data-href='/wrong' href=\"/right?a=1&amp;b\">x</a><a name=href>y</a><a HREF = /bare>z</a><a title='href=/no'>w</a><title>late</title>"
+    )
+    assert warc.described(warc.shown(page)) == ("Real one", "de", ["/right?a=1&b", "/bare"])
+
+
+def test_warc_unclosed_tags_take_linear_time():
+    import time
+
+    for piece in ("<title>", "<a ", "<svg ", "<svg>", "<a href='", "<!--", "<noscript>", "<html lang=", "<p", "</"):
+        for page in (piece * 100_000, piece * 100_000 + ">"):
+            begin = time.process_time()
+            warc.derivatives("r", "u", "", "", page)
+            assert time.process_time() - begin < 5, piece
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 

@@ -38,16 +38,15 @@ SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122 name space
 
 HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|svg)\b", re.I)
 CLOSE = {k: re.compile(rf"</{k}\s*>", re.I) for k in ("script", "style", "noscript", "template", "svg")}
-SELF_CLOSED = re.compile(r"<svg\b[^>]*/>", re.I)
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
     r"h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>",
     re.I,
 )
 TAG = re.compile(r"<[A-Za-z/!?][^>]*>")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LANG = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+OPEN = re.compile(r"<([A-Za-z][^\s/>]*)([^>]*)>")  # tags do not overlap, so a scan is linear
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+TITLE_END = re.compile(r"</title\s*>", re.I)
 BLANKS = re.compile(r"[ \t\r\f\v ]+")
 LINES = re.compile(r" ?\n[ \n]*")
 
@@ -74,14 +73,14 @@ def shown(page: str) -> str:
     """The page without comments and elements that are not shown.  What is
     not closed goes to the page's end if it is a comment, script or style;
     of others only the tag is left to be removed."""
-    out, at, look, unclosed = [], 0, 0, set()
+    out, at, look, unclosed, last = [], 0, 0, set(), page.rfind(">")
     while m := HIDDEN.search(page, look):
         name, end = (m.group(1) or "").lower(), -1
         if not name:
             k = page.find("-->", m.end())
             end = k + 3 if k >= 0 else len(page)
-        elif name == "svg" and (c := SELF_CLOSED.match(page, m.start())):
-            end = c.end()
+        elif name == "svg" and m.end() <= last and page[(k := page.find(">", m.end())) - 1] == "/":
+            end = k + 1
         elif name not in unclosed and (c := CLOSE[name].search(page, m.end())):
             end = c.end()
         elif name in ("script", "style"):
@@ -97,7 +96,9 @@ def shown(page: str) -> str:
 
 def plain_text(page: str) -> str:
     page = shown(page)
-    page = TAG.sub("", BLOCK.sub("\n", page))
+    # behind the last > there is no tag, and looking for one would never end early
+    cut = page.rfind(">") + 1
+    page = TAG.sub("", BLOCK.sub("\n", page[:cut])) + page[cut:]
     page = BLANKS.sub(" ", html_lib.unescape(page))
     return LINES.sub("\n", page).strip()
 
@@ -120,14 +121,37 @@ def record(kind, uri, date, ctype, block, refers_to, payload_digest, http):
     return (kind, rid, refers_to, uri, date, ctype, len(body), digest, payload_digest, http, head, block)
 
 
+def attribute(text: str, name: str):
+    """The value of a tag's first attribute of this name, or None."""
+    for m in ATTRIBUTE.finditer(text):
+        if m[1].lower() == name:
+            return html_lib.unescape(m[2] or m[3] or m[4] or "")
+    return None
+
+
+def described(page: str):
+    """Title, language and links of a page without its hidden parts."""
+    title, lang, links = None, "", []
+    end = page.rfind(">") + 1
+    for m in OPEN.finditer(page, 0, end):
+        name = m[1].lower()
+        if name == "a" and (href := attribute(m[2], "href")) is not None:
+            links.append(one_line(href))
+        elif name == "html" and not lang:
+            lang = (attribute(m[2], "lang") or "").strip()
+        elif name == "title" and title is None:
+            close = TITLE_END.search(page, m.end())
+            title = one_line(html_lib.unescape(page[m.end() : close.start()])) if close else ""
+    return title or "", lang, links
+
+
 def derivatives(rid, uri, date, http, payload):
     """The metadata and the conversion record of one response."""
     digest = sha1(payload.encode("utf-8", "replace"))
-    title, lang = TITLE.search(payload), LANG.search(payload)
-    links = [one_line(html_lib.unescape(a or b or c)) for a, b, c in LINK.findall(shown(payload))]
+    title, lang, links = described(shown(payload))
     meta = fields(
         [("source-header", h) for h in http.split("\r\n") if h]
-        + [("title", one_line(html_lib.unescape(title.group(1))) if title else ""), ("language", lang.group(1) if lang else "")]
+        + [("title", title), ("language", lang)]
         + [("outlink", x) for x in links]
     )
     return [
