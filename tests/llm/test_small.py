@@ -204,6 +204,54 @@ def test_decontamination_short_items():
         assert sum(g[0] == 1 for g in got) == 2
 
 
+def test_decontamination_band_against_whole_matrix():
+    """Long items with random edits, at the ends of texts too: the places and
+    edits of the band are those of the whole matrix."""
+    rng = np.random.default_rng(11)
+    words = lambda n: b" ".join(bytes(rng.integers(97, 103, rng.integers(2, 9)).astype(np.uint8)) for _ in range(n))
+
+    def fewest(item, text):  # edits of the whole item against any part of the text
+        row = [0] * (len(text) + 1)
+        for i, x in enumerate(item, 1):
+            new = [i]
+            for j, y in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return min(row)
+
+    seen = set()
+    for size in (20, 60):
+        item = words(size)
+        budget = int(decontam.ERROR * len(item))
+        for edits in (0, 1, budget // 2, budget - 1, budget, budget + 1, 2 * budget):
+            for before, behind in ((b"", b""), (b"", words(6)), (words(6), b""), (words(9), words(3))):
+                near = bytearray(item)
+                for _ in range(edits):
+                    k = int(rng.integers(len(near)))
+                    near[k : k + int(rng.integers(2))] = bytes(rng.integers(97, 103, int(rng.integers(2))).astype(np.uint8))
+                text = b" ".join(x for x in (before, bytes(near), behind) if x)
+                got = list(decontam.matches(decontam.Items([(1, item)], decontam.ERROR), [b"other", text, item[:40]]))
+                best = fewest(item, text)
+                seen.add(best <= budget)
+                assert bool(got) == (best <= budget), (edits, best)
+                for d, _, s, t, e in got:
+                    assert d == 1 and e == best == edit_distance(item, text[s:t]) and 0 <= s < t <= len(text)
+    assert seen == {True, False}
+
+
+def test_decontamination_long_item_fills_only_its_band():
+    rng = np.random.default_rng(12)
+    item = bytes(rng.integers(97, 123, 20_000).astype(np.uint8))
+    near = bytearray(item)
+    for k in rng.integers(0, len(item), 100):
+        near[k] = 48
+    text = b"some words " + bytes(near) + b" more"
+    ((_, _, s, t, e),) = decontam.matches(decontam.Items([(1, item)], decontam.ERROR), [text])
+    assert (s, t) == (11, 11 + len(item)) and e == len(set(np.flatnonzero(np.frombuffer(item, np.uint8) != np.frombuffer(bytes(near), np.uint8))))
+    # a text that leaves the budget early is given up there
+    assert decontam.align(item, bytes(rng.integers(97, 123, 20_000).astype(np.uint8)), 0, 3202, 1600) is None
+
+
 def test_mixing(spark, odd, empty):
     docs = docs_of(spark, [(i, " ".join(["w"] * (1 + i % 7)), ) for i in range(900)]).withColumn(
         "source", F.when(F.col("doc_id") < 700, "big").when(F.col("doc_id") < 850, "mid").otherwise("small"))

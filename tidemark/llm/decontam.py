@@ -10,8 +10,9 @@ within e + 1 neighbouring diagonals, so:
 1. every q-gram of a text (q = 8 bytes) that an item has is counted in the
    two overlapping diagonal bands, each twice e + 1 wide, that hold it;
 2. bands that reach the bound are kept as regions;
-3. each region is verified by banded alignment (edit distance of the whole
-   item against any part of the region).
+3. each region is verified by banded alignment: edit distance of the whole
+   item against any part of the text on the region's diagonals alone, given
+   up at the first row that is beyond the budget.
 
 Items too short for that bound to ask for a shared q-gram are cut into e + 1
 pieces, one of which every alignment leaves whole; the places of the pieces'
@@ -142,29 +143,50 @@ class Items:
         return list(zip(item.tolist(), (band * (self.edits[item] + 1)).tolist(), (2 * (self.edits[item] + 1)).tolist()))
 
 
-def align(item: bytes, region: bytes):
-    """Fewest edits that turn a part of ``region`` into ``item``: (edits, start, end)."""
-    found = region.find(item)
-    if found >= 0:
-        return 0, found, found + len(item)
-
-    def last_row(a: bytes, b: bytes, free: bool):
-        x = np.frombuffer(b, np.uint8)
-        col = np.arange(len(b) + 1)
-        row = np.zeros(len(b) + 1, np.int64) if free else col.copy()
-        for i, c in enumerate(a):
-            new = np.empty_like(row)
-            new[0] = row[0] + 1 if not free else i + 1
-            new[1:] = np.minimum(row[:-1] + (x != c), row[1:] + 1)
-            row = np.minimum.accumulate(new - col) + col
-        return row
-
-    row = last_row(item, region, True)
+def align(item: bytes, text: bytes, low: int, width: int, most: int):
+    """Fewest edits, ``most`` at the most, that turn a part of ``text`` into
+    ``item`` on the diagonals ``low`` to ``low + width - 1`` (place in the text
+    less place in the item): (edits, start, end), or None.  Only the band is
+    filled, row by row, up to the first row that is beyond ``most`` throughout."""
+    m = len(item)
+    at = text.find(item, max(low, 0), max(low + width - 1 + m, 0))
+    if at >= 0:
+        return 0, at, at + m
+    # the characters that the band meets; None of them, and no place, beyond the text's ends
+    far = m + width + 1
+    first, last = max(low, 0), min(max(low + m + width, 0), len(text))
+    near = np.full(m + width, 256, np.int16)
+    if first < last:
+        near[first - low : last - low] = np.frombuffer(text, np.uint8, last - first, first)
+    chars = np.frombuffer(item, np.uint8)
+    step = np.arange(width)
+    bound = np.full(m + width + 1, far)
+    bound[max(0, -low) : max(0, len(text) - low + 1)] = 0
+
+    def below(row, i):
+        """Row i + 1 from row i: a character each, or one of the item alone, then of the text alone."""
+        new = row + (near[i : i + width] != chars[i])
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        return np.maximum(np.minimum.accumulate(new - step) + step, bound[i + 1 : i + 1 + width])
+
+    def above(row, i):
+        """Row i from row i + 1, for the way back."""
+        new = row + (near[i : i + width] != chars[i])
+        new[1:] = np.minimum(new[1:], row[:-1] + 1)
+        return np.maximum(np.minimum.accumulate((new + step)[::-1])[::-1] - step, bound[i : i + width])
+
+    row = bound[:width].copy()
+    for i in range(m):
+        row = below(row, i)
+        if row.min() > most:
+            return None
     end = int(row.argmin())
     edits = int(row[end])
-    back = last_row(item[::-1], region[:end][::-1], False)
-    start = end - int(np.flatnonzero(back == edits)[0])
-    return edits, start, end
+    row = np.where(step <= end, end - step, far)
+    for i in range(m - 1, -1, -1):
+        row = above(row, i)
+    start = int(np.flatnonzero(row == edits)[-1])
+    return edits, low + start, low + m + end
 
 
 def matches(items: Items, docs: list):
@@ -182,13 +204,10 @@ def matches(items: Items, docs: list):
         d = int(np.searchsorted(begin, low + (width + m) // 2, side="right")) - 1
         if d < 0:
             continue
-        a, b = max(begin[d], low - e), min(begin[d] + len(docs[d]), low + width + m + e)
-        if b - a < m - e:
-            continue
-        edits, s, t = align(items.text[item], buf[a:b])
-        if edits <= e:
+        place = align(items.text[item], docs[d], int(low - begin[d]), width, e)
+        if place:
+            edits, s, t = place
             here = best.setdefault((d, item), [])
-            s, t = int(a - begin[d]) + s, int(a - begin[d]) + t
             for x in here:  # overlapping bands find the same place
                 if s < x[1] and x[0] < t:
                     if edits < x[2]:
