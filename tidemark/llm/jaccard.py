@@ -39,7 +39,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import broadcast_if_small, components, materialise, read, ship, text_key
@@ -351,6 +351,42 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def block_parts(meeting: DataFrame) -> DataFrame:
+    """Blocks ``(block, node, comp)`` divided for joining: ``(block, part, node,
+    comp)``, a part for every two of a block's pieces of about ``PART`` sets.
+
+    A component of a piece or more in its block has pieces of its own, which
+    need not meet each other: a block of s sets, nearly all of one component,
+    takes about s rows for each piece of the others, and none for a block of
+    one component.  The other components' sets share pieces."""
+    per = meeting.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("size"))
+    large = F.col("size") >= PART
+    own = F.when(large, F.ceil(F.col("size") / PART)).otherwise(0)
+    # one row for each component of a block; only blocks that need several pieces go on
+    block = per.groupBy("block").agg(
+        F.sum("size").alias("sets"), F.sum(F.when(large, 0).otherwise(F.col("size"))).alias("mixed"), F.sum(own).alias("own")
+    )
+    mixed = F.ceil(F.col("mixed") / PART)
+    block = materialise(block.filter(F.col("sets") > PART).select("block", mixed.alias("mixed"), (mixed + F.col("own")).alias("pieces")), "divided")
+    order = Window.partitionBy("block").orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    comps = per.filter(large).select("block", "comp", own.alias("own"))
+    comps = materialise(comps.withColumn("ahead", F.coalesce(F.sum("own").over(order), F.lit(0))), "comps")
+    rows = meeting.join(broadcast_if_small(block, block.count(), BROADCAST_ROWS), "block", "left")
+    rows = rows.join(broadcast_if_small(comps, comps.count(), BROADCAST_ROWS), ["block", "comp"], "left")
+    first = F.coalesce(F.col("mixed") + F.col("ahead"), F.lit(0))
+    among = F.coalesce("own", "mixed", F.lit(1))
+    rows = rows.select(
+        "block", "node", "comp", F.coalesce("pieces", F.lit(1)).alias("pieces"), first.alias("first"), F.col("own").alias("own"),
+        (first + F.pmod(F.xxhash64("node"), among)).alias("mine"),
+    )
+    others = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1),
+        lambda x: F.col("own").isNull() | (x < F.col("first")) | (x >= F.col("first") + F.col("own")),
+    )
+    pair = lambda x: F.least(x, F.col("mine")) * F.col("pieces") + F.greatest(x, F.col("mine"))
+    return rows.select("block", F.explode(F.transform(others, pair)).alias("part"), "node", "comp")
+
+
 def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Component roots ``(node, root)`` of all nodes that link with another."""
     # 1. blocks by minimum hash
@@ -366,27 +402,15 @@ def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
 
     # 2. tokens of prefixes that meet in more than one component
     comp = broadcast_if_small(known, known.count(), BROADCAST_ROWS)
-    rows = (
-        prefixes.join(comp, "node", "left").select("node", "root", F.explode("prefix").alias("t"))
-        .repartition("t")
-    )
     c = F.coalesce("root", "node")
-    groups = rows.groupBy("t").agg(
-        F.count(F.lit(1)).alias("size"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-        F.min("node").alias("block"),
-    ).filter("lo < hi")
+    rows = prefixes.join(comp, "node", "left").select("node", c.alias("comp"), F.explode("prefix").alias("t"))
+    # counted in the map tasks first, so a token of many sets is no hot key
+    groups = rows.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("block"))
+    groups = materialise(groups.filter("lo < hi").select("t", "block"), "groups")
+    groups = broadcast_if_small(groups, groups.count(), BROADCAST_ROWS)
     # tokens whose sets have the same smallest node are one block
-    meeting = materialise(rows.join(groups.drop("size"), "t").select("block", "node", c.alias("comp")).distinct(), "meeting")
-    sizes = materialise(meeting.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    blocks = meeting.join(sizes, "block")
-    # a block of many sets is joined in pairs of its parts, one group each
-    p = F.greatest(F.lit(1), F.ceil(F.col("size") / PART)).cast("int")
-    mine = F.pmod(F.xxhash64("node"), F.col("p")).cast("int")
-    pair = lambda x: F.least(x, F.col("mine")) * F.col("p") + F.greatest(x, F.col("mine"))
-    blocks = blocks.withColumn("p", p).withColumn("mine", mine).select(
-        "block", F.explode(F.transform(F.sequence(F.lit(0), F.col("p") - 1), pair)).alias("part"), "node", "comp"
-    )
-    pairs = materialise(join_bitmaps(materialise(blocks, "blocks"), nodes), "pairs")
+    meeting = materialise(rows.join(groups, "t").select("block", "node", "comp").distinct(), "meeting")
+    pairs = materialise(join_bitmaps(materialise(block_parts(meeting), "blocks"), nodes), "pairs")
     some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("doc_id", "fp", "node")
     sets = materialise(fetch(docs, some).dropDuplicates(["node"]), "tokens")
     second = verify(pairs, sets)
