@@ -89,28 +89,6 @@ def test_jaccard_random_near_copies(spark, monkeypatch):
     assert Counter(map(tuple, got)) == brute_components(texts)
 
 
-def test_jaccard_parts_of_blocks(spark, monkeypatch):
-    """Any two sets of a block that are of different components meet in a
-    part; the pieces of one large component do not."""
-    monkeypatch.setattr(jaccard, "PART", 10)
-    comps = {1: [5] * 400 + [6] * 3, 2: [7] * 200 + [8] * 150 + list(range(100, 135)), 3: [9] * 4 + [10] * 3, 4: list(range(200, 300))}
-    node, rows = 0, []
-    for block, cs in comps.items():
-        for c in cs:
-            node += 1
-            rows.append((block, node, c))
-    got = jaccard.block_parts(spark.createDataFrame(rows, "block long, node long, comp long")).collect()
-    parts = {}
-    for r in got:
-        parts.setdefault((r.block, r.part), []).append((r.node, r.comp))
-    met = {(min(x, y)[0], max(x, y)[0]) for p in parts.values() for x in p for y in p if x[1] != y[1]}
-    want = {(n, m) for b, n, c in rows for k, m, d in rows if b == k and n < m and c != d}
-    assert met == want
-    assert max(len(p) for p in parts.values()) < 80  # pieces of about ten, dealt by hash
-    assert sum(r.block == 1 for r in got) <= 400 + 3 * 41  # not 400 * 40
-    assert sum(r.block == 3 for r in got) == 7
-
-
 def test_keep_one(odd):
     kept = sorted((r.doc_id for r in jaccard.keep_one(odd).collect()), key=str)
     assert kept == sorted([1, 2, 3, 4, 7, 9, 10, 11, 12], key=str)
