@@ -541,28 +541,105 @@ def test_pii_terms_that_reveal(spark):
     assert "Zanzibar" not in out[0] and "the letter" in out[0] and out[100] == texts[6][1]
 
 
+def brute_terms(texts):
+    """{doc_id: (terms to generalise, terms to remove)} straight from the docstring's rule."""
+    n = len(texts)
+    assert n == len({t for _, t in texts})
+    outside, values, owners = {}, {}, {}
+    for d, t in texts:
+        low, base = t.lower(), pii_base(t)
+        values[d], owners[d] = set(), set()
+        for k, a, e in base:
+            v, digits = low[a:e], re.sub("[^0-9]", "", low[a:e])[:6]
+            shared = v.split("@")[-1] if k == "email" else v.rsplit(".", 1)[0] if k == "ip" else digits
+            values[d] |= {(k, v), (k, "shared", shared)}
+            if k == "email":
+                owners[d] |= set(re.findall("[a-z]{3,}", v.rsplit(".", 1)[0]))
+                low = low[:a] + " " * (e - a) + low[e:]
+        outside[d] = set(re.findall("[a-z]{2,}", low))
+    df, dv, do = (Counter(x for xs in y.values() for x in xs) for y in (outside, values, owners))
+    co = Counter((w, v) for d in outside for w in outside[d] for v in values[d])
+    same = Counter(w for d in outside for w in outside[d] & owners[d])
+    sets = {frozenset(d for d in values if v in values[d]) for v in dv if 2 <= dv[v] < n}
+    trials = max(n, len(sets) * sum(c > 1 for c in df.values()))
+    out = {}
+    for d in outside:
+        left = {}
+        for w in outside[d]:
+            for v in values[d]:
+                c, mean = co[w, v], df[w] * dv[v] / n
+                if 2 <= dv[v] < n and c > mean and math.exp(c - mean - c * math.log(c / mean)) <= pii.ALPHA / trials:
+                    left[w] = min(left.get(w, 99), -math.log2((c + dv[v] / n) / (df[w] + 1)))
+            if w in owners[d]:
+                left[w] = min(left.get(w, 99), -math.log2((same[w] + do[w] / n) / (df[w] + 1)))
+        out[d] = {w for w, x in left.items() if pii.REMOVE < x <= pii.GENERALISE}, {w for w, x in left.items() if x <= pii.REMOVE}
+    return out
+
+
+def check_terms(spark, texts):
+    """Spans and cleaned texts against brute force; returns the number of places masked."""
+    by = {r.doc_id: {s for s in r.spans.split(",") if s.startswith("term")} for r in pii.digest(docs_of(spark, texts)).collect()}
+    out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts)).collect()}
+    brute, places = brute_terms(texts), 0
+    for d, t in texts:
+        base = [(a, e) for _, a, e in pii_base(t)]
+        at = [m for m in re.finditer("[A-Za-z]{2,}", t) if m[0].lower() in brute[d][0] | brute[d][1] and all(m.end() <= a or m.start() >= e for a, e in base)]
+        assert by[d] == {f"term:{m.start()}:{m.end()}" for m in at}
+        places += len(at)
+        assert out[d].count("[TERM]") == sum(m[0].lower() in brute[d][0] for m in at)
+        if not base:
+            assert out[d] == t
+    return places
+
+
 def test_pii_terms_of_rare_entities(spark):
     filler = "plain words stand here " * 30  # far more than any window
     texts = [(0, "Quorvex runs it. " + filler + "Mail jo@x.org, Quorvex's address; rare@quorvex.org. " + filler + "quorvex-based")]
     texts += [(1 + i, f"{filler} note {i}") for i in range(60)] + [(99, "Mail plain words"), (100, "Mail it runs address based rare org jo")]
     texts += [(200 + i, f"ann{i}@x.org Belvar {filler}") for i in range(2)] + [(300, f"Belvar {filler}")]
-    by = {r.doc_id: r.spans.split(",") for r in pii.digest(docs_of(spark, texts)).collect()}
     t = texts[0][1]
     want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("quorvex", t, re.I) if t[m.start() - 1] != "@"}
-    n = len(texts)
-    lowered = [(d, set(re.findall("[a-z]{2,}", x.lower()))) for d, x in texts]
-    df = Counter(w for _, ws in lowered for w in ws)
-    for d, ws in lowered:
-        score = lambda w: math.log2((1 + 1 / n) / (df[w] + 1) * n) / math.log2(n)  # noqa: E731  (each entity is in one text)
-        own = {w for w in ws if score(w) >= pii.GENERALISE} if d in (0, 200, 201) else set()
-        x, base = dict(texts)[d], [(a, e) for _, a, e in pii_base(dict(texts)[d])]
-        spans = {f"term:{m.start()}:{m.end()}" for m in re.finditer("[A-Za-z]+", x) if m[0].lower() in own and all(m.end() <= a or m.start() >= e for a, e in base)}
-        assert {s for s in by[d] if s.startswith("term")} == spans
-    assert len(want) == 3 and want <= set(by[0])
+    assert len(want) == 3 == check_terms(spark, texts)  # words that stand in one text beside an entity are no evidence
+    by = {r.doc_id: r.spans.split(",") for r in pii.digest(docs_of(spark, texts)).collect()}
+    assert want <= set(by[0])
     out = {r.doc_id: r.text for r in pii.sanitise(docs_of(spark, texts)).collect()}
     assert "uorvex" not in out[0] and out[0].startswith("[TERM] runs it. plain") and "[EMAIL]" in out[0] and out[5] == texts[5][1]
 
 
+def entity_corpus(n, seed=4):
+    """Random texts; some hold entities of shared domains, networks and numbers, each with its own telling word."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for i in range(n):
+        ws = [f"w{'abcdefghij'[x % 10]}{'klmnopqrst'[x // 10 % 10]}{'uvwxyz'[x // 100 % 6]}" for x in rng.zipf(1.3, 25) % 600]
+        k = i % 12
+        if k < 4:
+            ws.insert(int(rng.integers(25)), [f"u{i}@firm{i % 5}.org", f"10.20.{i % 4}.{i % 256}", f"+4930{i % 3}00{i:04d}", f"boss{i % 7}@home.net"][k])
+        if k < 3 and rng.random() < 0.9:
+            ws.insert(int(rng.integers(25)), [f"Acme{'abcde'[i % 5]}", f"Rack{'abcd'[i % 4]}", f"Ward{'abc'[i % 3]}"][k])
+        if k == 3 and rng.random() < 0.5:
+            ws.append("boss")
+        texts.append((i, " ".join(ws) + f" {i}"))
+    return texts
+
+
+@pytest.mark.parametrize("n", [240, 1200])
+def test_pii_terms_against_brute_force(spark, n):
+    texts = entity_corpus(n)
+    assert check_terms(spark, texts) > n / 12
+    masked = set().union(*(a | b for a, b in brute_terms(texts).values()))
+    assert all(w.startswith(("acme", "rack", "ward", "boss")) for w in masked) and "acmea" in masked
+
+
+def test_pii_shuffled_words_are_no_evidence(spark):
+    texts = entity_corpus(1200)
+    entity = re.compile(r"[@+]|\d\.\d")
+    pool = [w for _, t in texts for w in t.split()[:-1] if not entity.search(w)]
+    pool = iter(np.random.default_rng(1).permutation(pool))
+    mixed = [(d, " ".join(w if entity.search(w) or j == len(t.split()) - 1 else str(next(pool)) for j, w in enumerate(t.split()))) for d, t in texts]
+    assert check_terms(spark, mixed) <= 1
+
+
 def test_pipeline(spark):
     docs = read(spark, SF_SMALL, "documents")
     names = [n for n, _ in corpus_pipeline.STAGES]

@@ -1,20 +1,32 @@
 """Operator 10: information-theoretic sanitisation (DataFrame functions only).
 
 Protected entities are the e-mail addresses, IP addresses, card and phone
-numbers found in the whole texts.  A term is a run of letters (two at least)
-anywhere in a text that holds an entity.  Over the whole corpus, with texts
-as the unit of co-occurrence (equal texts count once),
+numbers found in the whole texts, and what several of them share: a domain, a
+network (three parts of an address), the first six digits of a number.  A term
+is a run of letters (two at least) outside e-mail addresses, anywhere in a
+text that holds an entity.  Over the whole corpus, with texts as the unit of
+co-occurrence (equal texts count once),
 
     P(entity | term) = (co + P(entity)) / (df(term) + 1),
-    disclosure = log2(P(entity | term) / P(entity)) / log2(1 / P(entity)),
-
-that is, PMI against the entity's information content, with one text more in
-which the entity stands at its own rate: the share of few texts is held
-back, but any number of texts is decided on, also an entity's only one.
-Every place of a term whose disclosure reaches ``GENERALISE`` is generalised
-to ``[TERM]`` in the texts that hold the entity, and removed from ``REMOVE``
-on.  Entities are replaced by their kind; a place that overlaps one is not a
-term's.
+    bits left = log2(1 / P(entity | term)),
+
+that is, the entity's information content less the PMI, with one text more in
+which the entity stands at its own rate.  A term discloses an entity when at
+most ``GENERALISE`` bits are left and its co-occurrence is evidence: by chance
+``mean = df(term) * df(entity) / n`` texts would hold both, and the Chernoff
+bound of ``co`` texts, exp(co - mean - co * log(co / mean)), is at most
+``ALPHA`` over all pairs of a term and an entity that the corpus offers.  So a
+corpus whose words are dealt to its texts at random has about ``ALPHA`` such
+pairs in all, and one shared text never is evidence, whatever the corpus.
+
+An e-mail address also names its owner: words of three letters or more in it
+(the last label apart) are entities of their own, and the term that is the
+same word needs no evidence, only the bits.  This decides on addresses of a
+single text.
+
+Every place of a disclosing term is generalised to ``[TERM]`` in the texts that
+hold the entity, and removed where at most ``REMOVE`` bits are left.  Entities
+are replaced by their kind; a place that overlaps one is not a term's.
 
 Places are code points, end exclusive.  A kind's matches are leftmost and do
 not overlap; a match that fails its kind's test (parts of an address, Luhn,
@@ -24,10 +36,10 @@ same matches in linear time and constant stack.
 
 How the work is spread: document frequencies are map-side sums over the
 words of each text, and only texts that are repeated are told apart by a
-shuffle.  Terms too common to disclose any entity fall away before pairs are
-made.  Entities that stand in the same texts disclose alike and are counted
-as one group, so a text with many entities makes no pairs of each with each
-word.  Sanitising joins texts to their places by row key.
+shuffle.  Terms of one text, and terms too common to disclose any entity, fall away
+before pairs are made.  Entities that stand in the same texts disclose alike
+and are counted as one group; those of one text make no pairs.  Sanitising
+joins texts to their places by row key.
 
 Defined results: null text counts as empty; repeated rows get equal
 results; rows with a null doc_id take part; an empty table gives no rows;
@@ -36,14 +48,20 @@ columns of the input stay when texts are sanitised.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import LOWER, UPPER, broadcast_if_small, materialise, read, text_key
 
-GENERALISE = 0.8
-REMOVE = 0.95
+GENERALISE = 1.0  # bits left of an entity
+REMOVE = 0.25
+ALPHA = 0.05
+NAME = 3  # letters of a word that names an address's owner
+PREFIX = 6  # digits that numbers share
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 HOT = 1000  # a term in one of so many texts is a hot key
 LOCAL = r"[A-Za-z0-9._%+-]"
 KINDS = ["email", "ip", "card", "phone", "term"]
@@ -90,12 +108,38 @@ def matches(docs: DataFrame) -> DataFrame:
 
 
 def words(docs: DataFrame) -> DataFrame:
-    """Each row's distinct terms: ``(tk, term)``."""
-    split = F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), NO_LETTERS)
+    """Each row's distinct terms outside e-mail addresses: ``(tk, term)``."""
+    text = F.coalesce("text", F.lit(""))
+    bare = F.when(F.instr(text, "@") > 0, F.regexp_replace(text, F.lit(PATTERNS[0]), F.lit(" "))).otherwise(text)
+    split = F.split(F.translate(bare, UPPER, LOWER), NO_LETTERS)
     w = docs.select("tk", F.explode(F.array_distinct(split)).alias("term"))
     return w.filter(F.length("term") > 1)
 
 
+def entities(found: DataFrame) -> DataFrame:
+    """``(tk, value)``: each text's entities and what they share with others."""
+    digits = F.regexp_replace("value", "[^0-9]", "")  # the kind is the first one
+    shared = (
+        F.when(F.col("kind") == 0, F.concat(F.lit("domain:"), F.substring_index("value", "@", -1)))
+        .when(F.col("kind") == 1, F.concat(F.lit("network:"), F.substring_index("value", ".", 3)))
+        .otherwise(F.concat(F.lit("digits:"), F.substring(digits, 1, 1 + PREFIX)))
+    )
+    return found.select("tk", F.explode(F.array(F.col("value"), shared)).alias("value")).distinct()
+
+
+def names(found: DataFrame) -> DataFrame:
+    """``(tk, term)``: the words of each text's e-mail addresses."""
+    address = F.regexp_replace(F.expr("substring(value, 3)"), r"\.[^.]*$", "")
+    w = found.filter("kind = 0").select("tk", F.explode(F.split(address, NO_LETTERS)).alias("term"))
+    return w.filter(F.length("term") >= NAME).distinct()
+
+
+def small(terms: DataFrame) -> DataFrame:
+    """``terms`` with a broadcast hint, if their rows and bytes are few."""
+    size = terms.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("term")).alias("bytes")).first()
+    return broadcast_if_small(terms, size["rows"], BROADCAST_ROWS) if (size["bytes"] or 0) <= BROADCAST_BYTES else terms
+
+
 def frequencies(docs: DataFrame, copies: DataFrame) -> DataFrame:
     """``(term, df_term)`` over distinct texts; ``copies`` has each text's rows."""
     again = materialise(copies.filter("rows > 1").select("tk"), "again")
@@ -105,50 +149,56 @@ def frequencies(docs: DataFrame, copies: DataFrame) -> DataFrame:
     return once.unionByName(more).groupBy("term").agg(F.count(F.lit(1)).alias("df_term"))
 
 
-def share(n: int):
-    return F.col("df_group") / F.lit(float(n))
-
-
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``(tk, term, disclosure)``: terms that reach ``GENERALISE`` for an
-    entity of the text, with the most that they disclose there."""
+    """``(tk, term, left)``: terms that leave at most ``GENERALISE`` bits of an
+    entity of the text, with the fewest that they leave."""
     docs = docs.select(text_key(F.col("text")).alias("tk"), "text")
     copies = materialise(docs.groupBy("tk").agg(F.count(F.lit(1)).alias("rows")), "copies")
     n = max(copies.count(), 1)
+    share = lambda texts: F.col(texts) / F.lit(float(n))
+    # co is at most the entity's own texts: no term in more texts than this can disclose it
+    most = lambda texts: 2**GENERALISE * (F.col(texts) + share(texts)) - 1 + 1e-6
+    left = lambda texts: -F.log2((F.col("co") + share(texts)) / (F.col("df_term") + 1))
     # entities of the same texts are one group, named by two hashes of the set of texts
-    at = materialise(found.select("value", "tk").distinct(), "entities")
+    at = materialise(entities(found), "entities")
     sets = at.groupBy("value").agg(
         F.count(F.lit(1)).alias("df_group"), F.bit_xor(F.xxhash64("tk", F.lit(1))).alias("g"), F.bit_xor(F.xxhash64("tk", F.lit(2))).alias("h")
     )
-    # an entity of all texts has no information content
-    groups = materialise(at.join(sets.filter(F.col("df_group") < n), "value").select("tk", "g", "h", "df_group").distinct(), "groups")
-    # co is at most df_group: no term in more texts can reach GENERALISE
-    limit = (F.col("df_group") + share(n)) * F.pow(share(n), F.lit(GENERALISE - 1)) - 1
-    groups = groups.withColumn("most", limit + 1e-6)
-    most = groups.agg(F.max("most")).first()[0] or 0.0
-    holds = groups.select("tk").distinct()
+    # an entity of all texts has no information content, one of a single text no evidence
+    sets = sets.filter(F.col("df_group").between(2, n - 1))
+    groups = materialise(at.join(sets, "value").select("tk", "g", "h", "df_group").distinct().withColumn("most", most("df_group")), "groups")
+    named = names(found)
+    named = named.join(named.groupBy("term").agg(F.count(F.lit(1)).alias("df_name")), "term").withColumn("most", most("df_name"))
+    named = materialise(named, "names")
+    bounds = groups.select("most").unionByName(named.select("most")).agg(F.max("most")).first()[0] or 0.0
+    holds = groups.select("tk").unionByName(named.select("tk")).distinct()
     holds = broadcast_if_small(holds, holds.count(), BROADCAST_ROWS)
     mine = words(docs.join(holds, "tk", "left_semi")).distinct()
     # terms of many texts are few and go to every task; no other is a hot key
     df = materialise(frequencies(docs, copies), "df")
-    often = df.filter(F.col("df_term") * HOT >= n)
-    often = broadcast_if_small(often, often.count(), BROADCAST_ROWS)
-    rest = df.filter((F.col("df_term") * HOT < n) & (F.col("df_term") <= most))
-    mine = mine.join(often, "term", "left").filter(F.col("df_term").isNull() | (F.col("df_term") <= most))
+    often = small(df.filter(F.col("df_term") * HOT >= n))
+    rest = df.filter((F.col("df_term") * HOT < n) & (F.col("df_term") <= bounds))
+    mine = mine.join(often, "term", "left").filter(F.col("df_term").isNull() | (F.col("df_term") <= bounds))
     known = mine.filter("df_term is not null")
-    mine = known.unionByName(mine.filter("df_term is null").drop("df_term").join(rest, "term"))
-    pairs = materialise(mine.join(groups, "tk").filter(F.col("df_term") <= F.col("most")).drop("most"), "pairs")
-    chance = (F.col("co") + share(n)) / (F.col("df_term") + 1)
-    scored = pairs.groupBy("term", "g", "h", "df_group", "df_term").agg(F.count(F.lit(1)).alias("co")).withColumn(
-        "disclosure", F.log2(chance / share(n)) / F.log2(1 / share(n))
-    )
-    scored = materialise(scored.filter(F.col("disclosure") >= GENERALISE).select("term", "g", "h", "disclosure"), "scored")
-    scored = broadcast_if_small(scored, scored.count(), BROADCAST_ROWS)
-    return pairs.join(scored, ["term", "g", "h"]).groupBy("tk", "term").agg(F.max("disclosure").alias("disclosure"))
+    mine = materialise(known.unionByName(mine.filter("df_term is null").drop("df_term").join(rest, "term")), "mine")
+    # every pair of a term and an entity of two texts or more is a trial
+    trials = df.filter("df_term > 1").count() * groups.select("g", "h").distinct().count()
+    needed = math.log(max(trials, n) / ALPHA)
+    pairs = materialise(mine.filter("df_term > 1").join(groups, "tk").filter(F.col("df_term") <= F.col("most")).drop("most"), "pairs")
+    scored = pairs.groupBy("term", "g", "h", "df_group", "df_term").agg(F.count(F.lit(1)).alias("co"))
+    mean = F.col("df_term") * share("df_group")
+    evidence = F.col("co") * F.log(F.col("co") / mean) - F.col("co") + mean
+    scored = scored.withColumn("left", left("df_group")).filter((F.col("co") > mean) & (evidence >= needed) & (F.col("left") <= GENERALISE))
+    scored = small(materialise(scored.select("term", "g", "h", "left"), "scored"))
+    same = mine.join(named, ["tk", "term"]).filter(F.col("df_term") <= F.col("most"))
+    owners = same.groupBy("term", "df_name", "df_term").agg(F.count(F.lit(1)).alias("co")).withColumn("left", left("df_name"))
+    owners = owners.filter(F.col("left") <= GENERALISE).select("term", "left")
+    both = pairs.join(scored, ["term", "g", "h"]).select("tk", "term", "left").unionByName(same.select("tk", "term").join(owners, "term").select("tk", "term", "left"))
+    return both.groupBy("tk", "term").agg(F.min("left").alias("left"))
 
 
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """Every place of the ``terms(tk, term, disclosure)`` in their texts."""
+    """Every place of the ``terms(tk, term, left)`` in their texts."""
     holds = terms.select("tk").distinct()
     holds = broadcast_if_small(holds, holds.count(), BROADCAST_ROWS)
     d = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), "text").join(holds, "tk", "left_semi")
@@ -158,7 +208,7 @@ def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     order = Window.partitionBy("rid").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum(F.col("gap") + F.length("w")).over(order).cast("long"))
     rows = rows.withColumn("term", F.translate("w", UPPER, LOWER)).join(terms, ["tk", "term"])
-    act = F.when(F.col("disclosure") >= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
+    act = F.when(F.col("left") <= REMOVE, F.lit("")).otherwise(F.lit("[TERM]"))
     return rows.select(
         "doc_id", "tk", F.lit(4).alias("kind"), (F.col("end") - F.length("w")).alias("start"), "end", act.alias("action")
     ).distinct()
