@@ -651,3 +651,143 @@ def test_pipeline(spark):
     none = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF_SMALL).count() == 0
+
+
+def fewest_edits(item, text):
+    """Edits of the whole item against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return min(row)
+
+
+def pipeline_fixture(spark, folder):
+    rng = np.random.default_rng(8)
+    good = lambda n=28: " ".join(str(rng.choice(WORDS)) + str(rng.integers(30)) for _ in range(n))
+    item = "seven quiet wizards brew a potion of remarkable strength below the old mill"
+    texts = {i: good() for i in range(30)} | {40 + i: " ".join(rng.choice(["BUY", "now!!!", "$$$", "click"], 20)) + f" {i}" for i in range(12)}
+    texts[60] = texts[0] + " tail"  # a chain of near copies, and one with too many changes
+    texts[61] = texts[60] + " more words"
+    texts[62] = texts[1][: len(texts[1]) // 2] + good(14)
+    texts[63], texts[64] = f"{good(8)} {item.upper()}. {good(8)}", f"{good(8)} {item.replace('quiet', 'quet')} {good(8)}"
+    texts[65] = f"{good(8)} seven wizards brew remarkable mill {good(8)}"
+    texts |= {70 + i: f"{good(10)} Quorvex mail {'abcd'[i]}@quorvex.org or +49 30 123456{i} {good(8)}" for i in range(4)}
+    texts |= {80: None, 81: "", 82: good(4000), None: good()}
+    rows = [*texts.items(), (5, texts[5]), (5, texts[5])]
+    docs = docs_of(spark, rows).withColumn("source", F.when(F.col("doc_id") < 20, "big").when(F.col("doc_id") > 69, "rare"))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    labels = [(d, int(not 40 <= d < 52), 0) for d in texts if d is not None and d < 60]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, item, 63), (2, None, None)], "item_id long, text string, doc_id long").write.parquet(f"{folder}/benchmark.parquet")
+    return item
+
+
+def cleaned(text, terms):
+    """A text with its entities and terms replaced, from left to right."""
+    generalise, remove = terms
+    base = [(a, e, k) for k, a, e in pii_base(text)]
+    spans = [(a, e, f"[{k.upper()}]") for a, e, k in base]
+    for m in re.finditer("[A-Za-z]{2,}", text):
+        w = m[0].lower()
+        if w in generalise | remove and all(m.end() <= a or m.start() >= e for a, e, _ in base):
+            spans.append((m.start(), m.end(), "[TERM]" if w in generalise else ""))
+    out, at = "", 0
+    for a, e, new in sorted(spans):
+        if a >= at:
+            out += text[at:a] + new
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_pipeline_stages_against_plain_python(spark, tmp_path):
+    """Every stage on its own input; repeated, null, empty and long rows go through all of them."""
+    item = pipeline_fixture(spark, tmp_path)
+    stages, sf = dict(corpus_pipeline.STAGES), str(tmp_path)
+    docs = read(spark, sf, "documents")
+    columns = docs.columns
+
+    def step(name, docs):
+        out = stages[name](spark, docs, sf)
+        out.write.parquet(f"{sf}/{name}")
+        return spark.read.parquet(f"{sf}/{name}")
+
+    pairs = lambda df: [(r.doc_id, r.text) for r in df.collect()]
+    weight, bias = quality.fit(docs, read(spark, sf, "labels"))
+
+    def rated(text):
+        c = brute_features((text or "").encode())
+        return 1 / (1 + math.exp(-sum(float(weight[f]) * n for f, n in c.items()) / max(1, sum(c.values())) - bias))
+
+    before, docs = pairs(docs), step("quality", docs)
+    assert docs.columns == columns
+    assert Counter(pairs(docs)) == Counter(x for x in before if rated(x[1]) >= quality.THRESHOLD)
+    ids = {d for d, _ in pairs(docs)}
+    assert not ids & set(range(40, 52)) and {*range(30), *range(60, 66), *range(70, 74), 82, None} <= ids
+
+    before, docs = pairs(docs), step("near_duplicates", docs)
+    sets = {x: shingle_set(x[1]) for x in before}
+    group = {x: {x} for x in sets}
+    for x in sets:
+        for y in sets:
+            if sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]):
+                both = group[x] | group[y]
+                group |= dict.fromkeys(both, both)
+    first = lambda g: min(g, key=lambda x: (x[0] is None, x[0]))
+    want = Counter(x for x in before if not sets[x]) + Counter({first(g) for x, g in group.items() if sets[x]})
+    assert docs.columns == columns and Counter(pairs(docs)) == want
+    ids = {d for d, _ in want}
+    assert 0 in ids and 62 in ids and not ids & {60, 61} and sum(d == 5 for d, _ in pairs(docs)) == 1
+
+    before, docs = pairs(docs), step("decontaminate", docs)
+    target = decontam.normal(item.encode())
+    held = lambda t: fewest_edits(target, decontam.normal((t or "").encode())) <= int(decontam.ERROR * len(target))
+    assert docs.columns == columns and Counter(pairs(docs)) == Counter(x for x in before if not held(x[1]))
+    assert {d for d, _ in before} - {d for d, _ in pairs(docs)} == {63, 64}
+
+    before, docs = docs.collect(), step("pii", docs)
+    terms = brute_terms([(t, t) for t in {r.text or "" for r in before}])
+    want = Counter((r.doc_id, t, r.source, len(t or "") if t is not None else r.n_chars) for r in before for t in [r.text and cleaned(r.text, terms[r.text])])
+    assert docs.columns == columns and Counter((r.doc_id, r.text, r.source, r.n_chars) for r in docs.collect()) == want
+    assert all("uorvex" not in (t or "") and ("[EMAIL]" in t) == (d in range(70, 74)) for d, t, *_ in want if t)
+
+    before, rows = docs.collect(), stages["mix"](spark, docs, sf).collect()
+    size = lambda t: len((t or "").split())
+    tokens = Counter()
+    for r in before:
+        tokens[r.source or ""] += size(r.text)
+    total = sum(tokens.values())
+    share = {s: t / total for s, t in tokens.items()}
+
+    def weights(alpha):
+        z = sum(p**alpha for p in share.values())
+        return {s: p**alpha / z for s, p in share.items()}
+
+    def bisect(holds):
+        lo, hi = 0.0, 1.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if holds(weights(mid)) else (lo, mid)
+        return hi if holds(weights(1.0)) else lo
+
+    big = max(tokens, key=tokens.get)
+    reads = lambda w: {s: w[s] * tokens[big] / w[big] / tokens[s] for s in w}
+    alpha = bisect(lambda w: -sum(p * math.log(p) for p in w.values()) >= mixing.ENTROPY * math.log(len(w)) - 1e-12)
+    if max(reads(weights(alpha)).values()) > mixing.REPEAT:
+        low, high = 0.0, 1.0  # repeats fall with the exponent
+        for _ in range(60):
+            mid = (low + high) / 2
+            low, high = (low, mid) if max(reads(weights(mid)).values()) <= mixing.REPEAT else (mid, high)
+        alpha = max(alpha, high)
+    w, asked = weights(alpha), reads(weights(alpha))
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in before)
+    for s in tokens:
+        mine = [r for r in rows if (r.source or "") == s]
+        whole = math.floor(round(asked[s], 6))
+        assert all(abs(r.weight - w[s]) < 1e-5 and r.epochs in (whole, whole + 1) for r in mine)
+        late = [(r.draws[-1].block_key, r.draws[-1].text_key, size(r.text)) for r in mine if r.epochs > whole and size(r.text)]
+        rest = (asked[s] - whole) * tokens[s]
+        drawn = sum(x[2] for x in late)
+        assert not late and rest < 1 or drawn - max(late)[2] < rest + 0.1 and drawn > rest - 0.1
