@@ -159,6 +159,34 @@ def test_nearest(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_nearest_in_many_cells_blocks_and_lots(spark, monkeypatch):
+    """Recall against brute force where queries are routed between cells; no group outgrows its bounds."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(30, 16))
+    x = np.concatenate([centre[rng.integers(30, size=1600)] + 0.3 * rng.normal(size=(1600, 16)), rng.normal(size=(800, 16))]).astype(np.float32)
+    monkeypatch.setattr(ann, "CELL_ROWS", 150)
+    monkeypatch.setattr(ann, "BLOCK", 60)
+    monkeypatch.setattr(ann, "ASKED", 16)
+    plain = ann.search_block
+
+    def bounded(ids, vectors, queries, *rest):
+        assert len(ids) <= 120 and len(queries) <= 48, (len(ids), len(queries))
+        return plain(ids, vectors, queries, *rest)
+
+    monkeypatch.setattr(ann, "search_block", bounded)
+    got = ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), F.col("vec_id") % 10 == 0).collect()
+    y = x.astype(float)
+    u = y / np.sqrt((y * y).sum(1, keepdims=True))
+    hit = 0
+    for q in range(0, len(y), 10):
+        mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [m[0] for m in mine] == [1, 2, 3, 4, 5] and all(abs(u[i] @ u[q] - v) < 1e-9 for _, i, v in mine)
+        s = u @ u[q]
+        s[q] = -2
+        hit += len({m[1] for m in mine} & {*np.argsort(-s)[:5].tolist()})
+    assert hit / len(got) >= 0.95 and len(got) == 5 * 240
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -18,8 +18,11 @@ their smallest vec_id, by aggregations with a map-side part; their k + 1
 smallest ids stand for all of them, since no query's k nearest can need more.
 So one vector's share of the table adds neither pairs nor a large task.
 Distinct vectors move by block, distinct query vectors by the cells they
-visit; no block outgrows ``BLOCK`` rows by much.  The cells (at most
-``CELLS``) and the sample are bounded.
+visit.  The queries that visit a cell are dealt into lots of about ``ASKED``,
+and each lot meets its own copy of a block, so a task's group holds about
+``BLOCK`` rows and ``ASKED`` queries however many there are; a block that no
+query visits does not move.  The cells (at most ``CELLS``) and the sample are
+bounded.
 
 Defined results: vectors that are null, zero, of a length other than the
 table's commonest, or hold null or non-finite parts take no part, nor do
@@ -44,6 +47,7 @@ SAMPLE = 40_000
 CELLS = 4096
 CELL_ROWS = 2000
 BLOCK = 1000
+ASKED = 2000
 LEAF = 32
 CONFIDENCE = 0.97
 EVERY = 50
@@ -247,9 +251,10 @@ def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = C
     )
     queries = materialise(placed.join(asked.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi"), "queries")
 
-    def to_blocks(q: DataFrame) -> DataFrame:
-        return q.join(sizes, "cell").select(
+    def to_blocks(q: DataFrame, lots: DataFrame) -> DataFrame:
+        return q.join(sizes, "cell").join(lots, "cell").select(
             F.col("cell").alias("qcell"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("qblock"),
+            F.pmod(F.xxhash64("h2", "h1"), F.col("lots")).cast("int").alias("qlot"),
             F.col("h1").alias("q1"), F.col("h2").alias("q2"), F.col("v").alias("qv"), "bound",
         )
 
@@ -271,7 +276,11 @@ def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = C
         })
 
     def run(q: DataFrame) -> DataFrame:
-        found = base.groupBy("cell", "block").cogroup(to_blocks(q).groupBy("qcell", "qblock")).applyInPandas(search, found_schema)
+        # one row a cell that is visited: small enough for every task
+        lots = q.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("lots"))
+        lots = F.broadcast(materialise(lots, "lots"))
+        data = base.join(lots, "cell").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+        found = data.groupBy("cell", "block", "lot").cogroup(to_blocks(q, lots).groupBy("qcell", "qblock", "qlot")).applyInPandas(search, found_schema)
         return materialise(found, "found")
 
     def best(found: DataFrame) -> DataFrame:
@@ -299,7 +308,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = TOP, confidence: float = C
                 yield out
 
     away = queries.join(kth, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2")), "left").select("h1", "h2", "v", "cell", "bound")
-    away = away.mapInPandas(route, f"h1 long, h2 long, v {kind}, bound double, cell long")
+    away = materialise(away.mapInPandas(route, f"h1 long, h2 long, v {kind}, bound double, cell long"), "away")
     found = best(home.unionByName(run(away))).select("q1", "q2", F.explode("top").alias("x")).select("q1", "q2", "x.s", "x.h1", "x.h2")
     # distinct vectors to their ids: the k + 1 best ids of every distinct query vector
     near = found.join(members, ["h1", "h2"]).select("q1", "q2", "s", F.explode("ids").alias("vec_id"))
