@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,47 @@ def test_lm_distribution_sums_to_one():
     assert abs(total - 1) < 1e-5
 
 
+def test_lm_groups_sum_to_one():
+    v = 600
+    share = 1 / np.arange(5.0, 5.0 + v)
+    p = lm.start_parameters(share / share.sum()) + np.random.default_rng(1).normal(0, 0.5, len(lm.start_parameters(share))).astype(np.float32)
+    assert len(lm.group_bounds(v)) > 10 and len(lm.group_of(v)) == v and (np.diff(lm.group_of(v)) >= 0).all()
+    flat = np.tile(np.array([v, 9, 40, 577, 0], np.int32), v)
+    flat[4::5] = np.arange(v)
+    assert abs((10 ** lm.log_probabilities(p, v, flat, np.arange(4, 5 * v, 5))).sum() - 1) < 1e-4
+    steep = p * 100  # beyond what exp holds
+    assert abs((10 ** lm.log_probabilities(steep, v, flat, np.arange(4, 5 * v, 5))).sum() - 1) < 1e-4
+
+
+def test_lm_learns_every_frequent_word(spark):
+    # 200 words are more frequent than those of the pairs, which all are of one class
+    pairs = [("leftish", "pearone"), ("rightish", "peartwo")]
+    texts = [(k, " ".join(pairs[k % 2] * 2)) for k in range(120)]
+    texts += [(1000 + k, " ".join(f"extra{(k * 8 + i) % 200}" for i in range(8))) for k in range(4000)]
+    asked = {(-1, "leftish", "pearone"): 1, (-2, "rightish", "peartwo"): 1, (-3, "leftish", "peartwo"): -1, (-4, "rightish", "pearone"): -1}
+    texts += [(d, f"{a} {b}") for d, a, b in asked]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(2).withColumn("held_out", F.col("doc_id") < 0)
+    score = {r.doc_id: r.score for r in lm.score_corpus(rows).collect()}
+    # inside a class, scored by shares alone, the sum would be 0 whatever the contexts
+    assert sum(sign * score[d] for (d, _, _), sign in asked.items()) > 0.05
+
+
+def test_lm_rows_are_averaged_by_use():
+    share, parts = np.full(40, 1 / 40), []
+    for seed, ids in ((0, [14, 15, 16] * 20), (1, [14, 20, 21] * 60)):
+        t = lm.Trainer(lm.start_parameters(share), share, seed)
+        t.learn([(np.full(lm.CONTEXT, 40, np.int32), np.array(ids, np.int32))])
+        parts.append(t)
+    for part in range(4):
+        rows = [x for t in parts for x in t.blocks() if x[0] == part]
+        got = lm.averaged(pa.table(dict(zip(("part", "block", "i", "n", "x"), map(list, zip(*rows)))))).to_pylist()[0]
+        i = np.frombuffer(got["i"], np.int32)
+        n = [t.times[part][i, None] for t in parts]
+        want = sum(k * t.parts[part][i] for k, t in zip(n, parts)) / sum(n)
+        assert got["part"] == part and np.allclose(np.frombuffer(got["x"], np.float32).reshape(want.shape), want, atol=1e-5)
+    assert {14, 15, 16, 20, 21} <= set(np.flatnonzero(parts[0].times[2] + parts[1].times[2]).tolist())
+
+
 def test_lm_beats_base_on_held_out(spark):
     r = lm.op1_lm_score(spark, SF_ORACLE).filter("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert r.s > r.b

@@ -45,11 +45,14 @@ ship(__name__)
 
 CONTEXT = 4
 DIM = 16
-OUTPUT_WORDS = 180
+LEAST = 2  # words learnt once stand for the unseen ones, in their classes
 NOISE = 32
+GROUP_NOISE = 4
 BATCH = 2048
+RUN = 32  # tokens in a row that a batch takes together
 ROUNDS = 2
 RATE = 0.1
+BLOCK = 512  # rows of parameters that partitions hand on together
 FREQUENT = 500_000
 ADD = 0.1
 END = b""  # no word is empty
@@ -123,14 +126,14 @@ def count_words(rows: DataFrame) -> DataFrame:
 class Vocabulary:
     """The frequent words and the figures of all others."""
 
-    def __init__(self, counts: DataFrame, output_words: int, frequent: int):
+    def __init__(self, counts: DataFrame, output_words: int | None, frequent: int):
         whole = counts.agg(F.sum("c").alias("c"), F.sum("n").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
         self.total, self.types, everything = whole["c"] or 0, whole["v"] or 0, whole["n"] or 0
         hot = counts.filter((F.col("n") * frequent >= everything) | (F.col("k") < 0)).orderBy(F.desc("c"), "w").toArrow().to_pylist()
         self.everything = everything
         self.words = [bytes(r["w"]) for r in hot]
         self.counts = np.array([r["c"] for r in hot], np.int64)
-        chosen = [i for i, r in enumerate(hot) if r["w"] and r["c"] > 0][:output_words]
+        chosen = [i for i, r in enumerate(hot) if r["w"] and r["c"] >= LEAST][:output_words]
         # output ids: classes first, the end, then words
         self.output = np.array([CLASSES if not w else word_class(w) for w in self.words], np.int32)
         for j, i in enumerate(chosen):
@@ -156,22 +159,60 @@ class Vocabulary:
         self.own = np.where(self.output >= CLASSES, 0.0, self.log)
 
 
-def start_parameters(share: np.ndarray, seed: int = 11) -> np.ndarray:
-    """Context vectors (the last row pads a text's beginning), position
-    diagonals, output vectors and biases, in one array."""
-    rng, v = np.random.default_rng(seed), len(share)
-    return np.concatenate(
-        [rng.normal(0, 0.1, (v + 1) * DIM), np.ones(CONTEXT * DIM), rng.normal(0, 0.1, v * DIM), np.log(share)]
-    )
+def group_bounds(v: int) -> np.ndarray:
+    """First ids of the groups of words among ``v`` outputs, and ``v``.  Words
+    come by falling count: a group's size grows with the root of its rank, so
+    that the frequent words, which most tokens are, stand in small groups."""
+    words = max(0, v - CLASSES - 1)
+    n = math.ceil(math.sqrt(words) / 1.5)
+    ranks = np.ceil(words * (np.arange(n + 1) / max(n, 1)) ** 2).astype(np.int64)
+    return min(v, CLASSES + 1) + np.unique(ranks)
+
 
+def group_of(v: int) -> np.ndarray:
+    """Upper output of every id: its own for a class and the end, its group's for a word."""
+    single = min(v, CLASSES + 1)
+    return np.concatenate([np.arange(single), single + np.repeat(np.arange(len(group_bounds(v)) - 1), np.diff(group_bounds(v)))])
 
-def unpack(p: np.ndarray, v: int):
-    a, b, c = (v + 1) * DIM, CONTEXT * DIM, v * DIM
-    return p[:a].reshape(v + 1, DIM), p[a : a + b].reshape(CONTEXT, DIM), p[a + b : a + b + c].reshape(v, DIM), p[a + b + c :]
 
+def upper_share(share: np.ndarray) -> np.ndarray:
+    return np.bincount(group_of(len(share)), weights=share)
 
-def context_rows(flat: np.ndarray, at: np.ndarray):
-    return [flat[at - 1 - i] for i in range(CONTEXT)]
+
+def shapes(v: int) -> list:
+    """Of the context vectors (the last row pads a text's beginning), the
+    position diagonals, and the words' and the upper outputs' vectors, whose
+    last column is the bias."""
+    return [(v + 1, DIM), (CONTEXT, DIM), (v, DIM + 1), (min(v, CLASSES + 1) + len(group_bounds(v)) - 1, DIM + 1)]
+
+
+def start_parameters(share: np.ndarray, seed: int = 11) -> np.ndarray:
+    """All parameters in one array; biases start at the unigram shares."""
+    rng, upper = np.random.default_rng(seed), upper_share(share)
+    r, c, q, g = (rng.normal(0, 0.1, x) for x in shapes(len(share)))
+    c[:] = 1
+    q[:, DIM] = np.log(share / upper[group_of(len(share))])
+    g[:, DIM] = np.log(upper)
+    return np.concatenate([x.ravel() for x in (r, c, q, g)]).astype(np.float32)
+
+
+def unpack(p: np.ndarray, v: int) -> list:
+    """The four parts of :func:`shapes`, as views."""
+    out, at = [], 0
+    for rows, columns in shapes(v):
+        out.append(p[at : at + rows * columns].reshape(rows, columns))
+        at += rows * columns
+    return out
+
+
+def predicted(rows: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Predicted vectors of all but the first ``CONTEXT`` positions of runs of
+    context vectors, and a last column of ones, which the biases meet."""
+    n = rows.shape[-2] - CONTEXT
+    out = np.empty((*rows.shape[:-2], n, DIM + 1), np.float32)
+    out[..., DIM] = 1
+    out[..., :DIM] = sum(rows[..., CONTEXT - 1 - i : CONTEXT - 1 - i + n, :] * c[i] for i in range(CONTEXT))
+    return out
 
 
 def lay_out(docs: list):
@@ -184,56 +225,134 @@ def lay_out(docs: list):
 
 
 class Trainer:
-    """Stochastic gradient steps of noise-contrastive estimation (Adagrad)."""
+    """Stochastic gradient steps of noise-contrastive estimation (Adagrad).
+
+    Upper outputs share ``NOISE`` noise samples a batch, the words of a group
+    ``GROUP_NOISE``.  Only the rows that a batch touches are changed.
+    """
 
     def __init__(self, start: np.ndarray, share: np.ndarray, seed: int):
-        self.v, self.p = len(share), start.astype(np.float64).copy()
-        self.seen = np.full(len(start), 1e-2)
-        self.rng, self.cum = np.random.default_rng(seed), np.cumsum(share)
-        self.noise_log = np.log(NOISE * share)
+        self.v, self.p = len(share), start.astype(np.float32)
+        self.parts = unpack(self.p, self.v)
+        self.seen = unpack(np.full(len(start), 1e-2, np.float32), self.v)
+        self.rng, upper, self.group = np.random.default_rng(seed), upper_share(share), group_of(self.v)
+        self.upper, self.upper_cum = upper, np.cumsum(upper)
+        self.upper_log = np.log(NOISE * upper).astype(np.float32)
+        self.bounds, self.cum = group_bounds(self.v), np.concatenate([[0.0], np.cumsum(share)])
+        self.noise_log = np.log(GROUP_NOISE * share / upper[self.group]).astype(np.float32)
+        self.times = [np.zeros(rows) for rows, _ in shapes(self.v)]  # how often a row was learned from
+        self.flag, self.place = np.zeros(self.v + 1, bool), np.zeros(self.v + 1, np.int64)
         self.tokens = 0
 
-    def step(self, context: list, target: np.ndarray) -> None:
-        v, d, n = self.v, DIM, len(target)
-        r, c, q, b = unpack(self.p, v)
-        pred = sum((r * c[i])[x] for i, x in enumerate(context))
-        noise = np.minimum(np.searchsorted(self.cum, self.rng.random(NOISE)), v - 1)
-        wanted = q[target]
-        s_t = np.einsum("ij,ij->i", pred, wanted) + (b - self.noise_log)[target]
-        s_n = pred @ q[noise].T + (b[noise] - self.noise_log[noise])
+    def sums(self, ids: np.ndarray, rows: np.ndarray):
+        """Distinct ids, how often each occurs and the sums of its rows."""
+        self.flag[ids] = True
+        found = np.flatnonzero(self.flag)
+        self.flag[found] = False
+        self.place[found] = np.arange(len(found))
+        at, d = self.place.take(ids), rows.shape[1]
+        total = np.zeros(len(found) * d, np.float32)
+        np.add.at(total, (at[:, None] * d + np.arange(d)).ravel(), rows.ravel())
+        return found, np.bincount(at, minlength=len(found)), total.reshape(-1, d)
+
+    def climb(self, part: int, at: np.ndarray, g: np.ndarray) -> None:
+        seen = self.seen[part].take(at, axis=0) + g * g
+        self.seen[part][at] = seen
+        self.parts[part][at] = self.parts[part].take(at, axis=0) + RATE * g / np.sqrt(seen)
+
+    def words(self, pred: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Learns the words inside their groups; the gradient of the predicted vectors."""
+        q, first = self.parts[2], min(self.v, CLASSES + 1)
+        lo, hi = self.cum[self.bounds[:-1], None], self.cum[self.bounds[1:], None]
+        drawn = np.searchsorted(self.cum, lo + (hi - lo) * self.rng.random((len(lo), GROUP_NOISE)), "right") - 1
+        drawn = np.clip(drawn, self.bounds[:-1, None], self.bounds[1:, None] - 1)
+        group = self.group.take(target) - first
+        noise, wanted = q[drawn].take(group, axis=0), q.take(target, axis=0)
+        s_t = np.einsum("ij,ij->i", pred, wanted) - self.noise_log.take(target)
+        s_n = np.einsum("ij,ikj->ik", pred, noise) - self.noise_log[drawn].take(group, axis=0)
+        g_t = 1 / (1 + np.exp(np.clip(s_t, -30, 30)))
+        g_n = -1 / (1 + np.exp(-np.clip(s_n, -30, 30)))
+        out = (wanted * g_t[:, None] + np.einsum("ik,ikj->ij", g_n, noise))[:, :DIM]
+        hit, _, dn = self.sums(group, (g_n[:, :, None] * pred[:, None]).reshape(len(pred), -1))
+        ids = np.concatenate([target, drawn[hit].ravel()])
+        found, n, dq = self.sums(ids, np.concatenate([pred * g_t[:, None], dn.reshape(-1, DIM + 1)]))
+        self.climb(2, found, dq / n[:, None].astype(np.float32))
+        self.times[2][found] += n
+        return out
+
+    def step(self, ids: np.ndarray, learnt: np.ndarray) -> None:
+        """One batch of runs of ``CONTEXT`` tokens and those to be predicted, if ``learnt``."""
+        r, c, _, upper = self.parts
+        rows = r.take(ids, axis=0)
+        pred, target = predicted(rows, c)[learnt], ids[:, CONTEXT:][learnt]
+        n, group = len(target), self.group.take(target)
+        noise = np.minimum(np.searchsorted(self.upper_cum, self.rng.random(NOISE)), len(upper) - 1)
+        wanted = upper.take(group, axis=0)
+        s_t = np.einsum("ij,ij->i", pred, wanted) - self.upper_log.take(group)
+        s_n = pred @ upper[noise].T - self.upper_log[noise]
         g_t = 1 / (1 + np.exp(np.clip(s_t, -30, 30)))
         g_n = -1 / (1 + np.exp(-np.clip(s_n, -30, 30)))
-        wanted *= g_t[:, None]
-        wanted += g_n @ q[noise]  # the gradient of the predicted vectors
-        col = np.arange(d)
-
-        def gather(ids, rows, size):
-            return np.bincount((ids[:, None] * d + col).ravel(), weights=rows.ravel(), minlength=size * d).reshape(size, d)
-
-        # sums by context token come first: all else is as small as the vocabulary
-        sums = [gather(x, wanted, v + 1) for x in context]
-        dr = sum(g * c[i] for i, g in enumerate(sums))
-        dc = np.concatenate([(g * r).sum(0) for g in sums])
-        pred_t = pred * g_t[:, None]
-        dq = gather(target, pred_t, v) + gather(noise, g_n.T @ pred, v)
-        db = np.bincount(target, weights=g_t, minlength=v) + np.bincount(noise, weights=g_n.sum(0), minlength=v)
-        g = np.concatenate([dr.ravel(), dc, dq.ravel(), db]) / n
-        self.seen += g * g
-        self.p += RATE * g / np.sqrt(self.seen)
+        wanted = (wanted * g_t[:, None] + g_n @ upper[noise])[:, :DIM]  # the gradient of the predicted vectors
+        found, _, dg = self.sums(np.concatenate([group, noise]), np.concatenate([pred * g_t[:, None], g_n.T @ pred]))
+        self.climb(3, found, dg / np.maximum(1, n * self.upper[found, None]).astype(np.float32))
+        if len(inner := np.flatnonzero(target > CLASSES)):
+            wanted[inner] += self.words(pred.take(inner, axis=0), target.take(inner))
+        whole = np.zeros((*learnt.shape, DIM), np.float32)
+        whole[learnt] = wanted
+        dr, dc = np.zeros_like(rows), np.empty_like(c)
+        for i in range(CONTEXT):
+            part = slice(CONTEXT - 1 - i, CONTEXT - 1 - i + learnt.shape[1])
+            dr[:, part] += whole * c[i]
+            dc[i] = np.einsum("ijk,ijk->k", whole, rows[:, part]) / n
+        found, times, dr = self.sums(ids.ravel(), dr.reshape(-1, DIM))
+        self.climb(0, found, dr / times[:, None].astype(np.float32))
+        self.climb(1, np.arange(CONTEXT), dc)
+        self.times[0][found] += times
         self.tokens += n
 
     def learn(self, docs: list) -> None:
         flat, at, _ = lay_out(docs)
-        self.rng.shuffle(at)
-        for k in range(0, len(at), BATCH):
-            pos = at[k : k + BATCH]
-            self.step(context_rows(flat, pos), flat[pos])
+        learnt = np.zeros(-(-len(flat) // RUN) * RUN, bool)
+        learnt[at - CONTEXT] = True
+        flat = np.concatenate([flat, np.full(len(learnt) + CONTEXT - len(flat), self.v, flat.dtype)])
+        runs = self.rng.permutation(len(learnt) // RUN)
+        for k in range(0, len(runs), BATCH // RUN):
+            some = runs[k : k + BATCH // RUN, None] * RUN
+            mask = learnt[some + np.arange(RUN)]
+            if mask.any():
+                self.step(flat[some + np.arange(RUN + CONTEXT)], mask)
+
+    def blocks(self):
+        """The rows learned from, weighted by how often: ``(part, block, i, n,
+        x)``, ``BLOCK`` rows at most in one."""
+        self.times[1][:] = self.times[3][:] = self.tokens
+        for part, (x, n) in enumerate(zip(self.parts, self.times)):
+            for k in range(0, len(x), BLOCK):
+                i = np.flatnonzero(n[k : k + BLOCK])
+                if len(i):
+                    w = n[k : k + BLOCK][i].astype(np.float32)
+                    yield part, k // BLOCK, i.astype(np.int32).tobytes(), w.tobytes(), (x[k : k + BLOCK][i] * w[:, None]).tobytes()
+
+
+def averaged(t: pa.Table) -> pa.Table:
+    """The rows of one block over all partitions: ``(part, block, i, x)``."""
+    n, x = np.zeros(BLOCK), None
+    for i, w, rows in zip(*(t.column(c).to_pylist() for c in ("i", "n", "x"))):
+        i, w = np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)
+        rows = np.frombuffer(rows, np.float32).reshape(len(i), -1)
+        x = np.zeros((BLOCK, rows.shape[1])) if x is None else x
+        n[i] += w
+        x[i] += rows
+    i = np.flatnonzero(n)
+    one = t.slice(0, 1).select(["part", "block"])
+    mean = (x[i] / n[i, None]).astype(np.float32)
+    return one.append_column("i", pa.array([i.astype(np.int32).tobytes()])).append_column("x", pa.array([mean.tobytes()]))
 
 
 def batches_of(docs, pad: int, limit: int = 1 << 18):
     """Lists of ``(tokens before, ids)`` of about ``limit`` tokens.  A longer
     text is cut into runs, each with the tokens before it as its context."""
-    got, n, gap = [], 0, np.full(CONTEXT, pad, np.int16)
+    got, n, gap = [], 0, np.full(CONTEXT, pad, np.int32)
     for d in docs:
         for k in range(0, len(d), limit):
             before = np.concatenate([gap, d[max(0, k - CONTEXT) : k]])[-CONTEXT:]
@@ -259,42 +378,55 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> np.ndarra
     share, p = vocab.share, start_parameters(vocab.share)
     for r in range(rounds):
         mine = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit("round")), F.lit(rounds)) == r) if rounds > 1 else rows
-        start = sc.broadcast(p)
+        start = sc.broadcast((p, share))
 
         def run(batches, start=start, seed=r):
-            t = Trainer(start.value, share, seed)
+            t = Trainer(*start.value, seed)
             for group in batches_of((d for batch in batches for d in id_lists(batch.column("ids"))), t.v):
                 t.learn(group)
             if t.tokens:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(t.p)), pa.int32()), pa.array(t.p * t.tokens), pa.array(np.full(len(t.p), float(t.tokens)))],
-                    names=["i", "x", "n"],
-                )
+                kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*t.blocks()), kinds)], names=["part", "block", "i", "n", "x"])
 
-        parts = mine.select("ids").mapInArrow(run, "i int, x double, n double")
-        got = parts.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
+        parts = mine.select("ids").mapInArrow(run, "part int, block int, i binary, n binary, x binary")
+        got = parts.groupBy("part", "block").applyInArrow(averaged, "part int, block int, i binary, x binary").toArrow().to_pylist()
         start.destroy()
-        if got.num_rows:
-            p = np.zeros(len(p))
-            p[got.column("i").to_numpy()] = got.column("x").to_numpy()
+        p = p.copy()
+        for row in got:
+            i = np.frombuffer(row["i"], np.int32) + row["block"] * BLOCK
+            unpack(p, len(share))[row["part"]][i] = np.frombuffer(row["x"], np.float32).reshape(len(i), -1)
     return p
 
 
-def log_probabilities(p: np.ndarray, v: int, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Normalised log10 probability of the output at each position."""
-    r, c, q, b = (x.astype(np.float32) for x in unpack(p, v))
-    out, qt = np.empty(len(at)), np.ascontiguousarray(q.T)
-    scaled = [r * c[i] for i in range(CONTEXT)]
-    for k in range(0, len(at), ROWS):
-        pos = at[k : k + ROWS]
-        pred = sum(scaled[i][x] for i, x in enumerate(context_rows(flat, pos)))
-        z = pred @ qt
-        z += b
+def normalised(pred: np.ndarray, outputs: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Natural log-probability of output ``own`` at each predicted vector."""
+    z = pred @ outputs.T
+    out = z[np.arange(len(own)), own].astype(np.float64)
+    if max(z.max(), -z.min()) > 60:  # beyond what exp holds
         top = z.max(1)
-        own = z[np.arange(len(pos)), flat[pos]] - top
         z -= top[:, None]
-        np.exp(z, out=z)
-        out[k : k + ROWS] = own - np.log(z.sum(1, dtype=np.float64))
+        out -= top
+    np.exp(z, out=z)
+    return out - np.log(z @ np.ones(z.shape[1], np.float32))
+
+
+def log_probabilities(p: np.ndarray, v: int, flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Normalised log10 probability of the output at each position: its upper
+    output's, and the word's among its group."""
+    r, c, q, upper = unpack(p, v)
+    out, target, single = np.empty(len(at)), flat[at], min(v, CLASSES + 1)
+    pred = predicted(r.take(flat, axis=0), c).take(at - CONTEXT, axis=0)
+    group = group_of(v).take(target)
+    for k in range(0, len(at), ROWS):
+        out[k : k + ROWS] = normalised(pred[k : k + ROWS], upper, group[k : k + ROWS])
+    order, bounds = np.argsort(group.astype(np.int16), kind="stable"), group_bounds(v)
+    ends = np.cumsum(np.bincount(group, minlength=len(upper))).tolist()
+    for j, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), single):
+        begin, end = ends[j - 1], ends[j]
+        rows = max(1, ROWS * 128 // (hi - lo))
+        for k in range(begin if hi - lo > 1 else end, end, rows):
+            some = order[k : min(k + rows, end)]
+            out[some] += normalised(pred.take(some, axis=0), q[lo:hi], target.take(some) - lo)
     return out / math.log(10)
 
 
@@ -303,11 +435,11 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
     other words with their number: ``(rid, doc_id, held_out, n_tokens, known,
     base, own, ids, rare, times)``.  Training and scoring need no text."""
     sc = rows.sparkSession.sparkContext
-    table = sc.broadcast(({w: i for i, w in enumerate(vocab.words)}, vocab.output.astype(np.int16), vocab.log, vocab.own, vocab.counts > 0))
+    table = sc.broadcast(({w: i for i, w in enumerate(vocab.words)}, vocab.output, vocab.log, vocab.own, vocab.counts > 0))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (
         f"rid long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double, "
-        "ids array<smallint>, rare array<binary>, times array<int>"
+        "ids array<int>, rare array<binary>, times array<int>"
     )
 
     def run(batches):
@@ -333,7 +465,7 @@ def encode(rows: DataFrame, vocab: Vocabulary) -> DataFrame:
                     value = np.append(np.where(often, of[place], rest), of[end])
                     return np.add.reduceat(value[token], begin)
 
-                ids = np.append(np.where(often, output[place], word_classes(words)), output[end]).astype(np.int16)[token]
+                ids = np.append(np.where(often, output[place], word_classes(words)), output[end]).astype(np.int32)[token]
                 # each text's other words, once with their number
                 doc = np.repeat(np.arange(batch.num_rows), n)
                 rare = ~often[code]
@@ -356,7 +488,7 @@ def score_ids(encoded: DataFrame, vocab: Vocabulary, p: np.ndarray) -> DataFrame
     size, class_log = vocab.size, vocab.class_log
     keep = ["rid", "doc_id", "held_out", "n_tokens", "known", "base"]
     schema = ", ".join(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in keep) + ", score double"
-    pad = np.full(CONTEXT, size, np.int16)
+    pad = np.full(CONTEXT, size, np.int32)
 
     def run(batches):
         for whole in batches:
@@ -370,7 +502,7 @@ def score_ids(encoded: DataFrame, vocab: Vocabulary, p: np.ndarray) -> DataFrame
     return encoded.select(*keep, "own", "ids").mapInArrow(run, schema)
 
 
-def score_corpus(rows: DataFrame, output_words: int = OUTPUT_WORDS, frequent: int = FREQUENT) -> DataFrame:
+def score_corpus(rows: DataFrame, output_words: int | None = None, frequent: int = FREQUENT) -> DataFrame:
     """``rows(doc_id, held_out, text)`` -> one row per input row with the
     columns of the query; learns from the rows that are not held out."""
     counts = materialise(count_words(rows), "words")
