@@ -90,6 +90,18 @@ def test_jaccard_random_near_copies(spark, monkeypatch):
     assert Counter(map(tuple, got)) == brute_components(texts)
 
 
+def test_frequent_tokens_are_counted_in_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 40)
+    rng = np.random.default_rng(5)
+    lines = [" ".join(f"l{i}w{j}" for j in range(9)) for i in range(40)]  # line i stands in about i + 1 of 400 texts
+    texts = [(k, " | ".join([f"own{k} text{k}", *(x for i, x in enumerate(lines) if rng.random() < (i + 1) / 400)]) if k % 50 else None) for k in range(400)]
+    counts = Counter(x for _, t in texts for x in (jaccard.shingles((t or "").encode()) >> np.uint64(64 - jaccard.FREQUENT_BITS)).tolist())
+    want = {x for x, n in counts.items() if n >= 20}
+    got = jaccard.frequent_tokens(docs_of(spark, texts).repartition(7), 400)
+    assert len(want) > 50 and set(np.flatnonzero(got).tolist()) == want
+    assert not jaccard.frequent_tokens(docs_of(spark, []), 0).any()
+
+
 def test_keep_one(odd):
     kept = sorted((r.doc_id for r in jaccard.keep_one(odd).collect()), key=str)
     assert kept == sorted([1, 2, 3, 4, 7, 9, 10, 11, 12], key=str)

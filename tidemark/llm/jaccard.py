@@ -23,8 +23,8 @@ Blocks are chosen so that no link is lost:
    others are joined by their bitmaps, large blocks in pairs of parts, and
    whole sets are read only for the pairs that the trees leave.
 
-The order puts tokens that are frequent in a bounded sample last, which only
-saves work.  Texts move only for the sets that share a block with another.
+The order puts tokens that are frequent, counted in all texts by their leading
+bits, last, which only saves work.  Texts move only for the sets that share a block with another.
 
 Defined results: null and empty texts have an empty set, link with nothing
 and are their own component; under five words the whole sequence is one
@@ -48,9 +48,10 @@ ship(__name__)
 
 SHINGLE = 5
 NUM, DEN = 75, 100
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 20_000  # a frequent token stands in SAMPLE_SEEN of so many texts; all texts are counted
 SAMPLE_SEEN = 2
 FREQUENT_BITS = 24
+COUNT_ROWS = 1 << 14
 PART = 400  # sets in a part of a large block
 BROADCAST_ROWS = 400_000
 FANOUT = 8
@@ -219,23 +220,44 @@ def text_bytes(column) -> list:
 
 
 def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
-    """Flags by a token's leading bits: frequent in a sample of about
-    ``SAMPLE_DOCS`` texts."""
-    rate = max(1, rows // SAMPLE_DOCS)
-    some = docs.filter(F.pmod(text_key(F.col("text")), F.lit(rate)) == 0).select("text")
-
-    def run(batches):
+    """Flags by a token's leading bits: in ``SAMPLE_SEEN`` of ``SAMPLE_DOCS``
+    texts (two at least) more than leading bits are on average.  Tokens of all
+    texts are counted, in every task by itself; the counts meet by chunks of
+    ``COUNT_ROWS`` leading bits, so no task holds more than one chunk of each
+    other, and only flags reach the driver."""
+    least = max(2, SAMPLE_SEEN * rows // SAMPLE_DOCS)
+
+    def count(batches):
+        seen = None
         for batch in batches:
             for text in text_bytes(batch.column("text")):
                 if len(t := shingles(text)):
-                    lead = np.unique(t >> np.uint64(64 - FREQUENT_BITS)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array([lead], pa.list_(pa.int32()))], names=["t"])
-
-    seen = some.mapInArrow(run, "t array<int>").select(F.explode("t").alias("t")).groupBy("t").count()
-    got = seen.filter(F.col("count") >= SAMPLE_SEEN).select("t").toArrow().column("t").to_numpy()
-    flags = np.zeros(1 << FREQUENT_BITS, bool)
-    flags[got] = True
-    return flags
+                    seen = np.zeros(1 << FREQUENT_BITS, np.uint32) if seen is None else seen
+                    np.add.at(seen, (t >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64), np.uint32(1))
+        if seen is None:
+            return
+        at = np.flatnonzero(seen)
+        chunk, ends = np.unique(at // COUNT_ROWS, return_index=True)
+        found, n = [], []
+        for i, x in zip(np.split((at % COUNT_ROWS).astype(np.uint16), ends[1:]), np.split(seen[at], ends[1:])):
+            found.append(i.tobytes())
+            n.append((x.astype(np.uint8) if x.max() < 256 else x).tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int32()), pa.array(found, pa.binary()), pa.array(n, pa.binary())], names=["chunk", "i", "n"])
+
+    def often(t: pa.Table) -> pa.Table:
+        total = np.zeros(COUNT_ROWS, np.int64)
+        for i, n in zip(t.column("i").to_pylist(), t.column("n").to_pylist()):
+            i = np.frombuffer(i, np.uint16)
+            total[i] += np.frombuffer(n, np.uint8 if len(n) == len(i) else np.uint32)
+        bits = np.packbits(total - int(total.mean()) >= least).tobytes()
+        return pa.table({"chunk": t.column("chunk").slice(0, 1), "bits": pa.array([bits], pa.binary())})
+
+    counts = docs.select("text").mapInArrow(count, "chunk int, i binary, n binary")
+    got = counts.groupBy("chunk").applyInArrow(often, "chunk int, bits binary").toArrow().to_pylist()
+    flags = np.zeros((-(-(1 << FREQUENT_BITS) // COUNT_ROWS), COUNT_ROWS), bool)
+    for row in got:
+        flags[row["chunk"]] = np.unpackbits(np.frombuffer(row["bits"], np.uint8)).view(bool)
+    return flags.ravel()
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
