@@ -2,26 +2,31 @@
 
 The model predicts the next token from the ``CONTEXT`` tokens before it: the
 predicted vector is the sum of the context tokens' vectors, each scaled by
-the position's own diagonal; its dot product with a token's vector plus a
-bias is that token's score.  Training is noise-contrastive estimation in
-numpy (noise: unigram shares, ``NOISE`` samples shared by a batch).  Scoring
-multiplies batches of predicted vectors with the whole output matrix and
-normalises every row, so each token gets a true log-probability.
-
-Outputs are the ``OUTPUT_WORDS`` most frequent training words, the text end,
-and classes for all other words (by length and kind of letters).  A word in
-a class has probability P(class | context) * (c + 0.1) / (N_class + 0.1 *
-(V_class + 1)), so probabilities of all words sum to one, with one unseen
-word in each class.
+the position's own diagonal; its dot product with an output's vector plus a
+bias is that output's score.  Outputs have two levels: the upper ones are
+word classes, the text end and groups of words, the lower ones the words of
+a group.  Training is noise-contrastive estimation in numpy at both levels
+(noise: unigram shares; ``NOISE`` samples shared by a batch, ``GROUP_NOISE``
+in each group).  Scoring multiplies batches of predicted vectors with the
+upper matrix and with their group's, and normalises every row of both, so
+each token gets a true log-probability.
+
+Every word that holds at least 1/``FREQUENT`` of all tokens, and occurs
+``LEAST`` times in training, has vectors of its own, as context and as
+output; the other words share those of their class (by length and kind of
+letters).  A word in a class has probability P(class | context) * (c + 0.1)
+/ (N_class + 0.1 * (V_class + 1)), so probabilities of all words sum to one,
+with one unseen word in each class.
 
 How the work is spread: word counts are a shuffle of map-side sums.  Texts
-are then encoded once and written as ids of two bytes, from which training
-and scoring read.  Every partition trains on its own texts and the parameters are averaged by tokens
-(``ROUNDS`` rounds, each over its own share of the texts, starting from the
-average before it): every training text is learned from once.  Words that
-hold at least 1/``FREQUENT`` of all tokens, so at most ``FREQUENT`` words
-whatever the corpus, go to every task; all others are joined by a shuffle,
-and none of them can be a hot key.
+are then encoded once and written as ids, from which training and scoring
+read.  Every partition trains on its own texts; each row of parameters is
+averaged over the partitions by how often they learned from it, in blocks
+that a shuffle brings together (``ROUNDS`` rounds, each over its own share of
+the texts, starting from the average before it): every training text is
+learned from once.  The frequent words, at most ``FREQUENT`` whatever the
+corpus, and their parameters go to every task; all others are joined by a
+shuffle, and none of them can be a hot key.
 
 Defined results: null or empty texts have one token, the end; a null doc_id
 is held out; repeated rows are scored (and learned from) each; an empty table
@@ -209,9 +214,11 @@ def predicted(rows: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Predicted vectors of all but the first ``CONTEXT`` positions of runs of
     context vectors, and a last column of ones, which the biases meet."""
     n = rows.shape[-2] - CONTEXT
-    out = np.empty((*rows.shape[:-2], n, DIM + 1), np.float32)
-    out[..., DIM] = 1
-    out[..., :DIM] = sum(rows[..., CONTEXT - 1 - i : CONTEXT - 1 - i + n, :] * c[i] for i in range(CONTEXT))
+    out = np.ones((*rows.shape[:-2], n, DIM + 1), np.float32)
+    total = rows[..., CONTEXT - 1 : CONTEXT - 1 + n, :] * c[0]
+    for i in range(1, CONTEXT):
+        total += rows[..., CONTEXT - 1 - i : CONTEXT - 1 - i + n, :] * c[i]
+    out[..., :DIM] = total
     return out
 
 
@@ -415,10 +422,12 @@ def log_probabilities(p: np.ndarray, v: int, flat: np.ndarray, at: np.ndarray) -
     output's, and the word's among its group."""
     r, c, q, upper = unpack(p, v)
     out, target, single = np.empty(len(at)), flat[at], min(v, CLASSES + 1)
-    pred = predicted(r.take(flat, axis=0), c).take(at - CONTEXT, axis=0)
-    group = group_of(v).take(target)
+    group, at = group_of(v).take(target), at - CONTEXT
+    pred = np.empty((len(flat) - CONTEXT, DIM + 1), np.float32)
+    for k in range(0, len(pred), ROWS):
+        pred[k : k + ROWS] = predicted(r.take(flat[k : k + ROWS + CONTEXT], axis=0), c)
     for k in range(0, len(at), ROWS):
-        out[k : k + ROWS] = normalised(pred[k : k + ROWS], upper, group[k : k + ROWS])
+        out[k : k + ROWS] = normalised(pred.take(at[k : k + ROWS], axis=0), upper, group[k : k + ROWS])
     order, bounds = np.argsort(group.astype(np.int16), kind="stable"), group_bounds(v)
     ends = np.cumsum(np.bincount(group, minlength=len(upper))).tolist()
     for j, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist()), single):
@@ -426,7 +435,7 @@ def log_probabilities(p: np.ndarray, v: int, flat: np.ndarray, at: np.ndarray) -
         rows = max(1, ROWS * 128 // (hi - lo))
         for k in range(begin if hi - lo > 1 else end, end, rows):
             some = order[k : min(k + rows, end)]
-            out[some] += normalised(pred.take(some, axis=0), q[lo:hi], target.take(some) - lo)
+            out[some] += normalised(pred.take(at.take(some), axis=0), q[lo:hi], target.take(some) - lo)
     return out / math.log(10)
 
 
