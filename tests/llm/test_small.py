@@ -90,6 +90,43 @@ def test_jaccard_random_near_copies(spark, monkeypatch):
     assert Counter(map(tuple, got)) == brute_components(texts)
 
 
+def test_jaccard_sends_only_sets_that_may_link(spark, monkeypatch):
+    """Sets that share a passage but by their sizes, or by the place of their
+    first common token, cannot link send no bitmaps; what links is still found."""
+    monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 1)  # so that the passage is not put last
+    rng = np.random.default_rng(8)
+    some = lambda n: " ".join(f"v{x}" for x in rng.integers(0, 10**9, n))
+    passage = some(12)
+    texts = [(i, f"{some(20 + 40 * i * i)} {passage} {some(10)}") for i in range(12)]
+    base = some(200)
+    texts += [(100, base), (101, base + " " + some(40)), (102, some(30) + " " + base), (103, base[: len(base) // 2]), (104, "two words"), (105, None)]
+    sent = []
+    join_bitmaps = jaccard.join_bitmaps
+    monkeypatch.setattr(jaccard, "join_bitmaps", lambda blocks, nodes: sent.extend(r.node for r in blocks.collect()) or join_bitmaps(blocks, nodes))
+    docs = docs_of(spark, texts)
+    got = jaccard.classes(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == brute_components(texts)
+    few = {r.doc_id for r in got if r.doc_id < 12 and r.n_shingles > 1000}
+    row = {r.rid: r.doc_id for r in jaccard.describe(docs, jaccard.frequent_tokens(docs, docs.count())).select("rid", "doc_id").collect()}
+    assert len(few) > 4 and not few & {row[x] for x in sent}
+
+
+def test_jaccard_reach_keeps_every_link(spark):
+    """Where two sets link, each one's size is within the other's reach at the first token they share."""
+    rng, rows = np.random.default_rng(9), []
+    for _ in range(400):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 400)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < rng.uniform(0.75, 1)], rng.integers(0, 2**63, int(len(a) * rng.uniform(0, 0.3)), dtype=np.uint64)]))
+        common = np.intersect1d(a, b)
+        if len(common) and jaccard.enough(len(common), len(a), len(b)):
+            rows.append((len(a), int(np.searchsorted(a, common[0])), len(b), int(np.searchsorted(b, common[0]))))
+    assert len(rows) > 100
+    pairs = spark.createDataFrame(rows, "n long, i int, m long, j int")
+    ok = (F.col("m") <= jaccard.reach(F.col("n"), F.col("i"))) & (F.col("n") <= jaccard.reach(F.col("m"), F.col("j")))
+    assert pairs.filter(~ok).count() == 0
+    assert spark.createDataFrame([(40, 0, 53, 54), (100, 15, 0, 0)], "n long, i int, m long, x long").select(jaccard.reach(F.col("n"), F.col("i"))).collect()[0][0] == 53
+
+
 def test_frequent_tokens_are_counted_in_all_texts(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "SAMPLE_DOCS", 40)
     rng = np.random.default_rng(5)

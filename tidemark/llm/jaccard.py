@@ -14,14 +14,18 @@ overlap that 0.75 asks for; the pairs left at the leaves are counted exactly.
 Blocks are chosen so that no link is lost:
 
 1. sets with the same minimum of a hash (four hashes) are joined first, which
-   unites nearly all groups of copies; a block of many sets is divided, and
-   its smallest node goes to every part;
+   unites nearly all groups of copies; blocks of one smallest node are one, a
+   block of many sets is divided, and its smallest node goes to every part;
 2. every set then shows its prefix: the first ``n - ceil(0.75 n) + 1`` tokens
    in one order of all tokens.  Linked sets share a token of their prefixes,
    whatever the order, so a token whose sets all lie in one component
-   settles nothing and is dropped by a map-side aggregation; the sets of the
-   others are joined by their bitmaps, large blocks in pairs of parts, and
-   whole sets are read only for the pairs that the trees leave.
+   settles nothing and is dropped.  The first token that two linked sets share
+   has all others behind it in both, so its place in a set bounds the size of
+   the sets that may link there (:func:`reach`): a set stays at a token only if
+   one of another component may link with it, else the sets that meet by chance,
+   which are more than in proportion to the input, would all be sent.  Those that stay are
+   joined by their bitmaps, large blocks in pairs of parts, and whole sets are
+   read only for the pairs that the trees leave.
 
 The order puts tokens that are frequent, counted in all texts by their leading
 bits, last, which only saves work.  Texts move only for the sets that share a block with another.
@@ -39,7 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import broadcast_if_small, components, materialise, read, ship, text_key
@@ -57,6 +61,9 @@ BROADCAST_ROWS = 400_000
 FANOUT = 8
 SET_ROWS = 500  # rows that a task joins at a time, with whole sets
 BITMAP_ROWS = 500  # and with bitmaps
+WIDE, NARROW = 8, 2  # bits of a bitmap for a token; narrow ones suffice where no tree has many sets
+NARROW_BLOCK = 32  # sets
+BANDS = 8  # bands of set sizes in a doubling, where a token's sets look for others
 MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 SEEDS = [np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -112,13 +119,13 @@ class Node:
         self.group, self.children, self.row = group, children, row
 
 
-def width_of(n: int) -> int:
-    """Bits in the token bitmap of a set: a power of two, eight times its size or more."""
-    return 1 << max(6, min(18, (8 * n - 1).bit_length()))
+def width_of(n: int, per: int = WIDE) -> int:
+    """Bits in the token bitmap of a set: a power of two, ``per`` times its size or more."""
+    return 1 << max(6, min(18, (per * n - 1).bit_length()))
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    got = np.zeros(width_of(len(tokens)), np.uint8)
+def bitmap(tokens: np.ndarray, per: int = WIDE) -> bytes:
+    got = np.zeros(width_of(len(tokens), per), np.uint8)
     got[(tokens % np.uint64(len(got))).astype(np.int64)] = 1
     return np.packbits(got).tobytes()
 
@@ -130,11 +137,11 @@ def folded(bits: int, width: int, to: int) -> int:
     return bits
 
 
-def signature_tree(rows: list, size: list, bits: list, group: list, width: int) -> Node:
+def signature_tree(rows: list, size: list, bits: list, group: list, width: int, per: int = WIDE) -> Node:
     """Tree over ``rows``, whose bitmaps are folded to ``width``."""
     level = []
     for r in sorted(rows, key=lambda r: (size[r], group[r])):
-        b = folded(bits[r], width_of(size[r]), width)
+        b = folded(bits[r], width_of(size[r], per), width)
         level.append(Node(b, size[r], size[r], size[r] - b.bit_count(), group[r], None, r))
     while len(level) > 1:
         above = []
@@ -175,18 +182,18 @@ def traverse(a: Node, b: Node):
                 todo += [(a, x) for x in b.children]
 
 
-def candidates(size: list, bits: list, group: list):
+def candidates(size: list, bits: list, group: list, per: int = WIDE):
     """Pairs of rows of different groups that the signature trees cannot rule
     out.  Sets of one bitmap width share a tree; linked sets are of the same
     or of neighbouring widths, and the wider one's tree is folded."""
     by_width: dict = {}
     for r, n in enumerate(size):
-        by_width.setdefault(width_of(n), []).append(r)
+        by_width.setdefault(width_of(n, per), []).append(r)
     for w, rows in by_width.items():
-        tree = signature_tree(rows, size, bits, group, w)
+        tree = signature_tree(rows, size, bits, group, w, per)
         yield from traverse(tree, tree)
         if 2 * w in by_width:
-            yield from traverse(tree, signature_tree(by_width[2 * w], size, bits, group, w))
+            yield from traverse(tree, signature_tree(by_width[2 * w], size, bits, group, w, per))
 
 
 def as_int(bits: bytes) -> int:
@@ -236,13 +243,13 @@ def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
                     np.add.at(seen, (t >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64), np.uint32(1))
         if seen is None:
             return
-        at = np.flatnonzero(seen)
-        chunk, ends = np.unique(at // COUNT_ROWS, return_index=True)
-        found, n = [], []
-        for i, x in zip(np.split((at % COUNT_ROWS).astype(np.uint16), ends[1:]), np.split(seen[at], ends[1:])):
-            found.append(i.tobytes())
-            n.append((x.astype(np.uint8) if x.max() < 256 else x).tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int32()), pa.array(found, pa.binary()), pa.array(n, pa.binary())], names=["chunk", "i", "n"])
+        for k in range(0, len(seen), COUNT_ROWS):  # chunk by chunk: no copy of all counts
+            part = seen[k : k + COUNT_ROWS]
+            at = np.flatnonzero(part)
+            if len(at):
+                x = part[at]
+                i, n = at.astype(np.uint16).tobytes(), (x.astype(np.uint8) if x.max() < 256 else x).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k // COUNT_ROWS], pa.int32()), pa.array([i], pa.binary()), pa.array([n], pa.binary())], names=["chunk", "i", "n"])
 
     def often(t: pa.Table) -> pa.Table:
         total = np.zeros(COUNT_ROWS, np.int64)
@@ -261,7 +268,7 @@ def frequent_tokens(docs: DataFrame, rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(rid, doc_id, tk, n, fp, low, prefix, bits)`` for every row."""
+    """``(rid, doc_id, tk, n, fp, low, prefix, bits, few)`` for every row; ``few`` is the narrow bitmap."""
     flags = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -270,46 +277,51 @@ def describe(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         for whole in batches:
             for k in range(0, whole.num_rows, 256):
                 batch = whole.slice(k, 256)
-                n, fp, low, pre, bits = [], [], [], [], []
+                n, fp, low, pre, bits, few = [], [], [], [], [], []
                 for text in text_bytes(batch.column("text")):
                     t = shingles(text)
                     n.append(len(t))
                     if not len(t):
-                        for x in (fp, low, pre, bits):
+                        for x in (fp, low, pre, bits, few):
                             x.append(None)
                         continue
                     fp.append(fingerprint(t))
                     low.append([int(mix(t ^ s).min().astype(np.int64)) for s in SEEDS])
                     pre.append(prefix(t, late).view(np.int64))
                     bits.append(bitmap(t))
+                    few.append(bitmap(t, NARROW))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("rid"), batch.column("doc_id"), batch.column("tk"), pa.array(n, pa.int64()), pa.array(fp, pa.binary()),
                         pa.array(low, pa.list_(pa.int64())), pa.array(pre, pa.list_(pa.int64())), pa.array(bits, pa.binary()),
+                        pa.array(few, pa.binary()),
                     ],
-                    names=["rid", "doc_id", "tk", "n", "fp", "low", "prefix", "bits"],
+                    names=["rid", "doc_id", "tk", "n", "fp", "low", "prefix", "bits", "few"],
                 )
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", text_key(F.col("text")).alias("tk"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, low array<long>, prefix array<long>, bits binary")
+    return rows.mapInArrow(run, f"rid long, doc_id {kind}, tk long, n long, fp binary, low array<long>, prefix array<long>, bits binary, few binary")
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The whole sets of ``wanted(doc_id, fp, node)``: ``(node, tokens)``."""
+    """The whole sets of ``wanted(doc_id, fp, node, ...)``: ``(node, ..., tokens)``."""
     wanted = materialise(wanted, "wanted")
-    w = broadcast_if_small(wanted.select(F.col("doc_id").alias("wd"), "fp", "node"), wanted.count(), BROADCAST_ROWS)
-    texts = docs.select("doc_id", "text").join(w, F.col("doc_id").eqNullSafe(F.col("wd"))).select("node", "fp", "text")
+    w = broadcast_if_small(wanted.withColumnRenamed("doc_id", "wd"), wanted.count(), BROADCAST_ROWS)
+    kept = [f for f in wanted.schema.fields if f.name not in ("doc_id", "fp")]
+    names = [f.name for f in kept]
+    texts = docs.select("doc_id", "text").join(w, F.col("doc_id").eqNullSafe(F.col("wd"))).select(*names, "fp", "text")
 
     def run(batches):
         for batch in batches:
             for i, (fp, text) in enumerate(zip(batch.column("fp").to_pylist(), text_bytes(batch.column("text")))):
                 t = shingles(text)
                 if len(t) and fingerprint(t) == fp:  # a doc_id may have other texts
-                    yield pa.RecordBatch.from_arrays([batch.slice(i, 1).column("node"), pa.array([t.tobytes()], pa.binary())], names=["node", "tokens"])
+                    row = batch.slice(i, 1)
+                    yield pa.RecordBatch.from_arrays([*(row.column(x) for x in names), pa.array([t.tobytes()], pa.binary())], names=[*names, "tokens"])
 
-    return texts.mapInArrow(run, "node long, tokens binary")
+    return texts.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", tokens binary")
 
 
 def buckets(blocks: DataFrame, rows: int) -> DataFrame:
@@ -325,8 +337,9 @@ def block_groups(f: pd.DataFrame):
             yield g
 
 
-def join_sets(blocks: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` inside blocks ``(block, part, node)``, which get their whole sets."""
+def join_sets(docs: DataFrame, blocks: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` inside blocks ``(block, part, node)``, which get their
+    whole sets: each from its text to the buckets of its blocks."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -336,24 +349,30 @@ def join_sets(blocks: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = np.array(out, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    rows = buckets(blocks, SET_ROWS).join(sets, "node").select("bucket", "block", "part", "node", "tokens")
+    places = buckets(blocks, SET_ROWS).groupBy("node").agg(F.collect_list(F.struct("bucket", "block", "part")).alias("places"))
+    sets = fetch(docs, places.join(nodes.select("node", "doc_id", "fp"), "node").select("doc_id", "fp", "node", "places"))
+    rows = sets.select("node", "tokens", F.explode("places").alias("p")).select("p.bucket", "p.block", "p.part", "node", "tokens")
     return rows.groupBy("bucket").applyInPandas(run, "a long, b long")
 
 
 def join_bitmaps(blocks: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs ``(a, b)`` of different components inside blocks ``(block, part,
-    node, comp)`` that the signature trees cannot rule out."""
+    node, comp, size)`` that the signature trees cannot rule out; blocks of up
+    to ``NARROW_BLOCK`` sets get narrow bitmaps."""
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         out = set()
         for g in block_groups(f):
             nodes = g["node"].tolist()
-            for i, j in candidates(g["n"].tolist(), [as_int(x) for x in g["bits"]], g["comp"].tolist()):
+            per = NARROW if g["size"].iloc[0] <= NARROW_BLOCK else WIDE
+            for i, j in candidates(g["n"].tolist(), [as_int(x) for x in g["bits"]], g["comp"].tolist(), per):
                 out.add((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
         pairs = np.array(sorted(out), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    rows = buckets(blocks, BITMAP_ROWS).join(nodes.select("node", "n", "bits"), "node").select("bucket", "block", "part", "node", "comp", "n", "bits")
+    blocks = broadcast_if_small(buckets(blocks, BITMAP_ROWS), blocks.count(), BROADCAST_ROWS)
+    bits = F.when(F.col("size") <= NARROW_BLOCK, F.col("few")).otherwise(F.col("bits"))
+    rows = nodes.select("node", "n", "bits", "few").join(blocks, "node").select("bucket", "block", "part", "node", "comp", "size", "n", bits.alias("bits"))
     return rows.groupBy("bucket").applyInPandas(run, "a long, b long").distinct()
 
 
@@ -373,32 +392,59 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def reach(n: Column, place: Column) -> Column:
+    """Size of the largest set that may link with one of ``n`` tokens if the
+    first token that both hold has this place (from 0) in it: at most ``n -
+    place`` tokens are common then.  Two sets may link where each one's size is
+    within the other's reach.  Places are rounded down, to 16 or so in a prefix."""
+    place = place - place % (F.lit(1) + F.floor(n / 64))
+    return F.floor((NUM + DEN) * (n - place) / NUM) - n
+
+
+def meetings(rows: DataFrame) -> DataFrame:
+    """Blocks ``(block, node, comp)`` of the sets that may link at a token,
+    from ``(node, root, t, shape)``, dealt by the token; ``shape`` holds size and reach."""
+    c = F.coalesce("root", "node")
+    size = lambda x: F.shiftright(x, 32)
+    far = lambda x: F.col(x).bitwiseAND(F.lit((1 << 32) - 1))
+    groups = rows.groupBy("t").agg(
+        F.count(F.lit(1)).alias("size"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.min("shape").alias("x"), F.max("shape").alias("y")
+    ).filter("lo < hi").filter((F.col("size") > 2) | ((size("x") <= far("y")) & (size("y") <= far("x"))))
+    met = materialise(rows.join(groups.select("t"), "t").select("t", "node", c.alias("comp"), size("shape").alias("n"), far("shape").alias("far")), "met").repartition("t")
+    # a token's sets are seen by bands of sizes, so no row holds all of them
+    bands = met.groupBy("t", F.floor(BANDS * F.log2("n")).alias("band")).agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("n"), F.max("far").alias("far")
+    ).groupBy("t").agg(F.collect_list(F.struct("lo", "hi", "n", "far")).alias("bands"))
+    others = F.exists("bands", lambda b: ((b["lo"] != F.col("comp")) | (b["hi"] != F.col("comp"))) & (b["n"] <= F.col("far")) & (F.col("n") <= b["far"]))
+    stay = materialise(met.join(bands, "t").filter(others).select("t", "node", "comp"), "stay")
+    # tokens whose sets have the same smallest node are one block
+    firsts = stay.groupBy("t").agg(F.min("node").alias("block"))
+    return stay.join(firsts, "t").select("block", "node", "comp").distinct()
+
+
 def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Component roots ``(node, root)`` of all nodes that link with another."""
     # 1. blocks by minimum hash
     keys = nodes.select("node", F.posexplode("low").alias("h", "m")).select("node", F.xxhash64("h", "m").alias("block"))
-    sizes = materialise(keys.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).filter("size > 1"), "sizes")
+    firsts = keys.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("first")).filter("size > 1")
+    # blocks of the same smallest node are one
+    inside = materialise(keys.join(firsts, "block").select(F.col("first").alias("block"), "node").distinct(), "inside")
     parts = F.ceil(F.col("size") / PART).cast("int")
-    inside = keys.join(sizes, "block").select("block", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), "node")
-    firsts = sizes.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("first").alias("node"))
+    sizes = materialise(inside.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    inside = inside.join(sizes, "block").select("block", F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"), "node")
+    firsts = sizes.select("block", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.col("block").alias("node"))
     blocks = materialise(inside.unionByName(firsts).distinct(), "blocks")
-    some = blocks.select("node").distinct().join(nodes, "node").select("doc_id", "fp", "node")
-    first_links = materialise(join_sets(blocks, fetch(docs, some)), "links")
+    first_links = materialise(join_sets(docs, blocks, nodes), "links")
     known = materialise(components(first_links), "known")
 
     # 2. tokens of prefixes that meet in more than one component
     comp = broadcast_if_small(known, known.count(), BROADCAST_ROWS)
+    shape = F.col("n") * F.lit(1 << 32) + reach(F.col("n"), F.col("i"))
     rows = (
-        prefixes.join(comp, "node", "left").select("node", "root", F.explode("prefix").alias("t"))
-        .repartition("t")
+        prefixes.join(comp, "node", "left").select("node", "root", "n", F.posexplode("prefix").alias("i", "t"))
+        .select("node", "root", "t", shape.alias("shape")).repartition("t")
     )
-    c = F.coalesce("root", "node")
-    groups = rows.groupBy("t").agg(
-        F.count(F.lit(1)).alias("size"), F.min(c).alias("lo"), F.max(c).alias("hi"),
-        F.min("node").alias("block"),
-    ).filter("lo < hi")
-    # tokens whose sets have the same smallest node are one block
-    meeting = materialise(rows.join(groups.drop("size"), "t").select("block", "node", c.alias("comp")).distinct(), "meeting")
+    meeting = materialise(meetings(rows), "meeting")
     sizes = materialise(meeting.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
     blocks = meeting.join(sizes, "block")
     # a block of many sets is joined in pairs of its parts, one group each
@@ -406,7 +452,7 @@ def links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame) -> DataFrame:
     mine = F.pmod(F.xxhash64("node"), F.col("p")).cast("int")
     pair = lambda x: F.least(x, F.col("mine")) * F.col("p") + F.greatest(x, F.col("mine"))
     blocks = blocks.withColumn("p", p).withColumn("mine", mine).select(
-        "block", F.explode(F.transform(F.sequence(F.lit(0), F.col("p") - 1), pair)).alias("part"), "node", "comp"
+        "block", F.explode(F.transform(F.sequence(F.lit(0), F.col("p") - 1), pair)).alias("part"), "node", "comp", "size"
     )
     pairs = materialise(join_bitmaps(materialise(blocks, "blocks"), nodes), "pairs")
     some = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node").select("doc_id", "fp", "node")
@@ -430,7 +476,7 @@ def classes(docs: DataFrame) -> DataFrame:
     others = small.filter("rid <> node").select("rid")
     firsts = full.join(broadcast_if_small(others, others.count(), BROADCAST_ROWS), "rid", "left_anti").withColumnRenamed("rid", "node")
     nodes = materialise(firsts.drop("prefix", "tk"), "nodes")
-    roots = materialise(links(docs, nodes, firsts.select("node", "prefix")), "roots")
+    roots = materialise(links(docs, nodes, firsts.select("node", "n", "prefix")), "roots")
     placed = materialise(
         small.join(roots, "node", "left").select("doc_id", "tk", "n", F.coalesce("root", "node").alias("root")), "placed"
     )
